@@ -40,7 +40,8 @@ grid AS (SELECT c_nationkey, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP),
          FROM bounds)
 SELECT g.c_nationkey, g.month, e.value FROM grid g LEFT JOIN entity e ON e.c_nationkey = g.c_nationkey AND e.month = g.month""")
 def dense_grid(spark, sf):
-    return calendar.densify(obs_entity(spark, sf), ["c_nationkey"], "month")
+    observed = obs_entity(spark, sf)
+    return calendar.dense_grid(observed, ["c_nationkey"], "month").join(observed, ["c_nationkey", "month"], "left")
 
 
 @query(f"WITH {MONTHLY_WIDE} SELECT * FROM wide")

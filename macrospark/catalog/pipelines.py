@@ -232,9 +232,8 @@ ENTITY_SPEC = marts.MartSpec(
 @query("""
 WITH obs AS (
   SELECT o_custkey, o_orderstatus AS series_id, CAST(o_orderdate AS DATE) AS day, o_totalprice AS value, o_orderkey,
-         CAST(date_trunc(CASE o_orderstatus WHEN 'P' THEN 'quarter' ELSE 'month' END, o_orderdate) AS DATE) AS period,
-         CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
-bounds AS (SELECT o_custkey, CAST(min(month) AS TIMESTAMP) AS lo, CAST(max(month) AS TIMESTAMP) AS hi FROM obs GROUP BY 1),
+         CAST(date_trunc(CASE o_orderstatus WHEN 'P' THEN 'quarter' ELSE 'month' END, o_orderdate) AS DATE) AS period FROM orders),
+bounds AS (SELECT o_custkey, CAST(min(period) AS TIMESTAMP) AS lo, CAST(max(period) AS TIMESTAMP) AS hi FROM obs GROUP BY 1),
 grid AS (SELECT o_custkey, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM bounds),
 last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, series_id, period ORDER BY day DESC, o_orderkey DESC) AS rn FROM obs) WHERE rn = 1),
 wide AS (SELECT o_custkey, period, max(value) FILTER (WHERE series_id = 'F') AS finished,
@@ -258,5 +257,5 @@ def entity_mart(spark, sf):
     staged = newest.withColumns(
         {"observation_month": F.trunc("observation_date", "month"), "observation_quarter": F.trunc("observation_date", "quarter")}
     )
-    mart = marts.monthly_mart(staged, marts.entity_calendar(staged, ["o_custkey"]), ENTITY_SPEC, ["o_custkey"])
+    mart = marts.monthly_mart(staged, None, ENTITY_SPEC, ["o_custkey"])
     return mart.withColumn("finished_yoy_pct", F.col("finished_yoy_pct").cast("double"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,17 +15,25 @@ BLS_MISSING = ("-", "", "N/A")
 # Frequency name of a period letter.
 FREQUENCY_OF_LETTER = {"M": "monthly", "Q": "quarterly", "A": "annual", "S": "semi_annual"}
 
+# Where a quarter, and where a coded month, quarter or half-year begins.
+QUARTER_START = {"1": "-01-01", "2": "-04-01", "3": "-07-01", "4": "-10-01"}
+MONTH_OF_CODE = (
+    {f"M{m}": f"{m:02d}" for m in range(1, 13)}
+    | {f"Q{q}": f"{3 * q - 2:02d}" for q in range(1, 5)}
+    | {f"S{h}": f"{6 * h - 5:02d}" for h in range(1, 3)}
+)
+
 # Plain decimal or scientific notation, or an infinity. Refuses 'nan', '1_000' and '1.5d',
 # on which number parsers of different languages disagree.
 NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
-DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyyMMdd",
-    "MM/dd/yyyy",
-    "yyyy-MM",
+# Texts read as a date: the shape of the text, and how to make ``yyyy-MM-dd`` of it. The shape is
+# tested first, since a failed parse is far dearer than a failed match.
+DATE_SHAPES = (
+    (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$", lambda c: F.substring(c, 1, 10)),
+    (r"^\d{8}$", lambda c: F.regexp_replace(c, r"(\d{4})(\d{2})(\d{2})", "$1-$2-$3")),
+    (r"^\d{2}/\d{2}/\d{4}$", lambda c: F.regexp_replace(c, r"(\d{2})/(\d{2})/(\d{4})", "$3-$1-$2")),
+    (r"^\d{4}-\d{2}$", lambda c: F.concat(c, F.lit("-01"))),
 )
 
 
@@ -50,55 +58,52 @@ def parse_thousands(c: Column | str) -> Column:
     return safe_double(F.replace(_col(c), F.lit(","), F.lit("")))
 
 
-def _first_of_month(year: Column, month: Column) -> Column:
-    return F.try_to_date(F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0"), F.lit("01")), "yyyy-MM-dd")
+def _choice(key: Column, choices: Mapping[str, object]) -> Column:
+    """Value of a small fixed map; null for a key it lacks."""
+    pairs = [F.lit(x) for pair in choices.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), key)
 
 
-def _quarter_month(quarter: Column) -> Column:
-    return (quarter.cast("int") * 3 - 2).cast("string")
+def _two_digits(month: Column) -> Column:
+    return F.lpad(month, 2, "0")
 
 
 def parse_period_compact(period: Column | str, frequency: Column | str) -> Column:
-    """Date of ``2023`` (A), ``2023Q1`` (Q) or ``2023M01`` (M); null when it is none of these."""
+    """Date of ``2023`` (A), ``2023Q1`` (Q) or ``2023M01`` (M); null when it is none of these.
+
+    Read by position: four characters of year, one that is skipped, the rest.
+    """
     period, frequency = _col(period), _col(frequency)
     year = F.substring(period, 1, 4)
-    year_ok = year.rlike(r"^\d{4}$")
-    quarter = F.substring(period, 6, 1)
-    month = F.substring(period, 6, 2)
-    return (
-        F.when((frequency == "A") & period.rlike(r"^\d{4}$"), _first_of_month(period, F.lit("1")))
-        .when((frequency == "Q") & year_ok & quarter.rlike("^[1-4]$"), _first_of_month(year, _quarter_month(quarter)))
-        .when((frequency == "M") & year_ok & month.rlike(r"^\d{1,2}$"), _first_of_month(year, month))
+    iso = (
+        F.when(frequency == "A", F.concat(period, F.lit("-01-01")))
+        .when(frequency == "Q", F.concat(year, _choice(F.substring(period, 6, 1), QUARTER_START)))
+        .when(frequency == "M", F.concat(year, F.lit("-"), _two_digits(F.substring(period, 6, 2)), F.lit("-01")))
     )
+    return iso.try_cast("date")
 
 
 def parse_period_coded(year: Column | str, period: Column | str) -> Column:
     """Date of a year plus a code: ``M01``-``M12``, ``Q01``-``Q04``, any ``A``, ``S01``/``S02``."""
     year, period = _col(year), _col(period)
-    letter = F.upper(F.substring(period, 1, 1))
-    number = F.when(F.substring(period, 2, 9).rlike(r"^\d+$"), F.substring(period, 2, 9).try_cast("int"))
-    month = (
-        F.when((letter == "M") & number.between(1, 12), number)
-        .when((letter == "Q") & number.between(1, 4), number * 3 - 2)
-        .when((letter == "A") & number.isNotNull(), F.lit(1))
-        .when((letter == "S") & number.between(1, 2), number * 6 - 5)
-    )
-    return F.when(year.rlike(r"^\d{4}$") & month.isNotNull(), _first_of_month(year, month.cast("string")))
+    code = F.regexp_replace(F.upper(period), r"^(\D)0+", "$1")
+    month = F.coalesce(_choice(code, MONTH_OF_CODE), F.when(code.rlike(r"^A\d*$") & (F.length(period) > 1), "01"))
+    return F.concat(year, F.lit("-"), month, F.lit("-01")).try_cast("date")
 
 
 def infer_frequency(period: Column | str) -> Column:
     """Frequency name from the letter of a period code."""
     letter = F.upper(F.substring(_col(period), 1, 1))
-    name = F.when(F.lit(False), F.lit(None).cast("string"))
-    for key, value in FREQUENCY_OF_LETTER.items():
-        name = name.when(letter == key, F.lit(value))
-    return name.otherwise(F.lit("unknown"))
+    return F.coalesce(_choice(letter, FREQUENCY_OF_LETTER), F.lit("unknown"))
 
 
-def normalize_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    """First format that reads the text as a date; null when none does."""
+def normalize_date(c: Column | str, shapes=DATE_SHAPES) -> Column:
+    """The date a text stands for; null when it has none of the shapes or is no real day."""
     c = _col(c)
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    iso = F.when(F.lit(False), F.lit(None).cast("string"))
+    for shape, to_iso in shapes:
+        iso = iso.when(c.rlike(shape), to_iso(c))
+    return iso.try_cast("date")
 
 
 def numeric_year(c: Column | str) -> Column:

@@ -11,29 +11,28 @@ SQL_FUNCTIONS = (
     CREATE OR REPLACE TEMPORARY FUNCTION safe_double(x STRING) RETURNS DOUBLE
     RETURN CASE WHEN x RLIKE r'{NUMBER_PATTERN}' THEN try_cast(x AS DOUBLE) END
     """,
-    r"""
+    """
     CREATE OR REPLACE TEMPORARY FUNCTION period_date(period STRING, frequency STRING) RETURNS DATE
+    RETURN try_cast(CASE frequency
+      WHEN 'A' THEN concat(period, '-01-01')
+      WHEN 'Q' THEN concat(left(period, 4),
+        CASE substring(period, 6, 1) WHEN '1' THEN '-01-01' WHEN '2' THEN '-04-01' WHEN '3' THEN '-07-01' WHEN '4' THEN '-10-01' END)
+      WHEN 'M' THEN concat(left(period, 4), '-', lpad(substring(period, 6, 2), 2, '0'), '-01')
+    END AS DATE)
+    """,
+    """
+    CREATE OR REPLACE TEMPORARY FUNCTION code_month(letter STRING, number INT) RETURNS INT
     RETURN CASE
-      WHEN frequency = 'A' AND period RLIKE r'^\d{4}$' THEN try_to_date(concat(period, '-01-01'), 'yyyy-MM-dd')
-      WHEN frequency = 'Q' AND period RLIKE r'^\d{4}.[1-4]' THEN
-        add_months(try_to_date(concat(left(period, 4), '-01-01'), 'yyyy-MM-dd'),
-                   3 * (CAST(substring(period, 6, 1) AS INT) - 1))
-      WHEN frequency = 'M' AND period RLIKE r'^\d{4}.\d' THEN
-        try_to_date(concat(left(period, 4), '-', lpad(substring(period, 6, 2), 2, '0'), '-01'), 'yyyy-MM-dd')
+      WHEN letter = 'M' AND number BETWEEN 1 AND 12 THEN number
+      WHEN letter = 'Q' AND number BETWEEN 1 AND 4 THEN number * 3 - 2
+      WHEN letter = 'A' AND number IS NOT NULL THEN 1
+      WHEN letter = 'S' AND number BETWEEN 1 AND 2 THEN number * 6 - 5
     END
     """,
-    r"""
+    """
     CREATE OR REPLACE TEMPORARY FUNCTION code_date(y STRING, code STRING) RETURNS DATE
-    RETURN CASE WHEN y RLIKE r'^\d{4}$' AND code RLIKE r'^.\d+$' THEN
-      CASE upper(left(code, 1))
-        WHEN 'M' THEN try_to_date(concat(y, '-', lpad(try_cast(substring(code, 2) AS INT), 2, '0'), '-01'), 'yyyy-MM-dd')
-        WHEN 'Q' THEN CASE WHEN try_cast(substring(code, 2) AS INT) BETWEEN 1 AND 4 THEN
-          add_months(try_to_date(concat(y, '-01-01'), 'yyyy-MM-dd'), 3 * (try_cast(substring(code, 2) AS INT) - 1)) END
-        WHEN 'A' THEN try_to_date(concat(y, '-01-01'), 'yyyy-MM-dd')
-        WHEN 'S' THEN CASE WHEN try_cast(substring(code, 2) AS INT) BETWEEN 1 AND 2 THEN
-          add_months(try_to_date(concat(y, '-01-01'), 'yyyy-MM-dd'), 6 * (try_cast(substring(code, 2) AS INT) - 1)) END
-      END
-    END
+    RETURN try_cast(concat(y, '-',
+      lpad(code_month(upper(left(code, 1)), try_cast(substring(code, 2, 9) AS INT)), 2, '0'), '-01') AS DATE)
     """,
 )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed value: first month of the macro calendar.
@@ -48,8 +48,19 @@ def dense_grid(df: DataFrame, by: Sequence[str], period: str, grain: str = "mont
 
 
 def densify(df: DataFrame, by: Sequence[str], period: str, grain: str = "month") -> DataFrame:
-    """The rows of ``df`` on its dense grid; missing periods get nulls."""
-    return dense_grid(df, by, period, grain).join(df, [*by, period], "left")
+    """The rows of ``df``, one per entity and period, with the periods it skips added as nulls.
+
+    Every row stretches up to the next one, so there is neither a grid nor a
+    join, and a window over the same entities needs no further shuffle.
+    """
+    step = F.expr(_STEP[grain])
+    ahead = F.lead(period).over(Window.partitionBy(*by).orderBy(period))
+    last = F.coalesce((ahead - step).cast("date"), F.col(period))
+    stretched = df.filter(F.col(period).isNotNull()).withColumn("_last", last)
+    stretched = stretched.withColumn("_period", F.explode(F.sequence(F.col(period), "_last", step)))
+    own = F.col("_period") == F.col(period)
+    values = [F.when(own, F.col(c)).alias(c) for c in df.columns if c not in (*by, period)]
+    return stretched.select(*by, F.col("_period").alias(period), *values)
 
 
 def on_spine(calendar: DataFrame, wide: DataFrame, period: str) -> DataFrame:

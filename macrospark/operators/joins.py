@@ -43,7 +43,7 @@ def asof_join(
     comes from one row per piece. The answer is the same, but a hot key is
     spread over as many tasks as it has pieces.
     """
-    chunk = chunk or (lambda t: F.lit(0))
+    piece = chunk or (lambda t: F.lit(0))
     left_row, right_row = F.struct(*left.columns), F.struct(*values)
     empty_left = F.lit(None).cast(left.select(left_row.alias("r")).schema["r"].dataType)
     empty_right = F.lit(None).cast(right.select(right_row.alias("r")).schema["r"].dataType)
@@ -57,19 +57,21 @@ def asof_join(
         *by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), empty_left.alias("_left"), right_row.alias("_right"),
         *[F.col(c).alias(t) for c, t in zip(tie, ties)],
     )
-    both = asks.unionByName(facts, allowMissingColumns=True).withColumn("_chunk", chunk(F.col("_t")))
+    both = asks.unionByName(facts, allowMissingColumns=True).withColumn("_chunk", piece(F.col("_t")))
 
     upto = Window.partitionBy(*by, "_chunk").orderBy("_t", "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
     inside = both.withColumn("_hit", F.last("_right", ignorenulls=True).over(upto)).filter("_side = 1")
 
-    pieces = both.groupBy(*by, "_chunk").agg(
-        F.max_by("_right", F.when(F.col("_side") == 0, F.struct("_t", *ties))).alias("_end")
-    )
-    before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = pieces.select(*by, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-
-    hit = F.coalesce("_hit", "_carry")
-    found = inside.join(carried, [*by, "_chunk"], "left").select(
+    hit = F.col("_hit")
+    if chunk:
+        pieces = both.groupBy(*by, "_chunk").agg(
+            F.max_by("_right", F.when(F.col("_side") == 0, F.struct("_t", *ties))).alias("_end")
+        )
+        before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+        carried = pieces.select(*by, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+        inside = inside.join(carried, [*by, "_chunk"], "left")
+        hit = F.coalesce("_hit", "_carry")
+    found = inside.select(
         "_left.*", *[F.when(F.col("_left")[left_time].isNotNull(), hit[v]).alias(v) for v in values]
     )
     # rows without a key can match nothing

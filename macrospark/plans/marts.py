@@ -88,14 +88,14 @@ def wide_series(staged: DataFrame, spec: MartSpec, by: Sequence[str] = ()) -> Da
 
 def monthly_mart(
     staged: DataFrame,
-    months: DataFrame,
+    months: DataFrame | None = None,
     spec: MartSpec = MACRO,
     by: Sequence[str] = (),
     updated_at: Column | None = None,
 ) -> DataFrame:
-    """The mart on a dense calendar (with the entity columns, if any)."""
+    """The mart on the calendar ``months``, or on every entity's own span of months."""
     wide = wide_series(staged, spec, by)
-    joined = months.join(wide, [*by, MONTH], "left")
+    joined = calendar.densify(wide, by, MONTH) if months is None else months.join(wide, [*by, MONTH], "left")
     derived = {out: features.yoy_pct(c, by, MONTH) for c, out in spec.yoy.items()}
     derived |= {out: features.diff(c, 1, by, MONTH) for c, out in spec.change.items()}
     parts = [
@@ -220,8 +220,3 @@ def derived_features(mart: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     }
     added = {name: make() for name, (needs, make) in recipes.items() if set(needs) <= set(mart.columns)}
     return mart.withColumns(added)
-
-
-def entity_calendar(staged: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Dense months of every entity."""
-    return calendar.dense_grid(staged.select(*by, MONTH), by, MONTH)

@@ -2,6 +2,9 @@
 
 Each function returns ``(rows, rejected)``; rejected records have a period
 that cannot be read. Only one of the two costs anything if only one is used.
+
+None of the marks for a missing value reads as a number, so the number parser
+alone turns them into nulls.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ def normalize_fred(records: DataFrame, dim: DataFrame, ingested_at: Column | Non
     parsed = records.withColumns(
         {
             "observation_date": S.normalize_date("date"),
-            "value": S.safe_double(S.missing_to_null("value", S.FRED_MISSING)),
+            "value": S.safe_double("value"),
         }
     )
     good, bad = split_valid(parsed, F.col("observation_date").isNotNull())
@@ -61,7 +64,7 @@ def normalize_bea(records: DataFrame, lines: DataFrame, ingested_at: Column | No
         "period_date", S.parse_period_compact("TimePeriod", "frequency")
     )
     good, bad = split_valid(mapped, F.col("period_date").isNotNull())
-    value = S.parse_thousands(S.missing_to_null("DataValue", S.BEA_MISSING))
+    value = S.parse_thousands("DataValue")
     rows = good.withColumn("value", value).select(
         "table_key",
         "series_name",
@@ -86,7 +89,7 @@ def normalize_bls(records: DataFrame, dim: DataFrame, ingested_at: Column | None
     points = records.filter(~F.col("period").eqNullSafe(BLS_ANNUAL_AVERAGE))
     dated = points.withColumn("observation_date", S.parse_period_coded("year", "period"))
     good, bad = split_valid(dated, F.col("observation_date").isNotNull())
-    parsed = good.withColumn("value", S.safe_double(S.missing_to_null("value", S.BLS_MISSING)))
+    parsed = good.withColumn("value", S.safe_double("value"))
     defaults = UNKNOWN_SERIES | {"seasonal_adjustment": "", "survey": ""}
     rows = lookup(parsed, dim, ["series_id"], defaults)
     return (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -31,11 +32,15 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="macrospark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder(context.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"macrospark-{application}-")
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:

@@ -24,6 +24,9 @@ def stream_parquet(spark: SparkSession, path: str, schema: T.StructType, max_fil
 def drop_replays(stream: DataFrame, keys: Sequence[str], at: str, delay: str = "1 day", salts: int = 0) -> DataFrame:
     """First arrival of every key; a key is remembered until the watermark passes it.
 
+    ``at`` is the time of loading, which trails by no more than ``delay``; a
+    row behind the watermark is dropped. ``upsert_stream`` has no such limit.
+
     With ``salts`` the copies of a key are first thinned out in that many
     groups, so that a record sent over and over does not fill one task.
     """
