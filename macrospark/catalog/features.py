@@ -111,7 +111,7 @@ def point_in_time_join(spark, sf):
     )
     return joins.asof_join(
         asks, vintages, ["o_orderkey"], "asked_at", "l_shipdate", ["known_price", "known_since"], ties,
-        chunk=lambda t: F.trunc(t.cast("date"), "year"),
+        chunk=lambda t: t.cast("date"),
     )
 
 

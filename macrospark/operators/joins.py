@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrospark.operators.dedupe import any_null
+from macrospark.operators.skew import hot_keys, key_hash
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str], defaults: Mapping[str, str]) -> DataFrame:
@@ -34,16 +35,16 @@ def asof_join(
     values: Sequence[str],
     tie: Sequence[str] = (),
     chunk: Callable[[Column], Column] | None = None,
+    hot: Callable[[DataFrame, Sequence[str]], Sequence[int]] = hot_keys,
 ) -> DataFrame:
     """Every left row with the newest right values at or before its time.
 
     Both sides are stacked and the last right row is carried forward, so no
-    pairs are formed. ``chunk`` (say, the month of the time) cuts a key's
-    history into pieces that are carried separately; what stood before a piece
-    comes from one row per piece. The answer is the same, but a hot key is
-    spread over as many tasks as it has pieces.
+    pairs are formed. ``chunk`` (say, the day of the time) cuts the history of
+    hot keys into pieces that are carried separately; what stood before a
+    piece comes from one row per piece. The answer is the same, but a hot key
+    is spread over as many tasks as it has pieces.
     """
-    piece = chunk or (lambda t: F.lit(0))
     left_row, right_row = F.struct(*left.columns), F.struct(*values)
     empty_left = F.lit(None).cast(left.select(left_row.alias("r")).schema["r"].dataType)
     empty_right = F.lit(None).cast(right.select(right_row.alias("r")).schema["r"].dataType)
@@ -57,19 +58,23 @@ def asof_join(
         *by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), empty_left.alias("_left"), right_row.alias("_right"),
         *[F.col(c).alias(t) for c, t in zip(tie, ties)],
     )
-    both = asks.unionByName(facts, allowMissingColumns=True).withColumn("_chunk", piece(F.col("_t")))
+    both = asks.unionByName(facts, allowMissingColumns=True)
+    split = list(hot(both, by)) if chunk else []
+    keys = list(by)
+    if split:
+        # null for the other keys, which then find nothing in the carried pieces
+        both = both.withColumn("_chunk", F.when(key_hash(by).isin(split), chunk(F.col("_t"))))
+        keys.append("_chunk")
 
-    upto = Window.partitionBy(*by, "_chunk").orderBy("_t", "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(*keys).orderBy("_t", "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
     inside = both.withColumn("_hit", F.last("_right", ignorenulls=True).over(upto)).filter("_side = 1")
-
     hit = F.col("_hit")
-    if chunk:
-        pieces = both.groupBy(*by, "_chunk").agg(
-            F.max_by("_right", F.when(F.col("_side") == 0, F.struct("_t", *ties))).alias("_end")
-        )
+    if split:
+        end = F.max_by("_right", F.when(F.col("_side") == 0, F.struct("_t", *ties)))
+        pieces = both.filter("_chunk is not null").groupBy(*keys).agg(end.alias("_end"))
         before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carried = pieces.select(*by, "_chunk", F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-        inside = inside.join(carried, [*by, "_chunk"], "left")
+        carried = pieces.select(*keys, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+        inside = inside.join(carried, keys, "left")
         hit = F.coalesce("_hit", "_carry")
     found = inside.select(
         "_left.*", *[F.when(F.col("_left")[left_time].isNotNull(), hit[v]).alias(v) for v in values]

@@ -1,0 +1,30 @@
+"""Finding keys that hold a large share of all rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SHARE = 0.001
+LEAST_ROWS = 1_000_000
+_TRACKED = 10_000
+
+
+def key_hash(by: Sequence[str]) -> Column:
+    return F.xxhash64(*by)
+
+
+def hot_keys(df: DataFrame, by: Sequence[str], share: float = SHARE, least_rows: int = LEAST_ROWS) -> list[int]:
+    """Hashes of the keys with more than ``share`` of the rows, and at least ``least_rows``.
+
+    One pass over the key columns with a frequent-items sketch, so no key is
+    shuffled. There can be no more than 1 / share of them. The list is fixed
+    here, on the driver, so that every branch of a plan splits the same keys.
+    """
+    most = int(1 / share)
+    top = F.expr(f"approx_top_k(_key, {most}, {max(_TRACKED, most)})")
+    found = df.select(key_hash(by).alias("_key")).agg(top.alias("top"), F.count("*").alias("n")).first()
+    limit = max(share * found.n, least_rows)
+    return [item["item"] for item in found.top or [] if item["count"] > limit]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,31 +18,31 @@ from macrospark.sources.versioned import VersionedTable
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Source table, folder, merge keys, and partition columns with their types."""
+    """Source table, folder, merge keys and partition columns."""
 
     source: str
     path: str
     keys: Sequence[str]
-    partition_by: dict[str, str] = field(default_factory=dict)
+    partition_by: Sequence[str] = ()
 
 
 # The configured tables.
 TABLES = {
     "fred_observations": TableSpec(
-        "raw.fred_observations", "fred/observations", ("series_id", "observation_date"), {"category": "string"}
+        "raw.fred_observations", "fred/observations", ("series_id", "observation_date"), ("category",)
     ),
     "bea_nipa_observations": TableSpec(
         "raw.bea_nipa_observations", "bea/nipa_observations",
-        ("table_key", "series_name", "period_date"), {"frequency": "string"},
+        ("table_key", "series_name", "period_date"), ("frequency",),
     ),
     "market_prices": TableSpec(
-        "raw.market_prices", "market/prices", ("ticker", "trade_date"), {"asset_class": "string"}
+        "raw.market_prices", "market/prices", ("ticker", "trade_date"), ("asset_class",)
     ),
     "macro_indicators_monthly": TableSpec(
-        "marts.fct_macro_indicators_monthly", "marts/macro_indicators_monthly", ("observation_month",), {"year": "int"}
+        "marts.fct_macro_indicators_monthly", "marts/macro_indicators_monthly", ("observation_month",), ("year",)
     ),
     "bls_observations": TableSpec(
-        "raw.bls_observations", "bls/observations", ("series_id", "observation_date"), {"category": "string"}
+        "raw.bls_observations", "bls/observations", ("series_id", "observation_date"), ("category",)
     ),
 }
 
@@ -77,15 +77,20 @@ def refresh_source(
     root: str,
     stage: Callable[[DataFrame], DataFrame] = staging.stage_fred,
     as_of: datetime | None = None,
+    since: datetime | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Load bronze rows, merge them, and return ``(staged, report)``.
 
     The rows are written to the raw log first and read back from there, so
-    every later step works on the same stored rows.
+    every later step works on the same stored rows. ``since`` limits the merge
+    to what was loaded from then on; without it the whole log is merged, which
+    also puts right rows that arrived out of order.
     """
     raw = f"{root}/raw_tables/{spec.source}"
     sinks.load_raw(rows, raw)
     loaded = spark.read.schema(rows.schema).parquet(raw)
+    if since is not None:
+        loaded = loaded.filter(F.col("ingested_at") >= F.lit(since))
     run_table(spark, spec, loaded, root, at=as_of)
     staged = stage(open_table(spark, spec, root).read())
     moment = F.current_timestamp() if as_of is None else F.lit(as_of)

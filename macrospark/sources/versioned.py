@@ -1,9 +1,10 @@
 """A table that keeps its versions, as Parquet folders.
 
 ``path/data/_version=N`` holds the rows written by commit N and
-``path/commits`` one small record per commit. A version counts only once its
-record exists, so a write that died half-way is never read, and the next
-commit replaces it. One writer at a time; any number of readers.
+``path/commits`` one small record per commit, with the schema of its rows. A
+version counts only once its record exists, so a write that died half-way is
+never read, and the next commit replaces it. One writer at a time; any number
+of readers. Since the schemas are recorded, no read opens files to find them.
 
 A commit writes only the rows it brings. A read takes the versions since the
 last whole one (an overwrite or a compaction) and keeps each key's newest row.
@@ -11,7 +12,8 @@ last whole one (an overwrite or a compaction) and keeps each key's newest row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +24,7 @@ from macrospark.operators import changelog
 from macrospark.sources.inline import inline_table
 from macrospark.sources.sinks import _exists
 
-COMMIT = "version INT, kind STRING, committed_at TIMESTAMP, batch STRING"
+COMMIT = "version INT, kind STRING, committed_at TIMESTAMP, batch STRING, schema STRING"
 WHOLE = ("overwrite", "compact")
 # Fixed value: default retention.
 KEEP_HOURS = 168
@@ -34,13 +36,12 @@ class VersionedTable:
         spark: SparkSession,
         path: str,
         keys: Sequence[str],
-        partition_by: Mapping[str, str] | None = None,
+        partition_by: Sequence[str] = (),
     ):
-        """``partition_by`` maps partition columns to their types, which folder names do not keep."""
         self.spark = spark
         self.path = path
         self.keys = list(keys)
-        self.partition_by = dict(partition_by or {})
+        self.partition_by = list(partition_by)
 
     # Commits ------------------------------------------------------------------
 
@@ -61,13 +62,11 @@ class VersionedTable:
         records = self._records()
         version = records[-1].version + 1 if records else 0
         at = at or datetime.now(timezone.utc)
-        partition_by = list(self.partition_by)
         rows = rows.withColumn("_committed_at", F.lit(at).cast("timestamp"))
-        if partition_by:
-            rows = rows.hint("rebalance", *partition_by)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*partition_by).parquet(f"{self.path}/data/_version={version}")
-        record = inline_table(self.spark, [(version, kind, at, batch)], COMMIT)
+        written = rows.hint("rebalance", *self.partition_by) if self.partition_by else rows
+        writer = written.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*self.partition_by).parquet(f"{self.path}/data/_version={version}")
+        record = inline_table(self.spark, [(version, kind, at, batch, rows.schema.json())], COMMIT)
         record.coalesce(1).write.mode("append").json(f"{self.path}/commits")
         return version
 
@@ -99,16 +98,16 @@ class VersionedTable:
         """Rows of the versions needed for the state after the last of the records."""
         whole = [r.version for r in records if r.kind in WHOLE]
         base = max(whole) if whole else records[0].version
-        return self._scan([r.version for r in records if r.version >= base])
+        return self._scan([r for r in records if r.version >= base])
 
-    def _scan(self, versions: Sequence[int]) -> DataFrame:
-        folders = [f"{self.path}/data/_version={v}" for v in versions]
-        reader = self.spark.read.option("basePath", f"{self.path}/data").option("mergeSchema", True)
-        found = reader.parquet(*folders)
-        types = {**self.partition_by, "_version": "int"}
-        fields = [T.StructField(f.name, T.StructType.fromDDL(f"c {types[f.name]}")["c"].dataType) if f.name in types else f
-                  for f in found.schema]
-        return self.spark.read.schema(T.StructType(fields)).option("basePath", f"{self.path}/data").parquet(*folders)
+    def _scan(self, records: Sequence) -> DataFrame:
+        """Log rows of the records; a column that came later is null in earlier ones."""
+        fields = {}
+        for record in records:
+            fields |= {f.name: f for f in T.StructType.fromJson(json.loads(record.schema))}
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()]).add("_version", T.IntegerType())
+        folders = [f"{self.path}/data/_version={r.version}" for r in records]
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
 
     def read(self, version: int | None = None, at: datetime | None = None) -> DataFrame:
         """The newest state, or the state after a version or at a moment."""
@@ -126,9 +125,9 @@ class VersionedTable:
 
     def history(self, n: int | None = None) -> DataFrame:
         """Commits, newest first, with the rows each inserted, updated and wrote."""
-        versions = [r.version for r in self._records() if _exists(self.spark, f"{self.path}/data/_version={r.version}")]
-        counts = changelog.history(self._scan(versions).select("_version", "_op")).withColumnRenamed("_version", "version")
-        listed = self.commits().drop("batch").join(counts, "version", "left")
+        kept = [r for r in self._records() if _exists(self.spark, f"{self.path}/data/_version={r.version}")]
+        counts = changelog.history(self._scan(kept).select("_version", "_op")).withColumnRenamed("_version", "version")
+        listed = self.commits().drop("batch", "schema").join(counts, "version", "left")
         listed = listed.fillna(0, ["inserted", "updated", "total"]).orderBy(F.desc("version"))
         return listed if n is None else listed.limit(n)
 

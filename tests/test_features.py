@@ -9,8 +9,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import values
-from macrospark.operators import calendar, features, joins, pivot, rollup, select
+from macrospark.operators import calendar, features, joins, pivot, rollup, select, skew
 from macrospark.operators.dedupe import dedupe_latest, latest_values
+from macrospark.operators.skew import hot_keys
 
 D = datetime.date
 
@@ -147,8 +148,18 @@ def test_asof_join_against_brute_force(rows, width):
     facts = [(rng.choice(keys + ["c"]), rng.choice([None, *range(40)]), i) for i in range(120)]
     chunk = None if width is None else (lambda t: F.floor(t / width))
     got = joins.asof_join(
-        rows(asks, "k string, t int, tag int"), rows(facts, "k string, at int, v int"), ["k"], "t", "at", ["v"], ["v"], chunk)
+        rows(asks, "k string, t int, tag int"), rows(facts, "k string, at int, v int"), ["k"], "t", "at", ["v"], ["v"], chunk,
+        hot=lambda df, by: hot_keys(df, by, 0.1, 10))
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_asof(asks, facts)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("_chunk" in plan) == (width is not None)
+
+
+def test_hot_keys(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    hot = df.filter(skew.key_hash(["k"]).isin(hot_keys(df, ["k"], least_rows=100)))
+    assert values(hot.distinct()) == [("hot",)] and hot.count() == 10_000
+    assert hot_keys(df, ["k"]) == [] and hot_keys(df.limit(0), ["k"]) == []
 
 
 def test_lookup_defaults(rows):

@@ -88,7 +88,7 @@ def test_later_columns(table, rows):
 
 
 def test_partition_types_survive(spark, tmp_path, rows):
-    table = VersionedTable(spark, str(tmp_path / "p"), ["k"], {"code": "string", "year": "int"})
+    table = VersionedTable(spark, str(tmp_path / "p"), ["k"], ["code", "year"])
     data = rows([("a", "007", 2020, 1.5), ("b", "x", 2021, 2.5)], "k string, code string, year int, v double")
     table.upsert(data, at(1))
     table.upsert(data.filter("k = 'a'").withColumn("code", F.lit("008")), at(2))
