@@ -73,7 +73,7 @@ def fred_raw(spark: SparkSession, sf: str) -> DataFrame:
     missing = (_status() == "P") & _priority().isin("1-URGENT", "2-HIGH")
     return table(spark, sf, "orders").select(
         pick(FRED_IDS, F.col("o_custkey")).alias("series_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        _day().cast("string").alias("date"),
         F.when(missing, ".").otherwise(F.col("o_totalprice").cast("string")).alias("value"),
         _loaded_at().alias("ingested_at"),
         F.col("o_orderkey").alias("record_id"),
@@ -133,11 +133,12 @@ def _bea_frequency() -> Column:
 def bea_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Records as published: numbers with separators, '(D)' for a withheld one, some periods unreadable."""
     day, frequency = F.col("l_shipdate"), _bea_frequency()
+    year = F.year(day).cast("string")
     period = (
         F.when((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "N"), "n/a")
-        .when(frequency == "A", F.date_format(day, "yyyy"))
-        .when(frequency == "M", F.date_format(day, "yyyy'M'MM"))
-        .otherwise(F.concat(F.date_format(day, "yyyy'Q'"), F.quarter(day).cast("string")))
+        .when(frequency == "A", year)
+        .when(frequency == "M", F.concat(year, F.lit("M"), F.lpad(F.month(day).cast("string"), 2, "0")))
+        .otherwise(F.concat(year, F.lit("Q"), F.quarter(day).cast("string")))
     )
     withheld = (F.col("l_returnflag") == "R") & (F.col("l_discount") == 0)
     return table(spark, sf, "lineitem").select(
@@ -179,7 +180,7 @@ def bls_raw(spark: SparkSession, sf: str) -> DataFrame:
         F.when((_status() == "P") & (_priority() == "3-MEDIUM"), "X01")
         .when(quarterly, F.concat(F.lit("Q0"), F.quarter("o_orderdate")))
         .when((_status() == "F") & (F.month("o_orderdate") == 12), "M13")
-        .otherwise(F.date_format("o_orderdate", "'M'MM"))
+        .otherwise(F.concat(F.lit("M"), F.lpad(F.month("o_orderdate").cast("string"), 2, "0")))
     )
 
     def note(value: str | None) -> Column:
@@ -188,7 +189,7 @@ def bls_raw(spark: SparkSession, sf: str) -> DataFrame:
     notes = F.when(_status() == "P", F.array(note("P"), note(None), note("R"))).when(_status() == "O", F.array(note("R"), note("")))
     return table(spark, sf, "orders").select(
         series.alias("series_id"),
-        F.date_format("o_orderdate", "yyyy").alias("year"),
+        F.year("o_orderdate").cast("string").alias("year"),
         code.alias("period"),
         F.date_format("o_orderdate", "MMMM").alias("periodName"),
         F.when((_status() == "P") & (_priority() == "1-URGENT"), "-").otherwise(F.col("o_totalprice").cast("string")).alias("value"),

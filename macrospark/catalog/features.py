@@ -96,7 +96,7 @@ def outer_merge(spark, sf):
 
 
 @query("""
-SELECT o_orderkey, o_orderdate AS asked_at, l_extendedprice AS known_price, CAST(l_shipdate AS DATE) AS known_since
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS asked_at, l_extendedprice AS known_price, CAST(l_shipdate AS DATE) AS known_since
 FROM orders LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY l_shipdate DESC,
     l_linenumber DESC, l_extendedprice DESC, l_partkey DESC, l_suppkey DESC) AS rn
   FROM lineitem JOIN (SELECT o_orderkey, o_orderdate AS cutoff FROM orders) ON l_orderkey = o_orderkey AND l_shipdate <= cutoff) k
@@ -109,10 +109,11 @@ def point_in_time_join(spark, sf):
         F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", F.col("l_extendedprice").alias("known_price"),
         F.col("l_shipdate").cast("date").alias("known_since"), *ties,
     )
-    return joins.asof_join(
+    known = joins.asof_join(
         asks, vintages, ["o_orderkey"], "asked_at", "l_shipdate", ["known_price", "known_since"], ties,
         chunk=lambda t: t.cast("date"),
     )
+    return known.withColumn("asked_at", F.col("asked_at").cast("date"))
 
 
 _SERIES_META = """

@@ -11,7 +11,8 @@ from macrospark.catalog.base import (
     bea_raw, bls_raw, fred_bronze, query, table,
 )
 from macrospark.operators import calendar, dedupe
-from macrospark.plans import marts, normalize, staging
+from macrospark.plans import marts, normalize, refresh, staging
+from macrospark.session import new_run_dir
 from macrospark.sources import dims
 
 TIE = ["record_id"]
@@ -127,6 +128,16 @@ def monthly_mart(spark, sf):
     return _mart(spark, sf, updated_at=F.lit(datetime.date(2024, 1, 31)))
 
 
+@query(f"WITH {_MART} SELECT * FROM mart")
+def published_mart(spark, sf):
+    """The mart merged into its versioned table, twice, and read back by year."""
+    spec, root = refresh.TABLES["macro_indicators_monthly"], new_run_dir(spark, "marts")
+    mart = _mart(spark, sf)
+    refresh.run_table(spark, spec, mart, root, "overwrite")
+    refresh.run_table(spark, spec, mart.filter("year >= 1998"), root)
+    return refresh.open_table(spark, spec, root).read()
+
+
 @query(f"""
 WITH {_MART} SELECT year, {', '.join(
     f"CAST(round(avg(CAST({c} AS DECIMAL(28,6))), {n}) AS DOUBLE) AS {m}" for m, (c, n) in marts.ANNUAL_METRICS.items())},

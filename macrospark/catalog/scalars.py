@@ -39,7 +39,7 @@ _CODES = """
     ELSE date_trunc('month', o_orderdate) END"""
 
 
-def _coded(spark, sf):
+def _coded(spark, sf, *extra):
     day, priority = F.col("o_orderdate"), F.col("o_orderpriority")
     month = F.date_format(day, "MM")
     code = (
@@ -50,7 +50,7 @@ def _coded(spark, sf):
         .when(priority == "4-NOT SPECIFIED", F.when(F.month(day) < 7, "S01").otherwise("S02"))
         .otherwise(F.concat(F.lit("m"), month))
     )
-    return table(spark, sf, "orders").select("o_orderkey", F.date_format(day, "yyyy").alias("year"), code.alias("code"))
+    return table(spark, sf, "orders").select("o_orderkey", F.date_format(day, "yyyy").alias("year"), code.alias("code"), *extra)
 
 
 @query(f"SELECT o_orderkey, CAST({_CODES} AS DATE) AS observation_date FROM orders")
@@ -195,7 +195,7 @@ def adhoc_sql(spark, sf):
     """SQL text over a registered view, with the parsers as SQL functions."""
     register_functions(spark)
     text = F.when(F.col("o_orderstatus") == "P", "n/a").otherwise(F.col("o_totalprice").cast("string"))
-    register_view(_coded(spark, sf).join(table(spark, sf, "orders").select("o_orderkey", text.alias("price")), "o_orderkey"), "coded_orders")
+    register_view(_coded(spark, sf, text.alias("price")), "coded_orders")
     return spark.sql("""
         SELECT CAST(year AS BIGINT) AS year, count(*) AS n, count(code_date(year, code)) AS dated,
                CAST(sum(CAST(coalesce(safe_double(price), 0) AS DECIMAL(18,2))) AS DOUBLE) AS total

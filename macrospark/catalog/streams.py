@@ -47,4 +47,5 @@ def stream_freshness(spark, sf):
     counts = streams.refreshed_by_window(_events(spark, sf), "event_type", "ts")
     streams.write_complete(counts, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
     written = spark.read.parquet(f"{root}/counts")
-    return written.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("window_start"), "rows", "refreshed_keys")
+    start = F.to_utc_timestamp("window.start", F.current_timezone())
+    return written.select(F.date_format(start, "yyyy-MM-dd HH:mm").alias("window_start"), "rows", "refreshed_keys")

@@ -66,6 +66,14 @@ def stored_history(spark, sf):
     return _stored(spark, sf).history().drop("committed_at")
 
 
+@query(f"""
+WITH {_LATEST}, both_keys AS (SELECT count(*) AS n FROM old JOIN new USING (l_orderkey, l_linenumber))
+SELECT 0 AS version, (SELECT count(*) FROM old) AS row_count
+UNION ALL SELECT 1, (SELECT count(*) FROM old) + (SELECT count(*) FROM new) - n FROM both_keys""")
+def stored_counts(spark, sf):
+    return _stored(spark, sf).row_counts([0, 1])
+
+
 @query(f"WITH {LOG}, {sql_state('version <= 3', 'state')} SELECT * FROM state")
 def as_of_version(spark, sf):
     return changelog.as_of_version(change_log(spark, sf), LINE_KEY, 3)

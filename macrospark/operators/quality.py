@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from macrospark.operators.rollup import missing_members
 from macrospark.sources.inline import inline_table
@@ -32,6 +33,15 @@ def _pass_fail(ok: Column) -> Column:
     return F.when(ok, "pass").otherwise("fail")
 
 
+def _days_between(start: Column, end: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        # wall-clock times: their difference must not depend on the session's time zone
+        gap = end - start
+        parts = {"DAY": 1, "HOUR": 24, "MINUTE": 1440, "SECOND": 86400}
+        return sum((F.extract(F.lit(u), gap).cast("double") / n for u, n in parts.items()), F.lit(0.0))
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / 86400e6
+
+
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null counts of all columns in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
@@ -60,7 +70,8 @@ def check_freshness(
     error_days: float = ERROR_AFTER_DAYS,
 ) -> DataFrame:
     """Age of the newest load in days; an empty table is an error."""
-    age = df.agg(((F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.max(at).cast("timestamp"))) / 86400e6).alias("age"))
+    kind = df.schema[at].dataType
+    age = df.agg(_days_between(F.max(at), as_of.cast(kind), kind).alias("age"))
     status = (
         F.when(F.col("age").isNull() | (F.col("age") > error_days), "error")
         .when(F.col("age") > warn_days, "warn")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from macrospark.operators import changelog
+from macrospark.operators.select import stack
 from macrospark.sources.inline import inline_table
 from macrospark.sources.sinks import _exists
 
@@ -135,6 +136,13 @@ class VersionedTable:
         """Keys added, removed or changed between two versions."""
         return changelog.state_diff(self.read(old), self.read(new), self.keys)
 
+    def row_counts(self, versions: Sequence[int]) -> DataFrame:
+        """Number of rows the table had after each of the versions."""
+        counts = [
+            self.read(v).agg(F.count("*").alias("row_count")).select(F.lit(v).alias("version"), "row_count") for v in versions
+        ]
+        return stack(counts)
+
     # Maintenance --------------------------------------------------------------
 
     def compact(self, cluster_by: Sequence[str] | None = None, at: datetime | None = None) -> int:

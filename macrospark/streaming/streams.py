@@ -21,6 +21,14 @@ def stream_parquet(spark: SparkSession, path: str, schema: T.StructType, max_fil
     return reader.parquet(path)
 
 
+def _timed(stream: DataFrame, at: str, delay: str) -> DataFrame:
+    """Watermark on a time column; wall-clock times are taken as UTC whatever the session's zone."""
+    moment = F.col(at).cast("timestamp")
+    if isinstance(stream.schema[at].dataType, T.TimestampNTZType):
+        moment = F.from_utc_timestamp(moment, F.current_timezone())
+    return stream.withColumn(at, moment).withWatermark(at, delay)
+
+
 def drop_replays(stream: DataFrame, keys: Sequence[str], at: str, delay: str = "1 day", salts: int = 0) -> DataFrame:
     """First arrival of every key; a key is remembered until the watermark passes it.
 
@@ -30,7 +38,7 @@ def drop_replays(stream: DataFrame, keys: Sequence[str], at: str, delay: str = "
     With ``salts`` the copies of a key are first thinned out in that many
     groups, so that a record sent over and over does not fill one task.
     """
-    timed = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay)
+    timed = _timed(stream, at, delay)
     if salts:
         timed = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         timed = timed.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
@@ -39,7 +47,7 @@ def drop_replays(stream: DataFrame, keys: Sequence[str], at: str, delay: str = "
 
 def refreshed_by_window(stream: DataFrame, key: str, at: str, width: str = "2 hours", delay: str = "1 day") -> DataFrame:
     """Approximate number of distinct keys, and the rows, per tumbling window."""
-    timed = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, delay)
+    timed = _timed(stream, at, delay)
     return timed.groupBy(F.window(at, width)).agg(
         F.approx_count_distinct(key).alias("refreshed_keys"), F.count("*").alias("rows")
     )
