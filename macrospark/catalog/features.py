@@ -109,10 +109,7 @@ def point_in_time_join(spark, sf):
         F.col("l_orderkey").alias("o_orderkey"), "l_shipdate", F.col("l_extendedprice").alias("known_price"),
         F.col("l_shipdate").cast("date").alias("known_since"), *ties,
     )
-    known = joins.asof_join(
-        asks, vintages, ["o_orderkey"], "asked_at", "l_shipdate", ["known_price", "known_since"], ties,
-        chunk=lambda t: t.cast("date"),
-    )
+    known = joins.asof_join(asks, vintages, ["o_orderkey"], "asked_at", "l_shipdate", ["known_price", "known_since"], ties)
     return known.withColumn("asked_at", F.col("asked_at").cast("date"))
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from macrospark.operators.dedupe import any_null
 from macrospark.operators.skew import hot_keys, key_hash
@@ -26,6 +27,10 @@ def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
     return left.join(right, list(on), "full")
 
 
+def _day(t: Column) -> Column:
+    return t.cast("date")
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -40,11 +45,13 @@ def asof_join(
     """Every left row with the newest right values at or before its time.
 
     Both sides are stacked and the last right row is carried forward, so no
-    pairs are formed. ``chunk`` (say, the day of the time) cuts the history of
-    hot keys into pieces that are carried separately; what stood before a
-    piece comes from one row per piece. The answer is the same, but a hot key
-    is spread over as many tasks as it has pieces.
+    pairs are formed. ``chunk`` (by default the day of a date or timestamp)
+    cuts the history of hot keys into pieces that are carried separately; what
+    stood before a piece comes from one row per piece. The answer is the same,
+    but a hot key is spread over as many tasks as it has pieces.
     """
+    if chunk is None and isinstance(left.schema[left_time].dataType, T.DatetimeType):
+        chunk = _day
     left_row, right_row = F.struct(*left.columns), F.struct(*values)
     empty_left = F.lit(None).cast(left.select(left_row.alias("r")).schema["r"].dataType)
     empty_right = F.lit(None).cast(right.select(right_row.alias("r")).schema["r"].dataType)

@@ -155,6 +155,14 @@ def test_asof_join_against_brute_force(rows, width):
     assert ("_chunk" in plan) == (width is not None)
 
 
+def test_asof_join_splits_by_day_unless_told(rows):
+    asks = rows([("a", datetime.datetime(2020, 1, d)) for d in range(1, 6)], "k string, t timestamp")
+    facts = rows([("a", datetime.datetime(2020, 1, 2, 12), 7)], "k string, at timestamp, v int")
+    got = joins.asof_join(asks, facts, ["k"], "t", "at", ["v"], hot=lambda df, by: hot_keys(df, by, 0.1, 1))
+    assert "_chunk" in got._jdf.queryExecution().executedPlan().toString()
+    assert [r[2] for r in values(got)] == [None, None, 7, 7, 7]
+
+
 def test_hot_keys(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     hot = df.filter(skew.key_hash(["k"]).isin(hot_keys(df, ["k"], least_rows=100)))
