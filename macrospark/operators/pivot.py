@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _newest(value: str, order: Sequence[str]) -> Column:
+def _rank(order: Sequence[str]) -> Column:
     # A single scalar order keeps the buffer fixed-width, hence a hash aggregate.
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    return F.max_by(value, rank)
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
 def pivot_wide(
@@ -25,11 +24,13 @@ def pivot_wide(
     """One row per index, one column per listed series: its newest value by ``order``.
 
     The list of series is explicit, so no job runs to discover it and the
-    other series are dropped at the scan.
+    other series are dropped at the scan. One aggregate fills all columns:
+    a pivot would group by index and series first, with a shuffle of its own.
     """
     listed = df.filter(F.col(key).isin(*columns))
-    wide = listed.groupBy(*index).pivot(key, list(columns)).agg(_newest(value, order))
-    return wide.withColumnsRenamed(dict(columns))
+    series, rank = F.col(key), _rank(order)
+    newest = [F.max_by(value, F.when(series == k, rank)).alias(c) for k, c in columns.items()]
+    return listed.groupBy(*index).agg(*newest)
 
 
 def pivot_last(
@@ -56,4 +57,4 @@ def resample_last(
     """Last non-null value of every entity in every week, month, quarter or year."""
     known = df.filter(F.col(value).isNotNull())
     start = F.trunc(F.col(date).cast("date"), grain) if grain != "day" else F.col(date).cast("date")
-    return known.groupBy(*by, start.alias(period)).agg(_newest(value, order).alias(value))
+    return known.groupBy(*by, start.alias(period)).agg(F.max_by(value, _rank(order)).alias(value))
