@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from macrospark.operators.dedupe import dedupe_latest
 from macrospark.sources import dims
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -282,27 +283,18 @@ SQL_NEWEST = "l_shipdate DESC, " + ", ".join(f"{c} DESC" for c in LINE_TIES)
 
 
 def change_log(spark: SparkSession, sf: str) -> DataFrame:
-    """lineitem as yearly commits: newest row per key and year, an update where the key was there before."""
-    from pyspark.sql import Window
-
-    from macrospark.operators.dedupe import dedupe_latest
-
+    """lineitem as yearly commits: the newest row per key and year."""
     lines = table(spark, sf, "lineitem").withColumn("_version", F.year("l_shipdate") - 1995)
     rows = dedupe_latest(lines, [*LINE_KEY, "_version"], ["l_shipdate"], LINE_TIES)
-    first = F.min("_version").over(Window.partitionBy(*LINE_KEY))
-    return rows.select(
-        *LINE_KEY, "l_quantity", "l_extendedprice", "_version",
-        F.when(F.col("_version") == first, "insert").otherwise("update").alias("_op"),
-        F.make_date(F.col("_version") + 1995, F.lit(12), F.lit(31)).cast("timestamp_ntz").alias("_committed_at"),
-    )
+    committed = F.make_date(F.col("_version") + 1995, F.lit(12), F.lit(31)).cast("timestamp_ntz")
+    return rows.select(*LINE_KEY, "l_quantity", "l_extendedprice", "_version", committed.alias("_committed_at"))
 
 
 LOG = f"""
 log AS (
-  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, version,
+  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, version, make_date(version + 1995, 12, 31) AS committed_at,
          CASE WHEN version = min(version) OVER (PARTITION BY l_orderkey, l_linenumber)
-              THEN 'insert' ELSE 'update' END AS op,
-         make_date(version + 1995, 12, 31) AS committed_at
+              THEN 'insert' ELSE 'update' END AS op
   FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, version ORDER BY {SQL_NEWEST}) AS rn
         FROM (SELECT *, CAST(year(l_shipdate) AS INTEGER) - 1995 AS version FROM lineitem))
   WHERE rn = 1)"""

@@ -89,7 +89,7 @@ def as_of_timestamp(spark, sf):
 WITH {LOG} SELECT version AS _version, count(*) FILTER (WHERE op = 'insert') AS inserted,
   count(*) FILTER (WHERE op = 'update') AS updated, count(*) AS total FROM log GROUP BY version""")
 def change_history(spark, sf):
-    return changelog.history(change_log(spark, sf))
+    return changelog.history(change_log(spark, sf), LINE_KEY)
 
 
 @query(f"""
@@ -118,8 +118,8 @@ def version_counts(spark, sf):
 @query(f"""
 WITH {LOG}, old AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY version DESC) AS rn
   FROM log WHERE committed_at < DATE '1999-01-01')
-SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, version AS _version, op AS _op FROM old WHERE rn = 1
-UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, version, op FROM log WHERE committed_at >= DATE '1999-01-01'""")
+SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, version AS _version FROM old WHERE rn = 1
+UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, version FROM log WHERE committed_at >= DATE '1999-01-01'""")
 def retention_filter(spark, sf):
     cutoff = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
     return changelog.retain(change_log(spark, sf), LINE_KEY, cutoff).drop("_committed_at")

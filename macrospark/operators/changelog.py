@@ -1,7 +1,7 @@
 """Upsert and history over a change log.
 
-A log row is a table row plus ``_version``, ``_op`` (insert, update or
-overwrite) and ``_committed_at``. A key's state is its newest row.
+A log row is a table row plus ``_version`` and ``_committed_at``; a version has
+one row per key. A key's state is its newest row.
 """
 
 from __future__ import annotations
@@ -13,11 +13,7 @@ from pyspark.sql import functions as F
 
 from macrospark.operators.dedupe import any_null, dedupe_latest, null_spread
 
-BOOKKEEPING = ("_version", "_op", "_committed_at")
-
-
-def _business(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in BOOKKEEPING]
+BOOKKEEPING = ("_version", "_committed_at")
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -37,20 +33,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe:
     return kept.unionByName(source, allowMissingColumns=True)
 
 
-def classify(source: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows with ``_op``: update where the key is known, else insert.
-
-    Only key columns of the known rows are read, and only those keys that the
-    source names survive the first join.
-    """
-    wanted = source.select(*keys).dropna("any").distinct()
-    hits = known.select(*keys).join(wanted, list(keys), "left_semi").distinct()
-    hits = hits.withColumns({"_spread": F.lit(0).cast("bigint"), "_known": F.lit(True)})
-    marked = source.withColumn("_spread", null_spread(keys, source.columns)).join(hits, [*keys, "_spread"], "left")
-    op = F.when(F.col("_known"), "update").otherwise("insert")
-    return marked.withColumn("_op", op).drop("_known", "_spread")
-
-
 def resolve(log: DataFrame, keys: Sequence[str], visible: Column | None = None) -> DataFrame:
     """State of the table after the visible log rows; rows with a null key are all kept."""
     seen = log if visible is None else log.filter(visible)
@@ -66,13 +48,25 @@ def as_of_timestamp(log: DataFrame, keys: Sequence[str], at: Column) -> DataFram
     return resolve(log, keys, F.col("_committed_at") <= at)
 
 
-def history(log: DataFrame) -> DataFrame:
-    """Rows inserted, updated and written in total per version."""
-    return log.groupBy("_version").agg(
-        F.count_if(F.col("_op") == "insert").alias("inserted"),
-        F.count_if(F.col("_op") == "update").alias("updated"),
-        F.count("*").alias("total"),
-    )
+def history(log: DataFrame, keys: Sequence[str], whole: Sequence[int] = ()) -> DataFrame:
+    """Rows inserted, updated and written in total per version.
+
+    A row is an insert in the version where its key first appears, counted
+    anew after each version that replaced the whole table; those versions
+    neither insert nor update. Found here, so that a commit need not look up
+    which keys it meets. Only key columns are read.
+    """
+    version = F.col("_version")
+    earlier = F.filter(F.array(*[F.lit(w) for w in whole]), lambda w: w <= version)
+    rows = log.select(*keys, "_version", (F.size(earlier) if whole else F.lit(0)).alias("_since"))
+    first = rows.filter(~any_null(keys)).groupBy("_since", *keys).agg(F.min("_version").alias("_version"))
+    fresh = first.select("_version").unionAll(rows.filter(any_null(keys)).select("_version"))
+    inserted = fresh.groupBy("_version").agg(F.count("*").alias("inserted"))
+    counted = rows.groupBy("_version").agg(F.count("*").alias("total")).join(inserted, "_version", "left")
+    merged = ~version.isin(*whole) if whole else F.lit(True)
+    new = F.when(merged, F.coalesce("inserted", F.lit(0))).otherwise(0)
+    known = F.when(merged, F.col("total") - new).otherwise(0)
+    return counted.select("_version", new.alias("inserted"), known.alias("updated"), "total")
 
 
 def state_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

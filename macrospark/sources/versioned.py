@@ -6,8 +6,9 @@ version counts only once its record exists, so a write that died half-way is
 never read, and the next commit replaces it. One writer at a time; any number
 of readers. Since the schemas are recorded, no read opens files to find them.
 
-A commit writes only the rows it brings. A read takes the versions since the
-last whole one (an overwrite or a compaction) and keeps each key's newest row.
+A commit only appends the rows it brings; it joins nothing. A read takes the
+versions since the last whole one (an overwrite or a compaction) and keeps each
+key's newest row.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ class VersionedTable:
 
     def overwrite(self, df: DataFrame, at: datetime | None = None) -> int:
         """Replace the whole table; earlier versions stay readable."""
-        return self._commit(df.withColumn("_op", F.lit("overwrite")), "overwrite", at)
+        return self._commit(df, "overwrite", at)
 
     def upsert(self, source: DataFrame, at: datetime | None = None, batch: str | None = None) -> int:
         """Update rows whose key is known, insert the others; the first write creates the table.
@@ -81,25 +82,19 @@ class VersionedTable:
         The source has one row per key. A ``batch`` that was committed before
         is not written again.
         """
-        records = self._records()
         if batch is not None:
-            for record in records:
+            for record in self._records():
                 if record.batch == batch:
                     return record.version
-        if records:
-            known = self._log(records).select(*self.keys)
-            rows = changelog.classify(source, known, self.keys)
-        else:
-            rows = source.withColumn("_op", F.lit("insert"))
-        return self._commit(rows, "merge", at, batch)
+        return self._commit(source, "merge", at, batch)
 
     # Reads --------------------------------------------------------------------
 
-    def _log(self, records: Sequence) -> DataFrame:
-        """Rows of the versions needed for the state after the last of the records."""
+    @staticmethod
+    def _needed(records: Sequence) -> list:
+        """The versions that make up the state after the last of the records."""
         whole = [r.version for r in records if r.kind in WHOLE]
-        base = max(whole) if whole else records[0].version
-        return self._scan([r for r in records if r.version >= base])
+        return [r for r in records if r.version >= max(whole)] if whole else list(records)
 
     def _scan(self, records: Sequence) -> DataFrame:
         """Log rows of the records; a column that came later is null in earlier ones."""
@@ -122,12 +117,16 @@ class VersionedTable:
             records = [r for r in records if r.committed_at.astimezone(timezone.utc) <= limit]
         if not records:
             raise ValueError(f"{self.path} has no version that old")
-        return changelog.resolve(self._log(records), self.keys)
+        needed = self._needed(records)
+        log = self._scan(needed)
+        # one version has one row per key
+        return changelog.resolve(log, self.keys) if len(needed) > 1 else log.drop(*changelog.BOOKKEEPING)
 
     def history(self, n: int | None = None) -> DataFrame:
         """Commits, newest first, with the rows each inserted, updated and wrote."""
         kept = [r for r in self._records() if _exists(self.spark, f"{self.path}/data/_version={r.version}")]
-        counts = changelog.history(self._scan(kept).select("_version", "_op")).withColumnRenamed("_version", "version")
+        whole = [r.version for r in kept if r.kind in WHOLE]
+        counts = changelog.history(self._scan(kept), self.keys, whole).withColumnRenamed("_version", "version")
         listed = self.commits().drop("batch", "schema").join(counts, "version", "left")
         listed = listed.fillna(0, ["inserted", "updated", "total"]).orderBy(F.desc("version"))
         return listed if n is None else listed.limit(n)
@@ -148,7 +147,7 @@ class VersionedTable:
     def compact(self, cluster_by: Sequence[str] | None = None, at: datetime | None = None) -> int:
         """Write the current state as one clustered version with few files; rows do not change."""
         cols = list(cluster_by or self.keys[:2])
-        state = self.read().withColumn("_op", F.lit("overwrite"))
+        state = self.read()
         clustered = state.withColumn("_z", interleaved_rank(state, cols))
         clustered = clustered.repartitionByRange("_z", *cols).sortWithinPartitions("_z", *cols).drop("_z")
         return self._commit(clustered, "compact", at)

@@ -74,7 +74,7 @@ def test_batch_is_written_once(table, kv):
 
 def test_unfinished_commit_is_invisible(spark, table, kv):
     table.upsert(kv([("a", 1)]), at(1))
-    left = kv([("a", 99)]).withColumns({"_op": F.lit("update"), "_committed_at": F.current_timestamp()})
+    left = kv([("a", 99)]).withColumn("_committed_at", F.current_timestamp())
     left.write.parquet(f"{table.path}/data/_version=1")
     assert values(table.read()) == [("a", 1)]
     table.upsert(kv([("b", 2)]), at(2))
@@ -113,6 +113,28 @@ def test_compaction_and_expiry(spark, table, kv):
         table.read(version=3).collect()
 
 
+def test_history_counts(table, kv):
+    table.upsert(kv([("a", 1), (None, 1)]), at(1))
+    table.upsert(kv([("a", 2), ("b", 2), (None, 2)]), at(2))
+    table.compact(at=at(3))
+    table.upsert(kv([("a", 3), ("c", 3)]), at(4))
+    table.overwrite(kv([("z", 1)]), at(5))
+    table.upsert(kv([("a", 4), ("z", 2)]), at(6))
+    table.upsert(kv([]), at(7))
+    got = [(r.version, r.kind, r.inserted, r.updated, r.total) for r in table.history().collect()]
+    assert got[::-1] == [(0, "merge", 2, 0, 2), (1, "merge", 2, 1, 3), (2, "compact", 0, 0, 4), (3, "merge", 1, 1, 2),
+                         (4, "overwrite", 0, 0, 1), (5, "merge", 1, 1, 2), (6, "merge", 0, 0, 0)]
+
+
+def test_commit_joins_nothing(spark, table, kv):
+    """A commit reads only its source."""
+    table.upsert(kv([("a", 1)]), at(1))
+    seen = []
+    table._scan = lambda records: seen.append(records)
+    table.upsert(kv([("a", 2)]), at(2))
+    assert seen == []
+
+
 def test_interleaved_rank_separates_both_columns(spark):
     df = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).cast("string").alias("b"))
     ranked = df.withColumn("z", interleaved_rank(df, ["a", "b"], 2))
@@ -158,7 +180,7 @@ def test_state_diff(rows):
 
 def test_retained_log_answers_late_questions(spark):
     log = spark.range(200).select(
-        (F.col("id") % 9).alias("k"), F.col("id").alias("v"), F.floor(F.col("id") / 20).cast("int").alias("_version"), F.lit("update").alias("_op"))
+        (F.col("id") % 9).alias("k"), F.col("id").alias("v"), F.floor(F.col("id") / 20).cast("int").alias("_version"))
     log = dedupe_latest(log, ["k", "_version"], ["v"]).withColumn("_committed_at", F.timestamp_seconds(F.col("_version") * 86400))
     kept = changelog.retain(log, ["k"], F.timestamp_seconds(F.lit(5 * 86400)))
     assert kept.count() < log.count()
