@@ -229,6 +229,21 @@ def derived_features(spark, sf):
     )
 
 
+_BEA_WIDE = ["gdp", "pce_goods", "personal_income", "current_account_balance", "goods_imports"]
+
+
+@query(f"""
+WITH {_MART}, {BEA}, {_BEA_NEWEST},
+accounts AS (SELECT period_date, {', '.join(f"max(value) FILTER (WHERE series_name = '{n}') AS {n}" for n in _BEA_WIDE)}
+             FROM newest WHERE NOT is_missing AND series_name IN ({', '.join(f"'{n}'" for n in _BEA_WIDE)}) GROUP BY 1)
+SELECT m.observation_month, m.cpi_all_urban, m.gdp_billions_usd, {', '.join(_BEA_WIDE)}
+FROM mart m LEFT JOIN accounts a ON a.period_date = m.observation_month""")
+def mart_with_accounts(spark, sf):
+    """The mart with columns of a second source."""
+    mart = _mart(spark, sf).select("observation_month", "cpi_all_urban", "gdp_billions_usd")
+    return marts.with_bea_columns(mart, staging.stage_bea(_bea_bronze(spark, sf), ["value"]), _BEA_WIDE)
+
+
 # A mart per entity: the same plan with entity columns --------------------------------
 
 ENTITY_SPEC = marts.MartSpec(

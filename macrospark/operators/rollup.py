@@ -11,8 +11,15 @@ from macrospark.sources.inline import inline_table
 
 
 def exact_avg(column: str, places: int) -> Column:
-    """Mean rounded to ``places``; summed in fixed point so that row order does not matter."""
-    return F.round(F.avg(F.col(column).cast("decimal(28,6)")), places).cast("double")
+    """Mean rounded to ``places``.
+
+    Summed in fixed point, so that row order does not matter; in floating
+    point only if some value does not fit.
+    """
+    value = F.col(column).cast("double")
+    fixed = value.try_cast("decimal(28,6)")
+    exact = F.round(F.avg(fixed), places).cast("double")
+    return F.when(F.count(fixed) == F.count(value), exact).otherwise(F.round(F.avg(value), places))
 
 
 def annual_rollup(df: DataFrame, year: str, metrics: Mapping[str, tuple[str, int]]) -> DataFrame:

@@ -191,6 +191,33 @@ def macro_summary(
     return changed.withColumn("yield_curve_inverted", S.negative_flag("yield_curve_spread"))
 
 
+# National-accounts series that may join the mart, under their own names.
+BEA_COLUMNS = (
+    "gdp",
+    "pce_total",
+    "pce_goods",
+    "pce_durable_goods",
+    "pce_services",
+    "pce_housing_utilities",
+    "pce_healthcare",
+    "personal_income",
+    "wages_salaries",
+    "personal_saving_rate",
+    "current_account_balance",
+    "goods_exports",
+    "goods_imports",
+    "services_exports",
+    "services_imports",
+)
+
+
+def with_bea_columns(mart: DataFrame, staged_bea: DataFrame, names: Sequence[str] = BEA_COLUMNS) -> DataFrame:
+    """The mart with national-accounts columns; each value stands on the first month of its period."""
+    known = staged_bea.filter(~F.col("is_missing")).withColumn(MONTH, F.trunc("period_date", "month"))
+    wide = pivot.pivot_wide(known, [MONTH], "series_name", "value", {n: n for n in names}, ["period_date"])
+    return mart.join(wide, MONTH, "left")
+
+
 def ratio(a: str, b: str) -> Column:
     return F.col(a) / F.nullif(F.col(b), F.lit(0.0))
 

@@ -193,3 +193,15 @@ def test_missing_members(rows):
 def test_annual_rollup(rows):
     df = rows([(2020, 1.0), (2020, 2.0), (2020, None), (2021, 3.0)], "year int, x double")
     assert values(rollup.annual_rollup(df, "year", {"m": ("x", 1)})) == [(2020, 1.5, 3), (2021, 3.0, 1)]
+
+
+def test_annual_rollup_of_values_beyond_fixed_point(rows):
+    df = rows([(2020, 1.0), (2020, math.inf), (2021, 1e30), (2021, 3e30)], "year int, x double")
+    assert values(rollup.annual_rollup(df, "year", {"m": ("x", 1)})) == [(2020, math.inf, 2), (2021, 2e30, 2)]
+
+
+def test_audit_column_and_unify(rows):
+    df = rows([("a", 1)], "s string, v int")
+    got = select.with_audit(select.unify(df, {"name": F.col("s"), "double": F.col("v") * 2}), "at", F.lit(D(2024, 1, 1)))
+    assert values(got) == [("a", 2, D(2024, 1, 1))]
+    assert select.with_audit(df, "at").schema["at"].dataType.typeName() == "timestamp"
