@@ -99,20 +99,15 @@ SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, coalesce(a.l_linenumb
 FROM a FULL JOIN b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber
 WHERE a.l_orderkey IS NULL OR b.l_orderkey IS NULL OR a.l_quantity <> b.l_quantity OR a.l_extendedprice <> b.l_extendedprice""")
 def version_diff(spark, sf):
-    log = change_log(spark, sf)
-    return changelog.state_diff(
-        changelog.as_of_version(log, LINE_KEY, 2), changelog.as_of_version(log, LINE_KEY, 5), LINE_KEY
-    )
+    return changelog.log_diff(change_log(spark, sf), LINE_KEY, 2, 5)
 
 
 @query(f"""
 WITH {LOG}, {sql_state('version <= 0', 'a')}, {sql_state('true', 'b')}
-SELECT 'oldest' AS state, count(*) AS row_count FROM a UNION ALL SELECT 'newest', count(*) FROM b""")
+SELECT 0 AS version, count(*) AS row_count FROM a UNION ALL SELECT 6, count(*) FROM b""")
 def version_counts(spark, sf):
-    log = change_log(spark, sf)
-    states = {"oldest": changelog.as_of_version(log, LINE_KEY, 0), "newest": changelog.resolve(log, LINE_KEY)}
-    counts = [s.agg(F.count("*").alias("row_count")).withColumn("state", F.lit(n)) for n, s in states.items()]
-    return counts[0].unionByName(counts[1])
+    """Rows of the oldest and of the newest version."""
+    return changelog.state_counts(change_log(spark, sf), LINE_KEY, [0, 6])
 
 
 @query(f"""

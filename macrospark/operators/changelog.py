@@ -85,6 +85,32 @@ def state_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     return both.select(*keys, change.alias("change")).filter("change is not null")
 
 
+def log_diff(log: DataFrame, keys: Sequence[str], old: int, new: int) -> DataFrame:
+    """``state_diff`` of two versions of one log, in a single pass and shuffle."""
+    values = F.struct(*[c for c in log.columns if c not in (*keys, *BOOKKEEPING)])
+    version = F.col("_version")
+    seen = log.filter(version <= new)
+    states = seen.filter(~any_null(keys)).groupBy(*keys).agg(
+        F.min(version).alias("_first"),
+        F.max_by(values, F.when(version <= old, version)).alias("_old"),
+        F.max_by(values, version).alias("_new"),
+    )
+    change = F.when(F.col("_first") > old, "added").when(~F.col("_old").eqNullSafe(F.col("_new")), "changed")
+    found = states.select(*keys, change.alias("change")).filter("change is not null")
+    keyless = seen.filter(any_null(keys) & (version > old)).select(*keys, F.lit("added").alias("change"))
+    return found.unionByName(keyless)
+
+
+def state_counts(log: DataFrame, keys: Sequence[str], versions: Sequence[int]) -> DataFrame:
+    """Number of rows of the table after each of the versions of one log; reads key columns only."""
+    rows = log.select(*keys, "_version")
+    first = rows.filter(~any_null(keys)).groupBy(*keys).agg(F.min("_version").alias("_first"))
+    begun = first.select("_first").unionAll(rows.filter(any_null(keys)).select("_version"))
+    counts = begun.agg(*[F.count_if(F.col("_first") <= v).alias(f"v{v}") for v in versions])
+    listed = [F.struct(F.lit(v).alias("version"), F.col(f"v{v}").alias("row_count")) for v in versions]
+    return counts.select(F.inline(F.array(*listed)))
+
+
 def retain(log: DataFrame, keys: Sequence[str], cutoff: Column) -> DataFrame:
     """Log rows still needed when history before ``cutoff`` may be forgotten.
 

@@ -107,11 +107,10 @@ class VersionedTable:
 
     def read(self, version: int | None = None, at: datetime | None = None) -> DataFrame:
         """The newest state, or the state after a version or at a moment."""
-        records = self._records()
         if version is not None:
-            if version not in [r.version for r in records]:
-                raise ValueError(f"no version {version} in {self.path}")
-            records = [r for r in records if r.version <= version]
+            records = self._records_until(version)
+        else:
+            records = self._records()
         if at is not None:
             limit = at.astimezone(timezone.utc) if at.tzinfo else at.replace(tzinfo=timezone.utc)
             records = [r for r in records if r.committed_at.astimezone(timezone.utc) <= limit]
@@ -131,25 +130,37 @@ class VersionedTable:
         listed = listed.fillna(0, ["inserted", "updated", "total"]).orderBy(F.desc("version"))
         return listed if n is None else listed.limit(n)
 
+    def _records_until(self, version: int) -> list:
+        records = self._records()
+        if version not in [r.version for r in records]:
+            raise ValueError(f"no version {version} in {self.path}")
+        return self._needed([r for r in records if r.version <= version])
+
     def compare(self, old: int, new: int) -> DataFrame:
-        """Keys added, removed or changed between two versions."""
+        """Keys added, removed or changed between an earlier and a later version."""
+        before, after = self._records_until(old), self._records_until(new)
+        if old <= new and before[0].version == after[0].version:
+            return changelog.log_diff(self._scan(after), self.keys, old, new)
         return changelog.state_diff(self.read(old), self.read(new), self.keys)
 
     def row_counts(self, versions: Sequence[int]) -> DataFrame:
         """Number of rows the table had after each of the versions."""
-        counts = [
-            self.read(v).agg(F.count("*").alias("row_count")).select(F.lit(v).alias("version"), "row_count") for v in versions
-        ]
-        return stack(counts)
+        groups: dict[int, tuple[list, list[int]]] = {}
+        for version in sorted(set(versions)):
+            needed = self._records_until(version)
+            _, members = groups.get(needed[0].version, (None, []))
+            groups[needed[0].version] = (needed, [*members, version])
+        return stack([changelog.state_counts(self._scan(r), self.keys, members) for r, members in groups.values()])
 
     # Maintenance --------------------------------------------------------------
 
     def compact(self, cluster_by: Sequence[str] | None = None, at: datetime | None = None) -> int:
         """Write the current state as one clustered version with few files; rows do not change."""
         cols = list(cluster_by or self.keys[:2])
-        state = self.read()
-        clustered = state.withColumn("_z", interleaved_rank(state, cols))
-        clustered = clustered.repartitionByRange("_z", *cols).sortWithinPartitions("_z", *cols).drop("_z")
+        # the quantiles may as well come from the log, which costs no deduplication
+        ranked = with_interleaved_rank(self.read(), cols, "_z", self._scan(self._needed(self._records())))
+        clustered = ranked.repartitionByRange("_z", *cols)
+        clustered = clustered.sortWithinPartitions("_z", *cols).drop("_z")
         return self._commit(clustered, "compact", at)
 
     def expire(self, keep_hours: int = KEEP_HOURS, now: datetime | None = None) -> list[int]:
@@ -172,24 +183,27 @@ class VersionedTable:
         return gone
 
 
-def interleaved_rank(df: DataFrame, cols: Sequence[str], bits: int = 4) -> Column:
-    """Bits of every column's quantile bucket, interleaved.
+def with_interleaved_rank(df: DataFrame, cols: Sequence[str], out: str, profile: DataFrame, bits: int = 4) -> DataFrame:
+    """Bits of every column's bucket, by quantiles of ``profile``, interleaved into a rank.
 
     Neighbouring values of all columns get neighbouring ranks, so file
     statistics can skip by any of them. The driver sees 2^bits - 1 quantiles
     per column.
     """
-    buckets = 2**bits
-    shares = [i / buckets for i in range(1, buckets)]
+    parts = 2**bits
+    shares = [i / parts for i in range(1, parts)]
     numbers = {c: _as_number(df, c) for c in cols}
-    cuts = df.agg(*[F.percentile_approx(n, shares).alias(c) for c, n in numbers.items()]).first()
+    cuts = profile.agg(*[F.percentile_approx(n, shares).alias(c) for c, n in numbers.items()]).first()
+    # columns of their own, so that a bucket is found once and not once per bit
+    buckets = {
+        f"_bucket{i}": sum((F.coalesce(numbers[c] > F.lit(cut), F.lit(False)).cast("int") for cut in cuts[c] or []), F.lit(0))
+        for i, c in enumerate(cols)
+    }
     rank = F.lit(0)
     for bit in reversed(range(bits)):
-        for c in cols:
-            bucket = sum(((numbers[c] > F.lit(cut)).cast("int") for cut in cuts[c] or []), F.lit(0))
-            digit = F.coalesce(F.shiftright(bucket, bit).bitwiseAND(F.lit(1)), F.lit(0))
-            rank = rank * 2 + digit
-    return rank
+        for bucket in buckets:
+            rank = rank * 2 + F.shiftright(bucket, bit).bitwiseAND(F.lit(1))
+    return df.withColumns(buckets).withColumn(out, rank).drop(*buckets)
 
 
 def _as_number(df: DataFrame, column: str) -> Column:

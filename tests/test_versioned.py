@@ -8,7 +8,7 @@ from conftest import values
 from macrospark.operators import changelog
 from macrospark.operators.dedupe import dedupe_latest
 from macrospark.plans import refresh, staging
-from macrospark.sources.versioned import VersionedTable, interleaved_rank
+from macrospark.sources.versioned import VersionedTable, with_interleaved_rank
 
 UTC = datetime.timezone.utc
 
@@ -137,7 +137,7 @@ def test_commit_joins_nothing(spark, table, kv):
 
 def test_interleaved_rank_separates_both_columns(spark):
     df = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).cast("string").alias("b"))
-    ranked = df.withColumn("z", interleaved_rank(df, ["a", "b"], 2))
+    ranked = with_interleaved_rank(df, ["a", "b"], "z", df, 2)
     spans = ranked.groupBy("z").agg(F.count_distinct("a").alias("na"), F.count_distinct("b").alias("nb")).collect()
     assert len(spans) == 16 and max(r.na for r in spans) <= 20 and max(r.nb for r in spans) <= 24
 
@@ -157,6 +157,18 @@ def test_random_history_against_dicts(table, kv):
     for version, want in enumerate(states):
         assert values(table.read(version=version)) == want
         assert values(table.read(at=at(version + 1))) == want
+    assert values(table.row_counts(range(7))) == [(v, len(s)) for v, s in enumerate(states)]
+    for old, new in ((0, 2), (1, 5), (3, 6), (4, 4), (6, 2)):
+        a, b = dict(states[old]), dict(states[new])
+        want = {k: "added" if k not in a else "removed" if k not in b else "changed" for k in {*a, *b} if a.get(k) != b.get(k)}
+        assert values(table.compare(old, new)) == sorted(want.items())
+
+
+def test_compare_with_null_keys(table, kv):
+    table.upsert(kv([(None, 1), ("a", None)]), at(1))
+    table.upsert(kv([(None, 2), ("a", 1), ("b", None)]), at(2))
+    assert values(table.compare(0, 1)) == [(None, "added"), ("a", "changed"), ("b", "added")]
+    assert values(table.row_counts([0, 1])) == [(0, 2), (1, 4)]
 
 
 def test_upsert_twice_is_once(kv):
