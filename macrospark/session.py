@@ -17,6 +17,7 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, **conf: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")  # in local mode the driver does all the work
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
