@@ -58,7 +58,9 @@ def archive_json(spark: SparkSession, docs: DataFrame, root: str, source: str, d
         archived = spark.read.schema(layout).text(path).filter(
             (F.col("year") == f"{day.year}") & (F.col("month") == f"{day.month:02d}") & (F.col("day") == f"{day.day:02d}")
         )
-    fresh = _stamped(new_documents(docs, archived).drop("content_hash"), day)
+    # a line break in JSON is mere layout (within a string it is escaped), but would end the line here
+    lines = docs.withColumn("payload", F.regexp_replace("payload", r"[\r\n]+", " "))
+    fresh = _stamped(new_documents(lines, archived).drop("content_hash"), day)
     partition_by = ["indicator", *DAY_COLUMNS]
     _balanced(fresh, partition_by).write.partitionBy(*partition_by).mode("append").text(path)
     return path

@@ -77,6 +77,14 @@ def test_landing_twice_adds_nothing(spark, rows, tmp_path):
     assert (tmp_path / "raw/s/indicator=a/year=2024/month=03/day=05").is_dir()
 
 
+def test_documents_over_several_lines(spark, rows, tmp_path):
+    doc = json.dumps({"observations": [{"date": "2020-01-01", "value": "1"}, {"date": "2020-02-01", "value": "2"}]}, indent=2)
+    for _ in range(2):
+        path = land(spark, rows, tmp_path, "fred", [("gdp", doc)])
+    records, bad = json_docs.read_fred_json(spark, path)
+    assert values(records) == [("GDP", "2020-01-01", "1"), ("GDP", "2020-02-01", "2")] and bad.isEmpty()
+
+
 def test_day_is_replaced(spark, tmp_path):
     for n, day in ((3, DAY), (5, DAY + datetime.timedelta(1)), (2, DAY)):
         path = sinks.archive_parquet(spark.range(n), str(tmp_path), "s", "i", day)
