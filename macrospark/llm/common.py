@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-import json
-import re
+import os
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from macrospark.session import new_run_dir
 
 
+def ready(spark: SparkSession) -> None:
+    """Let this machine's Python workers import the package from where the driver has it.
+
+    On a cluster the package comes with the job (`--py-files`).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -42,19 +55,10 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-_SUFFIX = re.compile("[kKmMgGtT]?[bB]?$")
-
-
-def sizes_of(df: DataFrame, column: str) -> dict[str, int]:
-    """Rows and text bytes, counted over all rows."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_of(column))).alias("b")).first()
-    return {"rows": row["n"], "bytes": row["b"] or 0}
-
-
 def pieces(batch: pa.RecordBatch, column: int, limit: int):
     """Cut a batch into slices of about `limit` text bytes, so that one slice's arrays stay small."""
     texts = batch.column(column)
-    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > limit:
@@ -64,7 +68,3 @@ def pieces(batch: pa.RecordBatch, column: int, limit: int):
     if start < batch.num_rows:
         yield batch.slice(start)
 
-
-def as_json(value) -> str:
-    """Compact JSON with a fixed key order."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"))

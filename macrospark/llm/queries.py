@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrospark.llm import decontaminate, exact_dedup, sharding
+from macrospark.llm import decontaminate, exact_dedup, licenses, line_dedup, near_dedup, sharding
 from macrospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,32 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.digest_columns(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest_columns(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op3_line_dedup"] = """
+with texts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+runs as (
+  select doc_id, i, array_to_string(list_slice(lines, i, i + 2), chr(10)) as run
+  from (select doc_id, lines, unnest(range(1, len(lines) - 1)) as i from texts)),
+ranked as (select doc_id, i, row_number() over (partition by run order by doc_id, i) as place from runs),
+removed as (
+  select doc_id, list(distinct p) as gone from (select doc_id, unnest([i, i + 1, i + 2]) as p from ranked where place > 1)
+  group by doc_id)
+select doc_id, cast(len(lines) as bigint) as n_lines, coalesce(len(gone), 0) as n_removed,
+  sha256(coalesce(array_to_string(list_filter(lines, (x, i) -> gone is null or not list_contains(gone, i)), chr(10)), ''))
+    as kept_sha256
+from texts left join removed using (doc_id)
+"""
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest_columns(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -69,3 +95,11 @@ from documents window same as (partition by coalesce(text, ''))
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest_columns(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest_columns(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op10_licenses"] = licenses.oracle_sql()
