@@ -35,12 +35,12 @@ runs as (
   from (select doc_id, lines, unnest(range(1, len(lines) - 1)) as i from texts)),
 ranked as (select doc_id, i, row_number() over (partition by run order by doc_id, i) as place from runs),
 removed as (
-  select doc_id, list(distinct p) as gone from (select doc_id, unnest([i, i + 1, i + 2]) as p from ranked where place > 1)
-  group by doc_id)
-select doc_id, cast(len(lines) as bigint) as n_lines, coalesce(len(gone), 0) as n_removed,
-  sha256(coalesce(array_to_string(list_filter(lines, (x, i) -> gone is null or not list_contains(gone, i)), chr(10)), ''))
-    as kept_sha256
-from texts left join removed using (doc_id)
+  select distinct doc_id, p, true as gone
+  from (select doc_id, unnest([i, i + 1, i + 2]) as p from ranked where place > 1)),
+placed as (select doc_id, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as p from texts)
+select doc_id, count(*) as n_lines, count(gone) as n_removed,
+  sha256(coalesce(string_agg(line, chr(10) order by p) filter (where gone is null), '')) as kept_sha256
+from placed left join removed using (doc_id, p) group by doc_id
 """
 
 
