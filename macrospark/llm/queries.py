@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrospark.llm import decontaminate, exact_dedup, licenses, line_dedup, near_dedup, sharding
+from macrospark.llm import decontaminate, exact_dedup, licenses, line_dedup, near_dedup, quality, sharding
 from macrospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,11 @@ from documents window same as (partition by coalesce(text, ''))
 """
 
 
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest_columns(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest_columns(table(spark, sf_dir, "documents"))
