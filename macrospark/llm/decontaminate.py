@@ -12,7 +12,7 @@ its hits, so no document is shuffled and no item is left out.
 
 Defined cases: null and empty texts have no words; an item without words matches nothing; a
 repeated item counts once; a null item id reads as the empty string; repeated documents are each
-judged; all columns pass through, and the result column must not exist yet (ValueError).
+judged; all columns pass through, and a result column whose name is taken gets `_` appended.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from macrospark.llm.common import free_name
+
 WINDOW = 10
 BLOCK_BYTES = 1_000_000
 _LONGEST_BLOCK = 3
@@ -175,8 +177,7 @@ def find_contamination(
 
     `keep` names the columns to return beside it (all, if not given).
     """
-    if result.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column {result} exists already")
+    result = free_name(docs, result)
     keep = docs.columns if keep is None else keep
     blocks = list(item_blocks(items, item_key, item_text, block_bytes))
     carried = list(dict.fromkeys([*keep, text]))
@@ -208,4 +209,6 @@ def digest_columns(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents in which no test string occurs, columns as they were."""
-    return find_contamination(docs, items, **options).where(F.size("contamination.hits") == 0).drop("contamination")
+    result = free_name(docs, "contamination")
+    found = find_contamination(docs, items, result=result, **options)
+    return found.where(F.size(F.col(result)["hits"]) == 0).drop(result)

@@ -14,7 +14,7 @@ which changes no result. All is done in the row: no shuffle, no join.
 
 Defined cases: null and empty texts, and texts of fewer words than a shingle, hold no license; a
 license found in several windows counts once, with its best containment; repeated rows are each
-scanned; all columns pass through, and the result column must not exist yet (ValueError).
+scanned; all columns pass through, and a result column whose name is taken gets `_` appended.
 """
 
 from __future__ import annotations
@@ -164,8 +164,7 @@ def scan(
     miss: float = MISS,
 ) -> DataFrame:
     """Add an array of (name, containment), sorted by name: the licenses that a text holds."""
-    if result.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column {result} exists already")
+    result = free_name(docs, result)
     library = Library(docs.sparkSession, templates, size, containment, miss)
     # Working columns sit in a struct, so that no column of the documents can clash with them.
     row = free_name(docs, "_row")

@@ -14,8 +14,8 @@
 Defined cases: null and empty texts have the zero vector and get the score the network gives it;
 of several rows with one key the least vector is learned from; rows without a label, or labelled
 null, are not learned from; if no labelled rows of both kinds are left, every score is the share
-of label 1, or 0.5 without any label; other columns pass through, and the new column must not
-exist yet (ValueError).
+of label 1, or 0.5 without any label; other columns pass through, and a new column whose name is
+taken gets `_` appended.
 """
 
 from __future__ import annotations
@@ -244,8 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", tex
 
 def with_score(docs: DataFrame, model, text: str = "text", name: str = "score") -> DataFrame:
     """Add the probability of label 1."""
-    if name.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"column {name} exists already")
+    name = free_name(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 

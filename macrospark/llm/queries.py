@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrospark.llm import decontaminate, exact_dedup, licenses, line_dedup, near_dedup, quality, sharding
+from macrospark.llm import decontaminate, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, sharding
 from macrospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.digest_columns(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest_columns(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest_columns(table(spark, sf_dir, "documents"))

@@ -6,7 +6,7 @@ into itself and moves none between the others; a row's shard depends on nothing
 the weights.
 
 Defined cases: a null key counts as the empty key; equal keys meet in one shard; an empty table
-stays empty; other columns pass through, and the new column must not exist yet (ValueError).
+stays empty; other columns pass through, and a new column whose name is taken gets `_` appended.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from macrospark.llm.common import text_of
+from macrospark.llm.common import free_name, text_of
 
 #: Sub-buckets of a shard in which slots are numbered; each is one sort, so none is large.
 SLOT_BUCKETS = 4096
@@ -43,9 +43,7 @@ def shard_of(key: str, weights: Sequence[float]) -> Column:
 
 def with_shard(df: DataFrame, key: str, weights: Sequence[float], name: str = "shard") -> DataFrame:
     """Add each row's shard. No shuffle: the shard is a function of the key."""
-    if name.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"column {name} exists already")
-    return df.withColumn(name, shard_of(key, weights))
+    return df.withColumn(free_name(df, name), shard_of(key, weights))
 
 
 def slots(df: DataFrame, shard: str, key: str, columns: Sequence[str], name: str = "slot") -> DataFrame:
