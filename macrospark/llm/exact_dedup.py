@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from macrospark.llm.common import text_of, written
 from macrospark.session import new_run_dir
 
+#: Digests that were hit travel to the scan if they are no more than this (64 MB); beyond it, rows are shuffled to them.
+BROADCAST_DIGESTS = 1_000_000
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -49,6 +51,8 @@ def run_stream(spark: SparkSession, path: str, checkpoint: str, key: str, text:
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "400")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # no room set aside on disk
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
     schema = spark.read.parquet(path).select(key, text).schema
     pattern = f"{path[:-1]}[{path[-1]}]"  # a pattern may stand for one file or for a folder
     stream = _rows(session.readStream.schema(schema).parquet(pattern), key, text, digest)
@@ -98,7 +102,8 @@ def exact_dedup(
     hit = state.where("seen > 1").select(
         F.col("digest").alias("d"), F.col("file").alias("keep_file"), F.col("row").alias("keep_row")
     )
-    hits = rows.join(hit, F.col("digest") == F.col("d"))
+    small = hit.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS
+    hits = rows.join(F.broadcast(hit) if small else hit, F.col("digest") == F.col("d"))
     retained = hits.where("file = keep_file and row = keep_row").select("d", F.col("content").alias("kept_content"))
     checked = hits.drop("d").join(retained, F.col("digest") == F.col("d"))
     # Rows whose bytes are not the retained ones: none, unless the digest collides.
