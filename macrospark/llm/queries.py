@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrospark.llm import decontaminate, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup
+from macrospark.llm import decontaminate, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, url_filter
 from macrospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest_columns(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest_columns(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest_columns(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
