@@ -1,6 +1,6 @@
 """Mixing to target weights by soft membership.
 
-1. *Posteriors.* A softmax regression over hashed words, fitted on at most `SAMPLE` labelled
+1. *Posteriors.* A softmax regression over hashed tokens (words and runs of punctuation), fitted on at most `SAMPLE` labelled
    documents (those with the least hash of their key), gives each document a probability for
    each domain, rounded to `STEP`. Domains come from a labelled table.
 2. *Rates.* Each document gets a rate r >= 0, so that the expected tokens of domain d, the sum of
@@ -51,15 +51,15 @@ def domain_of_labels() -> Column:
 
 
 def word_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct word buckets of each text: text number, bucket; and the words of each text."""
-    hashes, at = tokens(texts)
+    """Distinct token buckets of each text: text number, bucket; and the tokens of each text."""
+    hashes, at = tokens(texts, signs=True)
     counts = np.diff(at)
     keys = np.unique(np.repeat(np.arange(len(counts), dtype=U), counts) * U(BUCKETS) + (hashes & U(BUCKETS - 1)))
     return (keys // U(BUCKETS)).astype(np.int64), (keys % U(BUCKETS)).astype(np.int64), counts
 
 
 class Regression:
-    """Softmax over the mean weight of a text's distinct words, sharpened by the root of their number."""
+    """Softmax over the weights of a text's distinct tokens; an L1 penalty keeps rare ones at zero."""
 
     def __init__(self, domains: list[str]):
         self.domains = domains
@@ -71,7 +71,7 @@ class Regression:
         e = np.exp(z - z.max(1, keepdims=True))
         return e / e.sum(1, keepdims=True)
 
-    def fit(self, sets: list[np.ndarray], y: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.05) -> None:
+    def fit(self, sets: list[np.ndarray], y: np.ndarray, epochs: int = 20, batch: int = 64, rate: float = 0.1, l1: float = 1e-3) -> None:
         """AdaGrad on the log loss, with a fixed seed."""
         rng = np.random.default_rng(11)
         squares, bias_squares = np.full_like(self.weights, 1e-2), np.full_like(self.bias, 1e-2)
@@ -84,9 +84,11 @@ class Regression:
                 error = self.probabilities(text, bucket, len(rows))
                 error[np.arange(len(rows)), y[rows]] -= 1
                 used, place = np.unique(bucket, return_inverse=True)
-                grad = np.stack([np.bincount(place, error[text, d], len(used)) for d in range(len(self.domains))], 1) / batch
+                grad = np.stack([np.bincount(place, error[text, d], len(used)) for d in range(len(self.domains))], 1) / len(rows)
                 squares[used] += grad * grad
-                self.weights[used] -= rate * grad / np.sqrt(squares[used])
+                step = rate / np.sqrt(squares[used])
+                moved = self.weights[used] - step * grad
+                self.weights[used] = np.sign(moved) * np.maximum(np.abs(moved) - step * l1, 0)
                 bias = error.mean(0)
                 bias_squares += bias * bias
                 self.bias -= rate * bias / np.sqrt(bias_squares)
