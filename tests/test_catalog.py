@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_point
 import parity
+from macrospark.catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +25,11 @@ def test_parity_notices_a_changed_value(spark, con):
     assert parity.difference(df.limit(5), con, ORACLE["monthly_mart"]) is not None
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
+    assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
