@@ -228,22 +228,19 @@ bls AS (
 # Period-grain series ------------------------------------------------------------
 
 def obs_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly totals per priority. One series lacks two months a year, one has an unknown May."""
+    """Monthly totals per priority; of the low ones the total of pending orders, unknown in months without any."""
     month = F.trunc(_day(), "month")
-    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
-    sums = table(spark, sf, "orders").groupBy(_priority().alias("series_id"), month.alias("month")).agg(total.alias("total"))
-    absent = (F.col("series_id") == "4-NOT SPECIFIED") & F.month("month").isin(2, 9)
-    unknown = (F.col("series_id") == "5-LOW") & (F.month("month") == 5)
-    return sums.filter(~absent).select("series_id", "month", F.when(~unknown, F.col("total")).alias("value"))
+    counted = F.when((_priority() != "5-LOW") | (_status() == "P"), F.col("o_totalprice").cast("decimal(18,2)"))
+    sums = table(spark, sf, "orders").groupBy(_priority().alias("series_id"), month.alias("month"))
+    return sums.agg(F.sum(counted).cast("double").alias("value"))
 
 
 MONTHLY = """
 monthly AS (
-  SELECT series_id, month, CASE WHEN series_id = '5-LOW' AND month(month) = 5 THEN NULL ELSE total END AS value
-  FROM (SELECT o_orderpriority AS series_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-        FROM orders GROUP BY 1, 2)
-  WHERE NOT (series_id = '4-NOT SPECIFIED' AND month(month) IN (2, 9)))"""
+  SELECT o_orderpriority AS series_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+         CAST(sum(CASE WHEN o_orderpriority <> '5-LOW' OR o_orderstatus = 'P'
+                       THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS value
+  FROM orders GROUP BY 1, 2)"""
 
 MONTH_SPINE = """
 spine AS (

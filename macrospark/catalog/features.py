@@ -113,6 +113,18 @@ def point_in_time_join(spark, sf):
     return known.withColumn("asked_at", F.col("asked_at").cast("date"))
 
 
+@query("""
+SELECT e.event_id, arg_max(known.event_id, (known.ts, known.event_id)) AS last_event
+FROM events e LEFT JOIN events known ON known.event_type = e.event_type AND known.ts <= e.ts AND known.value >= 50
+GROUP BY e.event_id""")
+def point_in_time_hot(spark, sf):
+    """For every event the last one of its type (there are five types) with a large value."""
+    events = table(spark, sf, "events")
+    large = events.filter("value >= 50").select("event_type", F.col("ts").alias("at"), F.col("event_id").alias("last_event"))
+    asks = events.select("event_type", "ts", "event_id")
+    return joins.asof_join(asks, large, ["event_type"], "ts", "at", ["last_event"], ["last_event"]).select("event_id", "last_event")
+
+
 _SERIES_META = """
 dim(series_id, rank) AS (VALUES ('1-URGENT', 'first'), ('2-HIGH', 'second'), ('3-MEDIUM', 'third'))"""
 
@@ -143,10 +155,9 @@ def pivot_last_nonnull(spark, sf):
 SELECT event_type, period, value FROM (
   SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS period, value,
          row_number() OVER (PARTITION BY event_type, date_trunc('month', ts) ORDER BY ts DESC, event_id DESC) AS rn
-  FROM events WHERE value >= 1) WHERE rn = 1""")
+  FROM events) WHERE rn = 1""")
 def resample_month_last(spark, sf):
-    events = table(spark, sf, "events").withColumn("value", F.when(F.col("value") >= 1, F.col("value")))
-    return pivot.resample_last(events, ["event_type"], "ts", "value", "month", ["ts", "event_id"])
+    return pivot.resample_last(table(spark, sf, "events"), ["event_type"], "ts", "value", "month", ["ts", "event_id"])
 
 
 @query("""

@@ -52,7 +52,7 @@ def dedupe_no_vintage(spark, sf):
 
 _BEA_NEWEST = """
 newest AS (
-  SELECT table_key, series_name, period_date, value, value IS NULL AS is_missing, frequency, bea_line_number
+  SELECT table_key, series_name, period_date, value, value IS NULL AS is_missing, frequency, bea_line_number, ingested_at
   FROM (SELECT *, row_number() OVER (PARTITION BY table_key, series_name, period_date
           ORDER BY ingested_at DESC, value DESC NULLS LAST) AS rn FROM bea WHERE period_date IS NOT NULL)
   WHERE rn = 1)"""
@@ -70,7 +70,7 @@ def _bls_bronze(spark, sf):
     return rows
 
 
-@query(f"WITH {BEA}, {_BEA_NEWEST} SELECT * FROM newest")
+@query(f"WITH {BEA}, {_BEA_NEWEST} SELECT * EXCLUDE (ingested_at) FROM newest")
 def dedupe_latest_composite(spark, sf):
     staged = staging.stage_bea(_bea_bronze(spark, sf), ["value"])
     return staged.select("table_key", "series_name", "period_date", "value", "is_missing", "frequency", "bea_line_number")
@@ -83,12 +83,28 @@ def staging_cast(spark, sf):
 
 
 @query(f"""
-WITH {FRED}, {BEA}, {BLS}
-SELECT 'fred' AS source, series_id, observation_date, value, coalesce(value_is_missing, value IS NULL) AS is_missing FROM fred
-UNION ALL SELECT 'bea', table_key || '.' || series_name, period_date, value, value IS NULL FROM bea WHERE period_date IS NOT NULL
-UNION ALL SELECT 'bls', series_id, observation_date, value, value IS NULL FROM bls""")
+WITH {FRED}, {BEA}, {_BEA_NEWEST}, {BLS},
+fred_newest AS (
+  SELECT series_id, observation_date, value, coalesce(value_is_missing, value IS NULL) AS is_missing, ingested_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY series_id, observation_date ORDER BY ingested_at DESC, record_id DESC) AS rn FROM fred)
+  WHERE rn = 1),
+bls_newest AS (
+  SELECT series_id, observation_date, value, value IS NULL AS is_missing, ingested_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY series_id, observation_date
+          ORDER BY ingested_at DESC, value DESC NULLS LAST) AS rn FROM bls) WHERE rn = 1),
+united AS (
+SELECT 'fred' AS source, * FROM fred_newest
+UNION ALL SELECT 'bea', table_key || '.' || series_name, period_date, value, is_missing, ingested_at FROM newest
+UNION ALL SELECT 'bls', * FROM bls_newest)
+SELECT * REPLACE (strftime(ingested_at, '%Y-%m-%d %H') AS ingested_at) FROM united""")
 def unified_observations(spark, sf):
-    return staging.unified_observations(fred_bronze(spark, sf), _bea_bronze(spark, sf), _bls_bronze(spark, sf))
+    """The newest vintages of all three agencies, BLS staged like the others."""
+    united = staging.unified_observations(
+        fred=staging.stage_fred(fred_bronze(spark, sf), TIE),
+        bea=staging.stage_bea(_bea_bronze(spark, sf), ["value"]),
+        bls=staging.stage_bls(_bls_bronze(spark, sf), ["value"]),
+    )
+    return united.withColumn("ingested_at", F.date_format("ingested_at", "yyyy-MM-dd HH"))
 
 
 # The monthly mart ---------------------------------------------------------------
@@ -182,9 +198,9 @@ WITH {FRED}, {BEA}, {_BEA_NEWEST},
 output AS (
   SELECT month, max(value) FILTER (WHERE series_name = 'gdp') AS gdp_billions,
          max(value) FILTER (WHERE series_name = 'personal_consumption_expenditures') AS pce_billions
-  FROM (SELECT *, row_number() OVER (PARTITION BY series_name, month ORDER BY period_date DESC, table_key DESC) AS rn
+  FROM (SELECT *, row_number() OVER (PARTITION BY series_name, month ORDER BY period_date DESC) AS rn
         FROM (SELECT *, CAST(date_trunc('month', period_date) AS DATE) AS month FROM newest
-              WHERE value IS NOT NULL AND series_name IN ('gdp', 'personal_consumption_expenditures')))
+              WHERE table_key = 'gdp_and_components' AND value IS NOT NULL AND series_name IN ('gdp', 'personal_consumption_expenditures')))
   WHERE rn = 1 GROUP BY month),
 money AS (
   SELECT month, max(value) FILTER (WHERE series_id = 'CPIAUCSL') AS cpi, max(value) FILTER (WHERE series_id = 'FEDFUNDS') AS fed_funds_rate,
@@ -200,33 +216,42 @@ SELECT * EXCLUDE (h), (h / lag(h, 12) OVER (ORDER BY month) - 1) * 100.0 AS cpi_
        coalesce(yield_curve_spread < 0, false) AS yield_curve_inverted FROM held""")
 def macro_summary(spark, sf):
     bea = staging.stage_bea(_bea_bronze(spark, sf), ["value"])
-    return marts.macro_summary(bea, fred_bronze(spark, sf), ["table_key"], TIE)
+    return marts.macro_summary(bea=bea, fred=fred_bronze(spark, sf), fred_tie=TIE)
+
+
+_EXTENDED = _MART.replace(
+    "('GDP', 'GDPC1')", "('GDP', 'GDPC1', 'GDPPOT')"
+).replace(
+    "max(value) FILTER (WHERE series_id = 'GDP') ",
+    "max(value) FILTER (WHERE series_id = 'T10Y2Y') AS yield_curve_spread, "
+    "max(value) FILTER (WHERE series_id = 'GDPPOT') AS potential_gdp_billions, max(value) FILTER (WHERE series_id = 'GDP') ",
+).replace(
+    ", gdp_billions_usd,", ", yield_curve_spread, potential_gdp_billions, gdp_billions_usd,"
+)
 
 
 @query(f"""
-WITH {_MART} SELECT observation_month, {_yoy('core_cpi')} AS core_cpi_yoy_pct, fed_funds_rate - cpi_yoy_pct AS real_fed_funds_rate,
-  coalesce(trade_balance_millions - housing_starts_thousands < 0, false) AS yield_curve_inverted,
+WITH {_EXTENDED}, {BEA}, {_BEA_NEWEST},
+accounts AS (SELECT period_date, max(value) FILTER (WHERE series_name = 'pce_services') AS pce_services,
+               max(value) FILTER (WHERE series_name = 'pce_goods') AS pce_goods
+             FROM newest WHERE NOT is_missing GROUP BY 1)
+SELECT observation_month, {_yoy('core_cpi')} AS core_cpi_yoy_pct, fed_funds_rate - cpi_yoy_pct AS real_fed_funds_rate,
+  coalesce(yield_curve_spread < 0, false) AS yield_curve_inverted,
   nonfarm_payrolls_mom_change AS payrolls_mom_change_thousands,
-  core_pce / nullif(pce_price_index, 0) AS pce_services_goods_ratio,
-  100.0 * (real_gdp_billions - gdp_billions_usd) / nullif(gdp_billions_usd, 0) AS gdp_output_gap_proxy,
-  {_yoy('real_gdp_billions').replace(', 12)', ', 3)')} AS real_gdp_qoq_pct FROM mart""")
+  pce_services / nullif(pce_goods, 0) AS pce_services_goods_ratio,
+  100.0 * (real_gdp_billions - potential_gdp_billions) / nullif(potential_gdp_billions, 0) AS gdp_output_gap_proxy,
+  {_yoy('real_gdp_billions').replace(', 12)', ', 3)')} AS real_gdp_qoq_pct
+FROM mart LEFT JOIN accounts ON period_date = observation_month""")
 def derived_features(spark, sf):
-    mart = _mart(spark, sf).withColumns(
-        {
-            "yield_curve_spread": F.col("trade_balance_millions") - F.col("housing_starts_thousands"),
-            "pce_services": F.col("core_pce"),
-            "pce_goods": F.col("pce_price_index"),
-            "potential_gdp_billions": F.col("gdp_billions_usd"),
-        }
-    )
-    derived = marts.derived_features(mart)
-    return derived.select(
-        "observation_month",
-        F.col("core_cpi_yoy_pct").cast("double").alias("core_cpi_yoy_pct"),
-        "real_fed_funds_rate", "yield_curve_inverted", "payrolls_mom_change_thousands",
-        "pce_services_goods_ratio", "gdp_output_gap_proxy",
-        F.col("real_gdp_qoq_pct").cast("double").alias("real_gdp_qoq_pct"),
-    )
+    mart = _mart(spark, sf, spec=marts.EXTENDED)
+    mart = marts.with_bea_columns(mart, staging.stage_bea(_bea_bronze(spark, sf), ["value"]), ["pce_services", "pce_goods"])
+    names = [
+        "core_cpi_yoy_pct", "real_fed_funds_rate", "yield_curve_inverted", "payrolls_mom_change_thousands",
+        "pce_services_goods_ratio", "gdp_output_gap_proxy", "real_gdp_qoq_pct",
+    ]
+    derived = marts.derived_features(mart, names=names)
+    percent = {c: F.col(c).cast("double") for c in ("core_cpi_yoy_pct", "real_gdp_qoq_pct")}
+    return derived.withColumns(percent).select("observation_month", *names)
 
 
 _BEA_WIDE = ["gdp", "pce_goods", "personal_income", "current_account_balance", "goods_imports"]

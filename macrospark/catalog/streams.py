@@ -23,18 +23,25 @@ def stream_dedupe(spark, sf):
     """Every event arrives twice and is kept once."""
     root = new_run_dir(spark, "stream-dedupe")
     doubled = _events(spark, sf).unionByName(_events(spark, sf))
-    once = streams.drop_replays(doubled, ["event_id"], "ts", salts=8)
+    once = streams.drop_replays(doubled, ["event_id"], "ts", "1 day", salts=8)
     streams.write_stream(once.select("event_id", "event_type", "user_id", "value"), f"{root}/rows", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/rows")
 
 
-@query(_ROWS)
+@query("""
+SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (SELECT *, row_number() OVER (
+  PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
 def stream_upsert(spark, sf):
-    """The doubled stream merged into a versioned table."""
+    """Each customer's newest order, from several micro-batches of which the last holds the oldest orders."""
     root = new_run_dir(spark, "stream-upsert")
-    stored = VersionedTable(spark, f"{root}/table", ["event_id"])
-    doubled = _events(spark, sf).unionByName(_events(spark, sf)).select("event_id", "event_type", "user_id", "value")
-    streams.upsert_stream(doubled, stored, ["value"], f"{root}/checkpoint").awaitTermination()
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    for year in range(1998, 1991, -1):  # written newest first, so that old vintages arrive late
+        last = F.year("o_orderdate") <= year if year == 1992 else F.year("o_orderdate") == year
+        later = F.year("o_orderdate") >= year if year == 1998 else last
+        orders.filter(later).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+    stored = VersionedTable(spark, f"{root}/table", ["o_custkey"], order=["o_orderdate", "o_orderkey"])
+    arriving = streams.stream_parquet(spark, f"{root}/landed", orders.schema, max_files=2)
+    streams.upsert_stream(arriving, stored, f"{root}/checkpoint").awaitTermination()
     return stored.read()
 
 

@@ -74,6 +74,47 @@ def stored_counts(spark, sf):
     return _stored(spark, sf).row_counts([0, 1])
 
 
+@query(f"""
+WITH {_LATEST}, one AS (SELECT max(l_orderkey) AS k FROM old)
+SELECT * FROM old UNION ALL SELECT k + 1, 1, 1.0, 1.0 FROM one""")
+def stored_overwrite(spark, sf):
+    """A table overwritten, then given one unrelated key: nothing else changes."""
+    target, _ = _two_loads(spark, sf)
+    stored = VersionedTable(spark, new_run_dir(spark, "lines"), LINE_KEY)
+    stored.overwrite(target)
+    extra = target.agg((F.max("l_orderkey") + 1).alias("l_orderkey")).select(
+        "l_orderkey", F.lit(1).cast(target.schema["l_linenumber"].dataType).alias("l_linenumber"),
+        F.lit(1.0).alias("l_extendedprice"), F.lit(1.0).alias("l_quantity"))
+    stored.upsert(extra)
+    return stored.read()
+
+
+@query(f"""
+WITH {_LATEST} SELECT l_orderkey, l_linenumber, CASE WHEN o.l_quantity IS NULL THEN 'added' ELSE 'changed' END AS change
+FROM new n LEFT JOIN old o USING (l_orderkey, l_linenumber)
+WHERE o.l_quantity IS NULL OR o.l_quantity <> n.l_quantity OR o.l_extendedprice <> n.l_extendedprice""")
+def stored_diff(spark, sf):
+    """Keys that differ between the two stored versions."""
+    return _stored(spark, sf).compare(0, 1)
+
+
+@query(f"WITH {_LATEST} SELECT * FROM old")
+def stored_as_of_timestamp(spark, sf):
+    """The stored table as it was between its two commits."""
+    return _stored(spark, sf).read(at=datetime.datetime(2024, 1, 5, tzinfo=datetime.timezone.utc))
+
+
+@query(f"""
+WITH {_LATEST} SELECT * FROM new UNION ALL
+SELECT * FROM old WHERE (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM new)""")
+def stored_retention(spark, sf):
+    """The newest state after all versions that it does not need were deleted."""
+    stored = _stored(spark, sf)
+    stored.compact(at=datetime.datetime(2024, 1, 9, tzinfo=datetime.timezone.utc))
+    stored.expire(now=datetime.datetime(2024, 2, 9, tzinfo=datetime.timezone.utc))
+    return stored.read()
+
+
 @query(f"WITH {LOG}, {sql_state('version <= 3', 'state')} SELECT * FROM state")
 def as_of_version(spark, sf):
     return changelog.as_of_version(change_log(spark, sf), LINE_KEY, 3)

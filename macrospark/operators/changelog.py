@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from macrospark.operators.dedupe import any_null, dedupe_latest, null_spread
@@ -22,22 +22,27 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe:
     The source has one row per key. A null key equals nothing, so such target
     rows stay and such source rows are added, unless ``null_safe``.
     """
-    if null_safe:
-        t, s = target.alias("t"), source.select(*keys).alias("s")
-        same = [F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-        kept = t.join(s, same, "left_anti")
-    else:
-        spread = target.withColumn("_spread", null_spread(keys, target.columns))
-        incoming = source.select(*keys, F.lit(0).cast("bigint").alias("_spread"))
-        kept = spread.join(incoming, [*keys, "_spread"], "left_anti").drop("_spread")
-    return kept.unionByName(source, allowMissingColumns=True)
-
-
-def resolve(log: DataFrame, keys: Sequence[str], visible: Column | None = None) -> DataFrame:
-    """State of the table after the visible log rows; rows with a null key are all kept."""
+    both = target.withColumn("_side", F.lit(0)).unionByName(source.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    apart = F.lit(0).cast("bigint") if null_safe else _apart(keys)
+    # Each side is read once, and one shuffle brings a key's rows together.
+    ranked = Window.partitionBy(*keys, "_apart").orderBy(F.desc("_side"))
+    found = both.withColumn("_apart", apart).withColumn("_newest", F.rank().over(ranked))
+    return found.filter("_newest = 1").drop("_side", "_apart", "_newest")
+
+
+def _apart(keys: Sequence[str]) -> Column:
+    """Zero, or for rows with a null key a number of their own: they equal nothing and share no task."""
+    return F.when(any_null(keys), F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("bigint"))
+
+
+def resolve(log: DataFrame, keys: Sequence[str], visible: Column | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """State of the table after the visible log rows, in one scan; rows with a null key are all kept.
+
+    Of a key's rows the greatest by ``order`` stays, and of equal ones the newest version.
+    """
     seen = log if visible is None else log.filter(visible)
-    newest = dedupe_latest(seen.filter(~any_null(keys)), keys, ["_version"])
-    return newest.unionByName(seen.filter(any_null(keys))).drop(*BOOKKEEPING)
+    spread = seen.withColumn("_apart", _apart(keys))
+    return dedupe_latest(spread, [*keys, "_apart"], [*order, "_version"]).drop("_apart", *BOOKKEEPING)
 
 
 def as_of_version(log: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
@@ -59,8 +64,7 @@ def history(log: DataFrame, keys: Sequence[str], whole: Sequence[int] = ()) -> D
     version = F.col("_version")
     earlier = F.filter(F.array(*[F.lit(w) for w in whole]), lambda w: w <= version)
     rows = log.select(*keys, "_version", (F.size(earlier) if whole else F.lit(0)).alias("_since"))
-    first = rows.filter(~any_null(keys)).groupBy("_since", *keys).agg(F.min("_version").alias("_version"))
-    fresh = first.select("_version").unionAll(rows.filter(any_null(keys)).select("_version"))
+    fresh = rows.groupBy("_since", *keys, _apart(keys).alias("_apart")).agg(F.min("_version").alias("_version"))
     inserted = fresh.groupBy("_version").agg(F.count("*").alias("inserted"))
     counted = rows.groupBy("_version").agg(F.count("*").alias("total")).join(inserted, "_version", "left")
     merged = ~version.isin(*whole) if whole else F.lit(True)
@@ -87,25 +91,22 @@ def state_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
 
 def log_diff(log: DataFrame, keys: Sequence[str], old: int, new: int) -> DataFrame:
     """``state_diff`` of two versions of one log, in a single pass and shuffle."""
-    values = F.struct(*[c for c in log.columns if c not in (*keys, *BOOKKEEPING)])
     version = F.col("_version")
-    seen = log.filter(version <= new)
-    states = seen.filter(~any_null(keys)).groupBy(*keys).agg(
+    seen = log.filter(version <= new).withColumn("_apart", _apart(keys))
+    values = F.struct(*[c for c in log.columns if c not in (*keys, *BOOKKEEPING)])
+    states = seen.groupBy(*keys, "_apart").agg(
         F.min(version).alias("_first"),
         F.max_by(values, F.when(version <= old, version)).alias("_old"),
         F.max_by(values, version).alias("_new"),
     )
     change = F.when(F.col("_first") > old, "added").when(~F.col("_old").eqNullSafe(F.col("_new")), "changed")
-    found = states.select(*keys, change.alias("change")).filter("change is not null")
-    keyless = seen.filter(any_null(keys) & (version > old)).select(*keys, F.lit("added").alias("change"))
-    return found.unionByName(keyless)
+    return states.select(*keys, change.alias("change")).filter("change is not null")
 
 
 def state_counts(log: DataFrame, keys: Sequence[str], versions: Sequence[int]) -> DataFrame:
     """Number of rows of the table after each of the versions of one log; reads key columns only."""
     rows = log.select(*keys, "_version")
-    first = rows.filter(~any_null(keys)).groupBy(*keys).agg(F.min("_version").alias("_first"))
-    begun = first.select("_first").unionAll(rows.filter(any_null(keys)).select("_version"))
+    begun = rows.groupBy(*keys, _apart(keys).alias("_apart")).agg(F.min("_version").alias("_first"))
     counts = begun.agg(*[F.count_if(F.col("_first") <= v).alias(f"v{v}") for v in versions])
     listed = [F.struct(F.lit(v).alias("version"), F.col(f"v{v}").alias("row_count")) for v in versions]
     return counts.select(F.inline(F.array(*listed)))

@@ -47,6 +47,6 @@ def dedupe_latest(
 
 
 def latest_values(df: DataFrame, keys: Sequence[str], values: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """``dedupe_latest`` for a few columns, as an aggregate with map-side combine."""
-    picked = F.max_by(F.struct(*values), F.struct(*order))
-    return df.groupBy(*keys).agg(picked.alias("_v")).select(*keys, *[F.col("_v")[v].alias(v) for v in values])
+    """``dedupe_latest`` for a few columns: no others are read or shuffled."""
+    needed = df.select(*dict.fromkeys([*keys, *values, *order]))
+    return dedupe_latest(needed, keys, order).select(*keys, *values)

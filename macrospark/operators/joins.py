@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from macrospark.operators.dedupe import any_null
-from macrospark.operators.skew import hot_keys, key_hash
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: Sequence[str], defaults: Mapping[str, str]) -> DataFrame:
@@ -27,8 +26,9 @@ def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
     return left.join(right, list(on), "full")
 
 
-def _day(t: Column) -> Column:
-    return t.cast("date")
+def _piece(t: Column, kind: T.DataType) -> Column:
+    """What cuts a key's history: the hour of a timestamp, any other time by its own value."""
+    return F.date_trunc("hour", t) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else t
 
 
 def asof_join(
@@ -39,53 +39,45 @@ def asof_join(
     right_time: str,
     values: Sequence[str],
     tie: Sequence[str] = (),
-    chunk: Callable[[Column], Column] | None = None,
-    hot: Callable[[DataFrame, Sequence[str]], Sequence[int]] = hot_keys,
+    piece: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Every left row with the newest right values at or before its time.
 
     Both sides are stacked and the last right row is carried forward, so no
-    pairs are formed. ``chunk`` (by default the day of a date or timestamp)
-    cuts the history of hot keys into pieces that are carried separately; what
-    stood before a piece comes from one row per piece. The answer is the same,
-    but a hot key is spread over as many tasks as it has pieces.
+    pairs are formed. Every key's history is cut into pieces of time (``piece``;
+    by default hours, or single values of a time that is no timestamp) that are
+    carried separately, so a hot key is spread over as many tasks as it has
+    pieces. What stood before a piece comes from one row per key and piece that
+    has right rows; only those rows meet in a window over the key. There is one
+    path, whatever the sizes and the type of the time.
     """
-    if chunk is None and isinstance(left.schema[left_time].dataType, T.DatetimeType):
-        chunk = _day
+    kind = left.schema[left_time].dataType
+    cut = piece or (lambda t: _piece(t, kind))
     left_row, right_row = F.struct(*left.columns), F.struct(*values)
     empty_left = F.lit(None).cast(left.select(left_row.alias("r")).schema["r"].dataType)
     empty_right = F.lit(None).cast(right.select(right_row.alias("r")).schema["r"].dataType)
     ties = [f"_tie{i}" for i in range(len(tie))]
-
-    known = left.filter(~any_null(by))
-    asks = known.select(
-        *by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), left_row.alias("_left"), empty_right.alias("_right")
+    # rows without a key or a time can match nothing: they get a piece of their own and share no task
+    lost = any_null([*by, left_time])
+    asks = left.select(
+        *by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), left_row.alias("_left"), empty_right.alias("_right"),
+        F.when(lost, F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("bigint")).alias("_apart"),
     )
-    facts = right.filter(~any_null(by) & F.col(right_time).isNotNull()).select(
-        *by, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), empty_left.alias("_left"), right_row.alias("_right"),
-        *[F.col(c).alias(t) for c, t in zip(tie, ties)],
+    facts = right.filter(~any_null([*by, right_time])).select(
+        *by, F.col(right_time).cast(kind).alias("_t"), F.lit(0).alias("_side"), empty_left.alias("_left"), right_row.alias("_right"),
+        F.lit(0).cast("bigint").alias("_apart"), *[F.col(c).alias(t) for c, t in zip(tie, ties)],
     )
-    both = asks.unionByName(facts, allowMissingColumns=True)
-    split = list(hot(both, by)) if chunk else []
-    keys = list(by)
-    if split:
-        # null for the other keys, which then find nothing in the carried pieces
-        both = both.withColumn("_chunk", F.when(key_hash(by).isin(split), chunk(F.col("_t"))))
-        keys.append("_chunk")
-
+    keys = [*by, "_piece", "_apart"]
+    both = asks.unionByName(facts, allowMissingColumns=True).withColumn("_piece", cut(F.col("_t")))
     upto = Window.partitionBy(*keys).orderBy("_t", "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
     inside = both.withColumn("_hit", F.last("_right", ignorenulls=True).over(upto)).filter("_side = 1")
-    hit = F.col("_hit")
-    if split:
-        end = F.max_by("_right", F.when(F.col("_side") == 0, F.struct("_t", *ties)))
-        pieces = both.filter("_chunk is not null").groupBy(*keys).agg(end.alias("_end"))
-        before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        carried = pieces.select(*keys, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-        inside = inside.join(carried, keys, "left")
-        hit = F.coalesce("_hit", "_carry")
-    found = inside.select(
-        "_left.*", *[F.when(F.col("_left")[left_time].isNotNull(), hit[v]).alias(v) for v in values]
-    )
-    # rows without a key can match nothing
-    keyless = left.filter(any_null(by)).select("*", *[F.lit(None).cast(right.schema[v].dataType).alias(v) for v in values])
-    return found.unionByName(keyless)
+
+    # The last right row of each piece, and from it what stands at the end of every earlier one.
+    ends = facts.withColumn("_piece", cut(F.col("_t"))).groupBy(*by, "_piece").agg(F.max_by("_right", F.struct("_t", *ties)).alias("_end"))
+    wanted = asks.filter(~lost).select(*by, cut(F.col("_t")).alias("_piece")).distinct()
+    steps = ends.unionByName(wanted, allowMissingColumns=True).groupBy(*by, "_piece").agg(F.first("_end", ignorenulls=True).alias("_end"))
+    before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = steps.select(*by, "_piece", F.last("_end", ignorenulls=True).over(before).alias("_carry"), F.lit(0).cast("bigint").alias("_apart"))
+    hit = F.coalesce("_hit", "_carry")
+    found = inside.join(carried, keys, "left")
+    return found.select("_left.*", *[F.when(F.col("_apart") == 0, hit[v]).alias(v) for v in values])

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from macrospark.functions import scalars as S
-from macrospark.operators import calendar, features, pivot, rollup
+from macrospark.operators import calendar, features, pivot, quality, rollup
 from macrospark.operators.joins import outer_merge
 
 MONTH = "observation_month"
@@ -53,6 +53,13 @@ MACRO = MartSpec(
     complete=("cpi_all_urban", "unemployment_rate", "fed_funds_rate"),
 )
 
+# Two more series that derived features need.
+EXTENDED = replace(
+    MACRO,
+    series={**MACRO.series, "T10Y2Y": "yield_curve_spread", "GDPPOT": "potential_gdp_billions"},
+    quarterly=("GDP", "GDPC1", "GDPPOT"),
+)
+
 # Metric -> (mart column, decimal places).
 ANNUAL_METRICS = {
     "avg_unemployment": ("unemployment_rate", 3),
@@ -157,7 +164,8 @@ def recession_signals_by_quarter(mart: DataFrame, by: Sequence[str] = ()) -> Dat
     return _signals(mart, by_quarter, by)
 
 
-# The columns of the macro summary.
+# The columns of the macro summary, and the table its accounts come from.
+SUMMARY_TABLE = "gdp_and_components"
 SUMMARY_BEA = {"gdp": "gdp_billions", "personal_consumption_expenditures": "pce_billions"}
 SUMMARY_FRED = {
     "CPIAUCSL": "cpi",
@@ -168,18 +176,20 @@ SUMMARY_FRED = {
 
 
 def macro_summary(
+    *,
     bea: DataFrame,
     fred: DataFrame,
     bea_tie: Sequence[str] = (),
     fred_tie: Sequence[str] = (),
+    bea_table: str = SUMMARY_TABLE,
 ) -> DataFrame:
     """Last known values of two sources by month, merged, with inflation and curve inversion.
 
-    Months that neither source has are absent, so the twelve-row change is not
+    Series names recur in several accounts tables, so one table is read. Months that neither source has are absent, so the twelve-row change is not
     calendar-bound.
     """
     output = pivot.pivot_last(
-        bea.withColumn("month", F.trunc("period_date", "month")),
+        bea.filter(F.col("table_key") == bea_table).withColumn("month", F.trunc("period_date", "month")),
         ["month"], "series_name", "value", SUMMARY_BEA, ["period_date", *bea_tie],
     )
     money = pivot.pivot_last(
@@ -191,6 +201,23 @@ def macro_summary(
     return changed.withColumn("yield_curve_inverted", S.negative_flag("yield_curve_spread"))
 
 
+def checked_summary(*, bea: DataFrame, fred: DataFrame, bea_table: str = SUMMARY_TABLE, **ties: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The summary, and what its inputs must pass: rows, columns, known values, and every series it needs."""
+    accounts = bea.filter(F.col("table_key") == bea_table)
+    report = quality.check_non_empty(accounts, bea_table)
+    for check in (
+        quality.check_non_empty(fred, "fred"),
+        quality.check_columns(accounts, ["series_name", "period_date", "value"]),
+        quality.check_columns(fred, ["series_id", "observation_date", "value"]),
+        quality.check_non_null_ratio(accounts, "value"),
+        quality.check_non_null_ratio(fred, "value"),
+        quality.check_members(accounts, "series_name", list(SUMMARY_BEA)),
+        quality.check_members(fred, "series_id", list(SUMMARY_FRED)),
+    ):
+        report = report.unionByName(check)
+    return macro_summary(bea=bea, fred=fred, bea_table=bea_table, **ties), report
+
+
 # National-accounts series that may join the mart, under their own names.
 BEA_COLUMNS = (
     "gdp",
@@ -222,8 +249,11 @@ def ratio(a: str, b: str) -> Column:
     return F.col(a) / F.nullif(F.col(b), F.lit(0.0))
 
 
-def derived_features(mart: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Further indicators, each added where the columns it needs are present."""
+def derived_features(mart: DataFrame, by: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+    """Further indicators: those named, or else all whose columns are present.
+
+    A named one that cannot be made is an error.
+    """
     month = MONTH
     recipes = {
         "core_cpi_yoy_pct": (["core_cpi"], lambda: features.yoy_pct("core_cpi", by, month)),
@@ -245,5 +275,8 @@ def derived_features(mart: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         # on the dense calendar the quarter before stands three rows up
         "real_gdp_qoq_pct": (["real_gdp_billions"], lambda: features.yoy_pct("real_gdp_billions", by, month, n=3)),
     }
-    added = {name: make() for name, (needs, make) in recipes.items() if set(needs) <= set(mart.columns)}
-    return mart.withColumns(added)
+    possible = [name for name, (needs, _) in recipes.items() if set(needs) <= set(mart.columns)]
+    if names is not None and set(names) - set(possible):
+        lacking = {n: sorted(set(recipes[n][0]) - set(mart.columns)) if n in recipes else "unknown" for n in set(names) - set(possible)}
+        raise ValueError(f"these features cannot be made, for want of columns: {lacking}")
+    return mart.withColumns({name: recipes[name][1]() for name in (possible if names is None else names)})

@@ -60,26 +60,28 @@ def stage_bea(bronze: DataFrame, tie: Sequence[str] | None = None) -> DataFrame:
     return dedupe_latest(typed, BEA_KEY, VINTAGE, tie).withColumns(replaced)
 
 
-def unified_observations(fred: DataFrame, bea: DataFrame, bls: DataFrame) -> DataFrame:
-    """One long table ``(source, series_id, observation_date, value, is_missing)`` of the three agencies."""
+def unified_observations(*, fred: DataFrame, bea: DataFrame, bls: DataFrame) -> DataFrame:
+    """One long table of three staged frames: source, series, date, value, missing flag and vintage.
 
-    def common(df: DataFrame, source: str, series: Column, date: str, flag: str) -> DataFrame:
+    The frames are staged, so each key has its newest vintage; the vintage
+    stays, so that newer rows can be told from these later.
+    """
+
+    def common(df: DataFrame, source: str, series: Column, date: str) -> DataFrame:
         mapping: Mapping[str, Column] = {
             "source": F.lit(source),
             "series_id": series,
             "observation_date": F.col(date),
             "value": F.col("value"),
-            "is_missing": S.missing_flag(flag, "value"),
+            "is_missing": F.col("is_missing"),
+            "ingested_at": F.col("ingested_at"),
         }
         return unify(df, mapping)
 
-    def flag(df: DataFrame) -> str:
-        return "value_is_missing" if "value_is_missing" in df.columns else "is_missing"
-
     return stack(
         [
-            common(fred, "fred", F.col("series_id"), "observation_date", flag(fred)),
-            common(bea, "bea", F.concat_ws(".", "table_key", "series_name"), "period_date", "is_missing"),
-            common(bls, "bls", F.col("series_id"), "observation_date", "is_missing"),
+            common(fred, "fred", F.col("series_id"), "observation_date"),
+            common(bea, "bea", F.concat_ws(".", "table_key", "series_name"), "period_date"),
+            common(bls, "bls", F.col("series_id"), "observation_date"),
         ]
     )

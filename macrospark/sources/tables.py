@@ -17,8 +17,28 @@ JDBC_BATCH_SIZE = 1_000
 
 
 def read_table(spark: SparkSession, path: str, format: str = "parquet", **options: Any) -> DataFrame:
-    """A table directory; folders named ``column=value`` become partition columns."""
-    return spark.read.format(format).options(**options).load(path)
+    """All rows below a path; folders named ``column=value`` become partition columns.
+
+    Files in other folders count too. A path that has both kinds of folders is
+    refused, since rows of one kind would lack columns of the other.
+    """
+    reader = spark.read.format(format).options(**options)
+    try:
+        found = reader.load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        found = None  # no file at the top
+    deep = spark.read.format(format).options(**options, recursiveFileLookup="true")
+    if found is None:
+        return deep.load(path)
+    whole = deep.schema(found.schema).load(path)
+    if set(whole.inputFiles()) == set(found.inputFiles()):
+        return found
+    plain = deep.load(path)
+    if set(found.columns) - set(plain.columns):
+        raise ValueError(f"{path} has files outside its column=value folders")
+    return plain
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -6,9 +6,11 @@ version counts only once its record exists, so a write that died half-way is
 never read, and the next commit replaces it. One writer at a time; any number
 of readers. Since the schemas are recorded, no read opens files to find them.
 
-A commit only appends the rows it brings; it joins nothing. A read takes the
-versions since the last whole one (an overwrite or a compaction) and keeps each
-key's newest row.
+A commit only appends the rows it brings; it joins nothing. Rows that repeat a
+key are refused: the keys just written are counted before the commit's record
+is made, so a refused commit is never read. A read takes the versions since the
+last whole one (an overwrite or a compaction) and keeps each key's newest row,
+by ``order`` if the table has one and then by version.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from macrospark.operators import changelog
+from macrospark.operators.dedupe import any_null
 from macrospark.operators.select import stack
 from macrospark.sources.inline import inline_table
 from macrospark.sources.sinks import _exists
@@ -39,11 +42,13 @@ class VersionedTable:
         path: str,
         keys: Sequence[str],
         partition_by: Sequence[str] = (),
+        order: Sequence[str] = (),
     ):
         self.spark = spark
         self.path = path
         self.keys = list(keys)
         self.partition_by = list(partition_by)
+        self.order = list(order)
 
     # Commits ------------------------------------------------------------------
 
@@ -53,25 +58,53 @@ class VersionedTable:
             return self.spark.createDataFrame([], COMMIT)
         return self.spark.read.schema(COMMIT).json(folder)
 
-    def _records(self) -> list:
-        # One row per commit ever made: metadata, never table rows.
-        return sorted(self.commits().collect(), key=lambda r: r.version)
+    def _until(self, version: int | None = None, at: datetime | None = None) -> DataFrame:
+        """Commits up to a version or a moment."""
+        commits = self.commits()
+        if version is not None:
+            commits = commits.filter(F.col("version") <= version)
+        if at is not None:
+            limit = at.astimezone(timezone.utc) if at.tzinfo else at.replace(tzinfo=timezone.utc)
+            commits = commits.filter(F.col("committed_at") <= F.lit(limit))
+        return commits
+
+    def _records(self, version: int | None = None, at: datetime | None = None) -> list:
+        """The commits that make up a state: those since the last whole version, and no others."""
+        commits = self._until(version, at)
+        whole = commits.filter(F.col("kind").isin(*WHOLE)).agg(F.max("version")).first()[0]
+        if whole is not None:
+            commits = commits.filter(F.col("version") >= whole)
+        records = sorted(commits.collect(), key=lambda r: r.version)
+        if not records or (version is not None and records[-1].version != version):
+            raise ValueError(f"{self.path} has no version {'that old' if version is None else version}")
+        return records
 
     def exists(self) -> bool:
-        return bool(self._records())
+        return not self.commits().isEmpty()
 
     def _commit(self, rows: DataFrame, kind: str, at: datetime | None, batch: str | None = None) -> int:
-        records = self._records()
-        version = records[-1].version + 1 if records else 0
+        last = self.commits().agg(F.max("version")).first()[0]
+        version = 0 if last is None else last + 1
         at = at or datetime.now(timezone.utc)
         rows = rows.withColumn("_committed_at", F.lit(at).cast("timestamp"))
         written = rows.hint("rebalance", *self.partition_by) if self.partition_by else rows
         writer = written.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*self.partition_by).parquet(f"{self.path}/data/_version={version}")
+        folder = f"{self.path}/data/_version={version}"
+        writer.partitionBy(*self.partition_by).parquet(folder)
+        if kind != "compact":
+            self._refuse_repeats(self.spark.read.schema(rows.schema).parquet(folder))
         record = inline_table(self.spark, [(version, kind, at, batch, rows.schema.json())], COMMIT)
         record.coalesce(1).write.mode("append").json(f"{self.path}/commits")
         return version
 
+    def _refuse_repeats(self, rows: DataFrame) -> None:
+        """Reads key columns only; a null key equals nothing, so it may come several times."""
+        keyed = rows.select(*self.keys).filter(~any_null(self.keys))
+        repeated = keyed.groupBy(*self.keys).agg(F.count("*").alias("_rows")).filter("_rows > 1").first()
+        if repeated is not None:
+            key = {k: repeated[k] for k in self.keys}
+            raise ValueError(f"{repeated['_rows']} rows have the key {key}; one row per key is needed")
+
     def overwrite(self, df: DataFrame, at: datetime | None = None) -> int:
         """Replace the whole table; earlier versions stay readable."""
         return self._commit(df, "overwrite", at)
@@ -79,23 +112,17 @@ class VersionedTable:
     def upsert(self, source: DataFrame, at: datetime | None = None, batch: str | None = None) -> int:
         """Update rows whose key is known, insert the others; the first write creates the table.
 
-        The source has one row per key. A ``batch`` that was committed before
-        is not written again.
+        A source that repeats a key is refused. A ``batch`` that was committed
+        before is not written again.
         """
         if batch is not None:
-            for record in self._records():
-                if record.batch == batch:
-                    return record.version
+            known = self.commits().filter(F.col("batch") == batch).first()
+            if known is not None:
+                return known.version
         return self._commit(source, "merge", at, batch)
 
     # Reads --------------------------------------------------------------------
 
-    @staticmethod
-    def _needed(records: Sequence) -> list:
-        """The versions that make up the state after the last of the records."""
-        whole = [r.version for r in records if r.kind in WHOLE]
-        return [r for r in records if r.version >= max(whole)] if whole else list(records)
-
     def _scan(self, records: Sequence) -> DataFrame:
         """Log rows of the records; a column that came later is null in earlier ones."""
         fields = {}
@@ -105,41 +132,33 @@ class VersionedTable:
         folders = [f"{self.path}/data/_version={r.version}" for r in records]
         return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
 
-    def read(self, version: int | None = None, at: datetime | None = None) -> DataFrame:
-        """The newest state, or the state after a version or at a moment."""
-        if version is not None:
-            records = self._records_until(version)
-        else:
-            records = self._records()
-        if at is not None:
-            limit = at.astimezone(timezone.utc) if at.tzinfo else at.replace(tzinfo=timezone.utc)
-            records = [r for r in records if r.committed_at.astimezone(timezone.utc) <= limit]
-        if not records:
-            raise ValueError(f"{self.path} has no version that old")
-        needed = self._needed(records)
+    def read(self, version: int | None = None, at: datetime | None = None, partitions: Column | None = None) -> DataFrame:
+        """The newest state, or the state after a version or at a moment.
+
+        ``partitions`` is a condition on partition columns that follow from the
+        key (the year of a month, the category of a series): all rows of a key
+        agree in it, so it is applied to the scan, ahead of choosing rows.
+        """
+        needed = self._records(version, at)
         log = self._scan(needed)
+        if partitions is not None:
+            log = log.filter(partitions)
         # one version has one row per key
-        return changelog.resolve(log, self.keys) if len(needed) > 1 else log.drop(*changelog.BOOKKEEPING)
+        return changelog.resolve(log, self.keys, order=self.order) if len(needed) > 1 else log.drop(*changelog.BOOKKEEPING)
 
     def history(self, n: int | None = None) -> DataFrame:
         """Commits, newest first, with the rows each inserted, updated and wrote."""
-        kept = [r for r in self._records() if _exists(self.spark, f"{self.path}/data/_version={r.version}")]
+        kept = [r for r in sorted(self.commits().collect(), key=lambda r: r.version) if _exists(self.spark, f"{self.path}/data/_version={r.version}")]
         whole = [r.version for r in kept if r.kind in WHOLE]
         counts = changelog.history(self._scan(kept), self.keys, whole).withColumnRenamed("_version", "version")
         listed = self.commits().drop("batch", "schema").join(counts, "version", "left")
         listed = listed.fillna(0, ["inserted", "updated", "total"]).orderBy(F.desc("version"))
         return listed if n is None else listed.limit(n)
 
-    def _records_until(self, version: int) -> list:
-        records = self._records()
-        if version not in [r.version for r in records]:
-            raise ValueError(f"no version {version} in {self.path}")
-        return self._needed([r for r in records if r.version <= version])
-
     def compare(self, old: int, new: int) -> DataFrame:
         """Keys added, removed or changed between an earlier and a later version."""
-        before, after = self._records_until(old), self._records_until(new)
-        if old <= new and before[0].version == after[0].version:
+        before, after = self._records(old), self._records(new)
+        if old <= new and not self.order and before[0].version == after[0].version:
             return changelog.log_diff(self._scan(after), self.keys, old, new)
         return changelog.state_diff(self.read(old), self.read(new), self.keys)
 
@@ -147,7 +166,7 @@ class VersionedTable:
         """Number of rows the table had after each of the versions."""
         groups: dict[int, tuple[list, list[int]]] = {}
         for version in sorted(set(versions)):
-            needed = self._records_until(version)
+            needed = self._records(version)
             _, members = groups.get(needed[0].version, (None, []))
             groups[needed[0].version] = (needed, [*members, version])
         return stack([changelog.state_counts(self._scan(r), self.keys, members) for r, members in groups.values()])
@@ -155,13 +174,9 @@ class VersionedTable:
     # Maintenance --------------------------------------------------------------
 
     def compact(self, cluster_by: Sequence[str] | None = None, at: datetime | None = None) -> int:
-        """Write the current state as one clustered version with few files; rows do not change."""
-        cols = list(cluster_by or self.keys[:2])
-        # the quantiles may as well come from the log, which costs no deduplication
-        ranked = with_interleaved_rank(self.read(), cols, "_z", self._scan(self._needed(self._records())))
-        clustered = ranked.repartitionByRange("_z", *cols)
-        clustered = clustered.sortWithinPartitions("_z", *cols).drop("_z")
-        return self._commit(clustered, "compact", at)
+        """Write the current state as one sorted version with few files; rows do not change."""
+        cols = list(cluster_by or self.keys)
+        return self._commit(self.read().repartitionByRange(*cols).sortWithinPartitions(*cols), "compact", at)
 
     def expire(self, keep_hours: int = KEEP_HOURS, now: datetime | None = None) -> list[int]:
         """Delete versions that no state of the last ``keep_hours`` needs; returns them.
@@ -171,52 +186,12 @@ class VersionedTable:
         """
         cutoff = (now or datetime.now(timezone.utc)) - timedelta(hours=keep_hours)
         cutoff = cutoff if cutoff.tzinfo else cutoff.replace(tzinfo=timezone.utc)
-        records = self._records()
-        whole = [r.version for r in records if r.kind in WHOLE and r.committed_at.astimezone(timezone.utc) <= cutoff]
-        if not whole:
+        whole = self._until(at=cutoff).filter(F.col("kind").isin(*WHOLE)).agg(F.max("version")).first()[0]
+        if whole is None:
             return []
         gone = []
-        for version in (r.version for r in records if r.version < max(whole)):
+        for (version,) in self._until(whole - 1).select("version").orderBy("version").collect():
             folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/_version={version}")
             if folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True):
                 gone.append(version)
         return gone
-
-
-def with_interleaved_rank(df: DataFrame, cols: Sequence[str], out: str, profile: DataFrame, bits: int = 4) -> DataFrame:
-    """Bits of every column's bucket, by quantiles of ``profile``, interleaved into a rank.
-
-    Neighbouring values of all columns get neighbouring ranks, so file
-    statistics can skip by any of them. The driver sees 2^bits - 1 quantiles
-    per column.
-    """
-    parts = 2**bits
-    shares = [i / parts for i in range(1, parts)]
-    numbers = {c: _as_number(df, c) for c in cols}
-    cuts = profile.agg(*[F.percentile_approx(n, shares).alias(c) for c, n in numbers.items()]).first()
-    # columns of their own, so that a bucket is found once and not once per bit
-    buckets = {
-        f"_bucket{i}": sum((F.coalesce(numbers[c] > F.lit(cut), F.lit(False)).cast("int") for cut in cuts[c] or []), F.lit(0))
-        for i, c in enumerate(cols)
-    }
-    rank = F.lit(0)
-    for bit in reversed(range(bits)):
-        for bucket in buckets:
-            rank = rank * 2 + F.shiftright(bucket, bit).bitwiseAND(F.lit(1))
-    return df.withColumns(buckets).withColumn(out, rank).drop(*buckets)
-
-
-def _as_number(df: DataFrame, column: str) -> Column:
-    """An order-keeping number: of text the first six bytes."""
-    kind = df.schema[column].dataType
-    c = F.col(column)
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    raise TypeError(f"cannot cluster by {column}: {kind.simpleString()}")

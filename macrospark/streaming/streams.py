@@ -29,13 +29,13 @@ def _timed(stream: DataFrame, at: str, delay: str) -> DataFrame:
     return stream.withColumn(at, moment).withWatermark(at, delay)
 
 
-def drop_replays(stream: DataFrame, keys: Sequence[str], at: str, delay: str = "1 day", salts: int = 0) -> DataFrame:
+def drop_replays(stream: DataFrame, keys: Sequence[str], at: str, delay: str, salts: int = 16) -> DataFrame:
     """First arrival of every key; a key is remembered until the watermark passes it.
 
     ``at`` is the time of loading, which trails by no more than ``delay``; a
     row behind the watermark is dropped. ``upsert_stream`` has no such limit.
 
-    With ``salts`` the copies of a key are first thinned out in that many
+    With ``salts`` (0 for none) the copies of a key are first thinned out in that many
     groups, so that a record sent over and over does not fill one task.
     """
     timed = _timed(stream, at, delay)
@@ -56,20 +56,21 @@ def refreshed_by_window(stream: DataFrame, key: str, at: str, width: str = "2 ho
 def upsert_stream(
     stream: DataFrame,
     table: VersionedTable,
-    order: Sequence[str],
     checkpoint: str,
 ) -> StreamingQuery:
     """Merge every micro-batch into a versioned table, with what is there now.
 
-    A batch is reduced to the newest row per key first, which combines ahead
-    of its shuffle. The batch number goes into the commit, so a batch that is
+    The table's ``order`` says which of a key's rows is the newest, within a
+    batch and across batches: an older one that arrives late does not win. A
+    batch is reduced first, which combines ahead of its shuffle. The batch number goes into the commit, so a batch that is
     run again after a failure is written once.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         # a batch plan is bound to the stream's own session
-        own = VersionedTable(batch.sparkSession, table.path, table.keys, table.partition_by)
-        own.upsert(dedupe_latest(batch, table.keys, order), batch=f"{checkpoint}#{number}")
+        own = VersionedTable(batch.sparkSession, table.path, table.keys, table.partition_by, table.order)
+        # rows with a null key are reduced too: as a stream they may be replays
+        own.upsert(dedupe_latest(batch, table.keys, table.order), batch=f"{checkpoint}#{number}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     return writer.foreachBatch(merge).start()

@@ -9,9 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import values
-from macrospark.operators import calendar, features, joins, pivot, rollup, select, skew
+from macrospark.operators import calendar, features, joins, pivot, rollup, select
 from macrospark.operators.dedupe import dedupe_latest, latest_values
-from macrospark.operators.skew import hot_keys
 
 D = datetime.date
 
@@ -146,28 +145,30 @@ def test_asof_join_against_brute_force(rows, width):
     keys = ["hot"] * 20 + ["a", "b", None]
     asks = [(rng.choice(keys), rng.choice([None, *range(40)]), i) for i in range(120)]
     facts = [(rng.choice(keys + ["c"]), rng.choice([None, *range(40)]), i) for i in range(120)]
-    chunk = None if width is None else (lambda t: F.floor(t / width))
+    piece = None if width is None else (lambda t: F.floor(t / width))
     got = joins.asof_join(
-        rows(asks, "k string, t int, tag int"), rows(facts, "k string, at int, v int"), ["k"], "t", "at", ["v"], ["v"], chunk,
-        hot=lambda df, by: hot_keys(df, by, 0.1, 10))
+        rows(asks, "k string, t int, tag int"), rows(facts, "k string, at int, v int"), ["k"], "t", "at", ["v"], ["v"], piece)
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_asof(asks, facts)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert ("_chunk" in plan) == (width is not None)
 
 
-def test_asof_join_splits_by_day_unless_told(rows):
-    asks = rows([("a", datetime.datetime(2020, 1, d)) for d in range(1, 6)], "k string, t timestamp")
-    facts = rows([("a", datetime.datetime(2020, 1, 2, 12), 7)], "k string, at timestamp, v int")
-    got = joins.asof_join(asks, facts, ["k"], "t", "at", ["v"], hot=lambda df, by: hot_keys(df, by, 0.1, 1))
-    assert "_chunk" in got._jdf.queryExecution().executedPlan().toString()
-    assert [r[2] for r in values(got)] == [None, None, 7, 7, 7]
+@pytest.mark.parametrize("kind, times", [
+    ("timestamp", [datetime.datetime(2020, 1, d, h, 30) for d in range(1, 4) for h in (0, 7, 8)]),
+    ("date", [datetime.date(2020, 1, d) for d in range(1, 9)]),
+    ("string", ["a", "b", "c", "d", "e"]),
+])
+def test_asof_join_takes_every_type_of_time(rows, kind, times):
+    asks = [("a", t, i) for i, t in enumerate(times)]
+    facts = [("a", t, i) for i, t in enumerate(times[1::2])]
+    got = joins.asof_join(rows(asks, f"k string, t {kind}, tag int"), rows(facts, f"k string, at {kind}, v int"), ["k"], "t", "at", ["v"])
+    assert sorted([tuple(r) for r in got.collect()], key=str) == brute_asof(asks, facts)
 
 
-def test_hot_keys(spark):
-    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    hot = df.filter(skew.key_hash(["k"]).isin(hot_keys(df, ["k"], least_rows=100)))
-    assert values(hot.distinct()) == [("hot",)] and hot.count() == 10_000
-    assert hot_keys(df, ["k"]) == [] and hot_keys(df.limit(0), ["k"]) == []
+def test_asof_join_windows_no_bare_key(rows):
+    asks = rows([("a", datetime.datetime(2020, 1, 1))], "k string, t timestamp")
+    facts = rows([("a", datetime.datetime(2020, 1, 1), 7)], "k string, at timestamp, v int")
+    plan = joins.asof_join(asks, facts, ["k"], "t", "at", ["v"])._jdf.queryExecution().optimizedPlan().toString()
+    bare = [w for w in plan.splitlines() if "Window [" in w and "_piece" not in w.split("windowspecdefinition(")[1].split(" ASC")[0]]
+    assert all("_end" in w for w in bare)  # only over one row per piece
 
 
 def test_lookup_defaults(rows):

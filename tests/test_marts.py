@@ -82,16 +82,33 @@ def test_staging_reads_text_dates(rows):
 
 
 def test_summary(rows):
-    bea = rows([("gdp", D(2020, 1, 1), 5.0), ("personal_consumption_expenditures", D(2020, 4, 1), 6.0), ("exports", D(2020, 2, 1), 1.0)],
-               "series_name string, period_date date, value double")
+    table, pce = "gdp_and_components", "personal_consumption_expenditures"
+    bea = rows([(table, "gdp", D(2020, 1, 1), 5.0), (table, pce, D(2020, 4, 1), 6.0), (table, "exports", D(2020, 2, 1), 1.0),
+                ("personal_income_saving", pce, D(2020, 4, 1), 100.0), ("personal_income_saving", pce, D(2020, 5, 1), 7.0)],
+               "table_key string, series_name string, period_date date, value double")
     money = rows([("T10Y2Y", D(2020, 1, 3), 1.0), ("T10Y2Y", D(2020, 1, 30), -0.5), ("T10Y2Y", D(2020, 1, 31), None), ("M2SL", D(2020, 2, 1), 9.0)],
                  "series_id string, observation_date date, value double")
-    got = {r.month.month: r for r in marts.macro_summary(bea, money).collect()}
+    got = {r.month.month: r for r in marts.macro_summary(bea=bea, fred=money).collect()}
     assert sorted(got) == [1, 2, 4]
     assert got[1].gdp_billions == 5.0 and got[1].yield_curve_spread == -0.5 and got[1].yield_curve_inverted is True
     assert got[4].pce_billions == 6.0 and got[4].yield_curve_inverted is False and got[2].m2_billions == 9.0
 
 
+def test_summary_comes_with_its_checks(rows):
+    bea = rows([("gdp_and_components", "gdp", D(2020, 1, 1), 5.0)], "table_key string, series_name string, period_date date, value double")
+    money = rows([(s, D(2020, 1, 3), 1.0) for s in marts.SUMMARY_FRED], "series_id string, observation_date date, value double")
+    summary, report = marts.checked_summary(bea=bea, fred=money)
+    status = {(r.check, r.target): r.status for r in report.collect()}
+    assert summary.count() == 1 and status[("required_members", "series_id")] == "pass"
+    assert status[("required_members", "series_name")] == "fail" and status[("non_empty", "gdp_and_components")] == "pass"
+
+
+def test_a_named_feature_without_its_columns_is_an_error(spark, rows):
+    mart = mart_of(spark, fred(rows, [("FEDFUNDS", START, 2.0, 1)]))
+    with pytest.raises(ValueError, match="yield_curve_spread"):
+        marts.derived_features(mart, names=["yield_curve_inverted"])
+
+
 def test_derived_only_where_columns_are_there(spark, rows):
     mart = mart_of(spark, fred(rows, [("FEDFUNDS", START, 2.0, 1)]))
     names = set(marts.derived_features(mart).columns) - set(mart.columns)

@@ -164,3 +164,13 @@ def test_shared_folder_comes_from_the_session():
     with pytest.raises(ValueError):
         shared_dir(session("yarn", None))
     assert shared_dir(session("local[2]", None)) == shared_dir(session("local[2]", None))
+
+
+def test_files_in_any_folder_are_read(spark, tmp_path):
+    path = str(tmp_path / "deep")
+    for i, folder in enumerate(["", "/2024", "/2024/05"]):
+        spark.range(i * 10, i * 10 + 3 + i).write.mode("append").parquet(path + folder)
+    assert tables.read_table(spark, path).count() == 12
+    spark.range(7).withColumn("g", F.col("id") % 2).write.partitionBy("g").parquet(str(tmp_path / "hive"))
+    hive = tables.read_table(spark, str(tmp_path / "hive"))
+    assert hive.columns == ["id", "g"] and hive.count() == 7

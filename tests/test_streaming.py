@@ -24,16 +24,27 @@ def test_replays_are_dropped_across_batches(spark, tmp_path):
 
 def test_stream_into_versioned_table(spark, tmp_path):
     src, cp = str(tmp_path / "in"), str(tmp_path / "cp")
-    table = VersionedTable(spark, str(tmp_path / "t"), ["id"])
+    table = VersionedTable(spark, str(tmp_path / "t"), ["id"], order=["v"])
     for lo, hi, v in ((0, 10, 1), (5, 15, 2)):
         load(spark, src, lo, hi, v)
         stream = streams.stream_parquet(spark, src, spark.read.parquet(src).schema)
-        streams.upsert_stream(stream, table, ["v"], cp).awaitTermination()
+        streams.upsert_stream(stream, table, cp).awaitTermination()
     want = [(i, 1) for i in range(5)] + [(i, 2) for i in range(5, 15)]
     assert values(table.read().select("id", "v")) == want
     assert [(r.version, r.inserted, r.updated) for r in table.history().collect()] == [(1, 5, 5), (0, 10, 0)]
 
 
+def test_a_late_older_vintage_does_not_win(spark, tmp_path):
+    src, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    table = VersionedTable(spark, str(tmp_path / "t"), ["id"], order=["v"])
+    for v in (5, 3):
+        load(spark, src, 0, 4, v)
+        streams.upsert_stream(streams.stream_parquet(spark, src, spark.read.parquet(src).schema), table, cp).awaitTermination()
+    assert values(table.read().select("id", "v")) == [(i, 5) for i in range(4)]
+    table.compact()
+    assert values(table.read().select("id", "v")) == [(i, 5) for i in range(4)]
+
+
 def test_windows(spark, tmp_path):
     src = str(tmp_path / "in")
     load(spark, src, 0, 300, 1)

@@ -8,7 +8,7 @@ from conftest import values
 from macrospark.operators import changelog
 from macrospark.operators.dedupe import dedupe_latest
 from macrospark.plans import refresh, staging
-from macrospark.sources.versioned import VersionedTable, with_interleaved_rank
+from macrospark.sources.versioned import VersionedTable
 
 UTC = datetime.timezone.utc
 
@@ -135,11 +135,36 @@ def test_commit_joins_nothing(spark, table, kv):
     assert seen == []
 
 
-def test_interleaved_rank_separates_both_columns(spark):
-    df = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).cast("string").alias("b"))
-    ranked = with_interleaved_rank(df, ["a", "b"], "z", df, 2)
-    spans = ranked.groupBy("z").agg(F.count_distinct("a").alias("na"), F.count_distinct("b").alias("nb")).collect()
-    assert len(spans) == 16 and max(r.na for r in spans) <= 20 and max(r.nb for r in spans) <= 24
+def test_repeated_keys_are_refused_and_nothing_is_lost(table, kv):
+    with pytest.raises(ValueError, match="'k': 'a'"):
+        table.overwrite(kv([("a", 1), ("a", 2), ("b", 3)]), at(1))
+    assert not table.exists()
+    table.overwrite(kv([("a", 1), ("b", 3)]), at(1))
+    with pytest.raises(ValueError):
+        table.upsert(kv([("c", 1), ("c", 1)]), at(2))
+    assert values(table.read()) == [("a", 1), ("b", 3)]
+    table.upsert(kv([("d", 4)]), at(3))
+    assert values(table.read()) == [("a", 1), ("b", 3), ("d", 4)]
+
+
+def test_read_scans_once_and_prunes_partitions(spark, tmp_path, rows):
+    table = VersionedTable(spark, str(tmp_path / "p"), ["m"], ["year"])
+    for day, v in ((1, 1), (2, 2)):
+        table.upsert(rows([(f"2020-0{i}", 2020 + i, v) for i in range(1, 4)], "m string, year int, v int"), at(day))
+    df = table.read(partitions=F.col("year") == 2022)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert values(df.select("m", "v")) == [("2020-02", 2)]
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_compaction_sorts_by_whole_values(spark, tmp_path):
+    ids = spark.range(1000).select(F.concat(F.lit("CES00000"), F.lpad("id", 6, "0")).alias("k"), "id")
+    table = VersionedTable(spark, str(tmp_path / "c"), ["k"])
+    table.upsert(ids.repartition(7), at(1))
+    table.compact(["k"], at(2))
+    lows = [tuple(r) for r in table.read().groupBy(F.input_file_name().alias("f")).agg(F.min("k").alias("a"), F.max("k").alias("b")).select("a", "b").collect()]
+    lows.sort()
+    assert all(x[1] < y[0] for x, y in zip(lows, lows[1:]))
 
 
 def test_random_history_against_dicts(table, kv):
