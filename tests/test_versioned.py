@@ -240,3 +240,19 @@ def test_run_table_and_refresh(spark, tmp_path, rows):
     assert refresh.open_table(spark, spec, str(tmp_path)).read().count() == 1
     with pytest.raises(ValueError):
         refresh.run_table(spark, spec, load, str(tmp_path), "append")
+    versions = refresh.refresh_all(spark, {"fred_observations": load}, str(tmp_path), compact=True)
+    assert refresh.open_table(spark, spec, str(tmp_path)).read(versions["fred_observations"]).count() == 2
+
+
+def test_gate_and_increments(spark, tmp_path, rows):
+    ddl = "series_id string, observation_date date, value double, value_is_missing boolean, category string, ingested_at timestamp"
+    day, moment = datetime.date(2024, 1, 1), datetime.datetime(2024, 1, 3, 1)
+    spec, root = refresh.TABLES["fred_observations"], str(tmp_path)
+    new = rows([("A", day, 2.0, None, "x", datetime.datetime(2024, 1, 3))], ddl)
+    with pytest.raises(refresh.GateClosed):
+        refresh.refresh_source(spark, new, spec, root, as_of=moment, gate=["refreshed_keys"])
+    assert not refresh.open_table(spark, spec, root).exists()
+    refresh.refresh_source(spark, new, spec, root, as_of=moment, gate=["freshness"])
+    old = rows([("A", day, 1.0, None, "x", datetime.datetime(2024, 1, 2))], ddl)
+    staged, _ = refresh.refresh_source(spark, old, spec, root, as_of=moment)  # arrives late, does not win
+    assert [r.value for r in staged.collect()] == [2.0]
