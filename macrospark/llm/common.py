@@ -55,13 +55,17 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+#: Rows of a slice, below the 2**16 texts that `words.shingles` can number.
+SLICE_ROWS = 50_000
+
+
 def pieces(batch: pa.RecordBatch, column: int, limit: int):
     """Cut a batch into slices of about `limit` text bytes, so that one slice's arrays stay small."""
     texts = batch.column(column)
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, size in enumerate(sizes):
-        if held and held + size > limit:
+        if i > start and (held + size > limit or i - start >= SLICE_ROWS):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += int(size)

@@ -179,11 +179,13 @@ def find_contamination(
     """
     result = free_name(docs, result)
     keep = docs.columns if keep is None else keep
-    blocks = list(item_blocks(items, item_key, item_text, block_bytes))
+    blocks = item_blocks(items, item_key, item_text, block_bytes)
     carried = list(dict.fromkeys([*keep, text]))
-    docs = docs.select(*carried)
-    for i, block in enumerate(blocks):
-        docs = _pass(docs, text, result, block, window, keep if i == len(blocks) - 1 else carried, i == 0)
+    docs, block, first = docs.select(*carried), next(blocks), True
+    while block is not None:
+        following = next(blocks, None)
+        docs = _pass(docs, text, result, block, window, carried if following else keep, first)
+        block, first = following, False
     return docs
 
 
