@@ -15,14 +15,8 @@ BLS_MISSING = ("-", "", "N/A")
 # Frequency name of a period letter.
 FREQUENCY_OF_LETTER = {"M": "monthly", "Q": "quarterly", "A": "annual", "S": "semi_annual"}
 
-# Where a quarter, and where a coded month, quarter, half-year or year begins.
+# Where a quarter begins.
 QUARTER_START = {"1": "-01-01", "2": "-04-01", "3": "-07-01", "4": "-10-01"}
-MONTH_OF_CODE = (
-    {f"M{m}": f"{m:02d}" for m in range(1, 13)}
-    | {f"Q{q}": f"{3 * q - 2:02d}" for q in range(1, 5)}
-    | {f"S{h}": f"{6 * h - 5:02d}" for h in range(1, 3)}
-    | {"A1": "01"}
-)
 
 # Plain decimal or scientific notation, or an infinity. Refuses 'nan', '1_000' and '1.5d',
 # on which number parsers of different languages disagree.
@@ -87,9 +81,14 @@ def parse_period_compact(period: Column | str, frequency: Column | str) -> Colum
 def parse_period_coded(year: Column | str, period: Column | str) -> Column:
     """Date of a year plus a code: ``M01``-``M12``, ``Q01``-``Q04``, any ``A``, ``S01``/``S02``."""
     year, period = _col(year), _col(period)
-    # M01 -> M1, and any year code -> A1
-    code = F.regexp_replace(F.regexp_replace(F.upper(period), r"^A\d+$", "A1"), r"^(\D)0+", "$1")
-    return F.concat(year, F.lit("-"), _choice(code, MONTH_OF_CODE), F.lit("-01")).try_cast("date")
+    letter, number = F.upper(F.substring(period, 1, 1)), F.substring(period, 2, 9).try_cast("int")
+    month = (
+        F.when((letter == "M") & number.between(1, 12), number)
+        .when((letter == "Q") & number.between(1, 4), number * 3 - 2)
+        .when((letter == "A") & number.isNotNull(), 1)
+        .when((letter == "S") & number.between(1, 2), number * 6 - 5)
+    )
+    return F.concat(year, F.lit("-"), _two_digits(month.cast("string")), F.lit("-01")).try_cast("date")
 
 
 def infer_frequency(period: Column | str) -> Column:

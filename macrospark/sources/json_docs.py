@@ -39,24 +39,29 @@ def fred_records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def bea_records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    bare = F.col("data").isNotNull()
-    error = F.when(~bare & F.col("BEAAPI").isNull(), "no BEAAPI element").otherwise(F.col("BEAAPI.Results.Error"))
+    data, reported = F.coalesce("data", "BEAAPI.Results.Data"), F.col("BEAAPI.Results.Error")
+    error = (
+        F.when(F.col("data").isNull() & F.col("BEAAPI").isNull(), "no BEAAPI element")
+        .when(reported.isNotNull(), reported)
+        .when(data.isNull(), "no data")
+    )
     good, bad = _split(docs, error)
     rows = good.select(
         F.coalesce("table_key", "indicator").alias("table_key"),
-        F.inline(F.coalesce("data", "BEAAPI.Results.Data")),
+        F.inline(data),
     )
     return rows, bad
 
 
 def bls_records(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    found = F.coalesce("series", "Results.series")
     failed = F.col("series").isNull() & ~F.col("status").eqNullSafe("REQUEST_SUCCEEDED")
     error = F.when(
         failed,
         F.concat_ws(": ", F.coalesce("status", F.lit("no status")), F.nullif(F.array_join("message", "; "), F.lit(""))),
-    )
+    ).when(found.isNull(), "no series")
     good, bad = _split(docs, error)
-    series = good.select(F.inline(F.coalesce("series", "Results.series")))
+    series = good.select(F.inline(found))
     return series.select(F.col("seriesID").alias("series_id"), F.inline("data")), bad
 
 

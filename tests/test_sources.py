@@ -174,3 +174,12 @@ def test_files_in_any_folder_are_read(spark, tmp_path):
     spark.range(7).withColumn("g", F.col("id") % 2).write.partitionBy("g").parquet(str(tmp_path / "hive"))
     hive = tables.read_table(spark, str(tmp_path / "hive"))
     assert hive.columns == ["id", "g"] and hive.count() == 7
+
+
+def test_documents_without_data_are_quarantined(spark, tmp_path):
+    path = tmp_path / "bea" / "indicator=t"
+    path.mkdir(parents=True)
+    docs = [{"BEAAPI": {}}, {"BEAAPI": {"Results": {}}}, {"BEAAPI": {"Results": {"Error": "no"}}}, {"data": [{"LineNumber": "1"}]}]
+    (path / "d.json").write_text("\n".join(json.dumps(d) for d in docs))
+    rows, bad = json_docs.read_bea_json(spark, str(tmp_path / "bea"))
+    assert rows.count() == 1 and sorted(r.error for r in bad.collect()) == ["no", "no data", "no data"]
