@@ -5,20 +5,20 @@ a window that also starts earlier (in a document with a smaller key, or before i
 one) is removed.
 
 1. *Anchors.* Each window has an anchor: the `GRAM` bytes in it with the least hash, the first of
-   equals. Equal windows have equal anchors at the same place, so only windows with one anchor
-   need be compared. Neighbouring windows mostly share theirs: a segment is the text under a run
-   of windows with one anchor.
-2. *Candidates.* Anchors that occur in more than one place are kept. Which they are is counted
-   over all documents; the anchors travel to the segments if they are few (`BROADCAST_ANCHORS`),
-   beyond it the segments are shuffled to them.
-3. *Order.* Equal segments are combined first. The different segments of an anchor go into one
+   equals. Equal windows have equal anchors at the same distance from their beginning. Windows
+   are put into two halves by that distance, and the bytes that all windows of a half hold around
+   an anchor, its core, make their key: only windows with one key need be compared. A segment is
+   the text under a run of windows with one anchor and half.
+2. *Candidates.* Keys that occur more than once are kept. Which they are is counted over all
+   documents; the keys travel to the segments if they are few (`BROADCAST_KEYS`), beyond it the
+   segments are shuffled to them. Copies of a whole text are represented by the first.
+3. *Order.* Equal segments are combined first. The different segments of a key go into one
    block, the blocks' suffixes are sorted by `suffix_array`, and neighbours that agree in their
-   first `length` bytes are one class, whose first place is known. An anchor with more than
+   first `length` bytes are one class, whose first place is known. A key with more than
    `CROWD` different segments is split: its windows are cut into bins by their distance from the
-   anchor, and the bytes common to all windows of a bin (its core) join the key; bins of `SPLITS`
-   windows, and of one window in the end, where each key has a single segment. So no block holds
-   more than `CROWD` segments, nothing is dropped, and rows grow with the windows of crowded
-   anchors only.
+   anchor, and the core of a bin joins the key; bins of `SPLITS` windows, and of one window in the
+   end, where each key has a single segment. So no block holds more than `CROWD` segments, nothing
+   is dropped, and rows grow with the windows of crowded keys only.
 4. *Removal.* Of each document the places that are not first are merged and cut out.
 
 Defined cases: null is the empty text; documents of equal key are told apart by their text, and
@@ -43,10 +43,10 @@ from macrospark.llm.suffix_array import suffix_array
 from macrospark.llm.words import U, mix, utf8
 
 LENGTH = 100
-GRAM = 32
+GRAM = 36
 CROWD = 2000
 SPLITS = (8, 1)
-BROADCAST_ANCHORS = 4_000_000
+BROADCAST_KEYS = 4_000_000
 BROADCAST_NODES = 1_000_000
 
 _PIECE = 1_000_000
@@ -56,12 +56,19 @@ _ODD = 0xD1342543DE82EF95
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
 
+def width_of(length: int, gram: int) -> int:
+    """Places that an anchor can have in a window."""
+    return length - gram + 1
+
+
 def anchors(data: np.ndarray, at: np.ndarray, length: int, gram: int):
-    """Runs of windows with one anchor: text number, first window, windows, anchor's place, hash of its bytes.
+    """Runs of windows with one anchor and half: text number, first window, windows, distance of the
+    first window from the anchor, and hash of the core.
 
     Places are counted within the text. `data` must have fewer than 2**26 bytes.
     """
-    n, width = len(data), length - gram + 1
+    half = -(-width_of(length, gram) // 2)
+    n, width = len(data), width_of(length, gram)
     windows = n - length + 1
     none = np.empty(0, np.int64)
     if windows < 1:
@@ -91,8 +98,18 @@ def anchors(data: np.ndarray, at: np.ndarray, length: int, gram: int):
     first = np.flatnonzero(begins)
     stops = np.append(np.flatnonzero(begins | ~inside), windows)
     end = stops[np.searchsorted(stops, first, "right")]
-    of = text[first]
-    return of, first - at[:-1][of], end - first, place[first] - at[:-1][of], grams[place[first]].view(np.int64)
+    spot = place[first]
+    lead, last = spot - first, spot - end + 1  # distances of the first and the last window
+    low, high = last // half, lead // half
+    pieces_of = high - low + 1
+    run = np.repeat(np.arange(len(first)), pieces_of)
+    bin_of = high[run] - (np.arange(len(run)) - np.repeat(np.cumsum(pieces_of) - pieces_of, pieces_of))
+    far, near = np.minimum(lead[run], bin_of * half + half - 1), np.maximum(last[run], bin_of * half)
+    core = spot[run] - bin_of * half
+    hashes = (sums[core + length - half + 1] - sums[core]) * inverse[core]
+    keys = mix(mix(hashes) ^ (bin_of.astype(U) + U(1))).view(np.int64)
+    of = text[first][run]
+    return of, spot[run] - far - at[:-1][of], far - near + 1, far, keys
 
 
 def _parts(batch: pa.RecordBatch, length: int, gram: int):
@@ -110,28 +127,23 @@ def _parts(batch: pa.RecordBatch, length: int, gram: int):
 
 
 def _repeated(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """Hashes of the anchors that occur in more than one place of different texts or of one text."""
+    """Keys that occur more than once."""
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, _, base, (of, first, count, place, key) in _parts(batch, length, gram):
-                node = np.frombuffer(b"".join(piece.column(1).to_pylist()), U)[::2]
-                where = mix(node[of] ^ mix((place + base).astype(U))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(where)], names=["anchor", "place"])
-
-    found = texts.select("t", "node").mapInArrow(places, "anchor long, place long")
-    spans = found.groupBy("anchor").agg(F.min("place").alias("low"), F.max("place").alias("high"))
-    return written(spans.where("low <> high").select("anchor"), "substring-anchors")
+            found = [keys for _, _, _, (_, _, _, _, keys) in _parts(batch, length, gram)]
+            keys, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], names=["key", "times"])
 
-
-_SEGMENTS = "anchor long, lead int, start long, windows int, id {kind}, node binary, segment binary"
+    found = texts.select("t").mapInArrow(counts, "key long, times long").groupBy("key").agg(F.sum("times").alias("times"))
+    return written(found.where("times > 1").select("key"), "substring-keys")
 
 
 def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """The text under each run of windows; `lead` is the anchor's distance from the run's beginning."""
+    """The text under each run of windows; `lead` is the distance of its first window from the anchor."""
     schema = T.StructType(
         [
-            T.StructField("anchor", T.LongType()),
+            T.StructField("key", T.LongType()),
             T.StructField("lead", T.IntegerType()),
             T.StructField("start", T.LongType()),
             T.StructField("windows", T.IntegerType()),
@@ -143,7 +155,7 @@ def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, data, base, (of, first, count, place, key) in _parts(batch, length, gram):
+            for piece, data, base, (of, first, count, lead, key) in _parts(batch, length, gram):
                 _, at = utf8(piece.column(0))
                 begin = first + at[:-1][of] if not base and len(at) > 2 else first
                 sizes = count + length - 1
@@ -156,7 +168,7 @@ def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 rows = pa.array(of)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(key), pa.array((place - first).astype(np.int32)), pa.array(first + base),
+                        pa.array(key), pa.array(lead.astype(np.int32)), pa.array(first + base),
                         pa.array(count.astype(np.int32)), piece.column(2).take(rows), piece.column(1).take(rows), segment,
                     ],
                     names=schema.names,
@@ -166,7 +178,7 @@ def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 _RUN = [
-    ("key", pa.binary()), ("digest", pa.binary()), ("skip", pa.int32()), ("run", pa.int32()),
+    ("key", pa.int64()), ("digest", pa.int64()), ("skip", pa.int32()), ("run", pa.int32()),
     ("first_node", pa.binary()), ("first_start", pa.int64()),
 ]
 
@@ -237,7 +249,7 @@ def _sorted_runs(segments: DataFrame, length: int) -> DataFrame:
 
     together = segments.repartition("key").sortWithinPartitions("key")
     return together.mapInArrow(
-        blocks, "key binary, digest binary, skip int, run int, first_node binary, first_start long"
+        blocks, "key long, digest long, skip int, run int, first_node binary, first_start long"
     )
 
 
@@ -257,7 +269,7 @@ def _split(rows: DataFrame, bin_size: int, length: int) -> DataFrame:
         .withColumn("cut_skip", skip)
         .withColumn("cut_windows", count)
         .select(
-            F.unhex(F.md5(F.concat("key", F.unhex(F.md5(core)), F.encode(F.col("bin").cast("string"), "UTF-8")))).alias("key"),
+            F.xxhash64("key", core, "bin").alias("key"),
             (F.col("lead") - F.col("cut_skip")).alias("lead"),
             (F.col("start") + F.col("cut_skip")).alias("start"),
             F.col("cut_windows").alias("windows"),
@@ -268,27 +280,30 @@ def _split(rows: DataFrame, bin_size: int, length: int) -> DataFrame:
     )
 
 
-def _repeats(rows: DataFrame, length: int, crowd: int, splits: tuple[int, ...]) -> DataFrame:
+def _repeats(rows: DataFrame, length: int, crowd: int, splits: tuple[int, ...], broadcast_keys: int) -> DataFrame:
     """(node, start, stop): bytes under windows that are not at their first place."""
-    digest = F.unhex(F.md5("segment"))
     place = F.struct(F.col("id").isNotNull().alias("known"), "id", "node", "start")
     out = []
     for bin_size in (*splits, None):
-        rows = rows.withColumn("digest", digest)
+        rows = rows.withColumn("digest", F.xxhash64("segment"))
         kinds = rows.groupBy("key", "digest").agg(
-            F.min(place).alias("p"), F.first("segment").alias("segment"), F.min("windows").alias("windows"),
-            F.count(F.lit(1)).alias("times"),
+            F.min(place).alias("p"), F.min("windows").alias("windows"), F.count(F.lit(1)).alias("times")
         )
-        kinds = written(kinds, "substring-segments")
+        kinds = written(kinds, "substring-kinds")
         counts = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("times").alias("all_times"))
-        counts = counts.where("all_times > 1")
+        counts = written(counts.where("all_times > 1").drop("all_times"), "substring-counts")
         crowded = F.col("kinds") > crowd if bin_size else F.lit(False)
-        calm = kinds.join(counts.where(~crowded), "key").select("key", "digest", "p.*", "segment", "windows", "times", "kinds")
-        single = calm.where("kinds = 1").select(
+        single = kinds.where("times > 1").join(counts.where("kinds = 1"), "key").select(
             "key", "digest", F.lit(0).alias("skip"), F.col("windows").alias("run"),
-            F.col("node").alias("first_node"), F.col("start").alias("first_start"),
+            F.col("p.node").alias("first_node"), F.col("p.start").alias("first_start"),
+        )
+        # Bytes travel for keys with several kinds only.
+        mixed_keys = counts.where((F.col("kinds") > 1) & ~crowded).select("key")
+        few = mixed_keys.limit(broadcast_keys + 1).count() <= broadcast_keys
+        bytes_of = rows.join(F.broadcast(mixed_keys) if few else mixed_keys, "key").groupBy("key", "digest").agg(
+            F.min(place).alias("p"), F.first("segment").alias("segment"), F.count(F.lit(1)).alias("times")
         )
-        several = calm.where("kinds > 1").select("key", "digest", "segment", "times", "known", "id", "node", "start")
+        several = bytes_of.select("key", "digest", "segment", "times", "p.*")
         runs = written(single.unionByName(_sorted_runs(several, length)), "substring-runs")
         here = rows.select("key", "digest", "node", "start").join(runs, ["key", "digest"])
         begin = F.col("start") + F.col("skip")
@@ -297,9 +312,9 @@ def _repeats(rows: DataFrame, length: int, crowd: int, splits: tuple[int, ...])
         if bin_size is None:
             break
         tight = counts.where(crowded).select("key")
-        rows = written(_split(rows.join(tight, "key"), bin_size, length), "substring-split")
-        if rows.isEmpty():
+        if tight.isEmpty():
             break
+        rows = written(_split(rows.join(tight, "key"), bin_size, length), "substring-split")
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)
@@ -345,7 +360,7 @@ def dedup_substrings(
     gram: int = GRAM,
     crowd: int = CROWD,
     splits: tuple[int, ...] = SPLITS,
-    broadcast_anchors: int = BROADCAST_ANCHORS,
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """One row per document: key, n_bytes, n_removed, n_spans, and a struct of what is kept.
 
@@ -354,30 +369,27 @@ def dedup_substrings(
     if not 0 < gram <= length or (splits and max(splits) > length):
         raise ValueError("gram and bins must fit into a window")
     texts = docs.select(text_of(text).alias("t"), node_of(text).alias("node"), F.col(key).alias("id"))
-    long = texts.where(F.octet_length("t") >= length)
-    repeated = _repeated(long, length, gram)
-    few = repeated.limit(broadcast_anchors + 1).count() <= broadcast_anchors
-    segments = _segments(long, length, gram).join(F.broadcast(repeated) if few else repeated, "anchor")
-    # Copies of a text count as one; the least key stands for them.
-    group = ["anchor", "lead", "start", "windows", "node", "segment"]
-    rows = segments.groupBy(*group).agg(F.min("id").alias("id"), F.count("id").alias("ids"), F.count(F.lit(1)).alias("n"))
-    rows = rows.select(
-        F.encode(F.col("anchor").cast("string"), "UTF-8").alias("key"), "lead", "start", "windows",
-        F.when(F.col("ids") == F.col("n"), F.col("id")).alias("id"), "node", "segment",
+    least = texts.groupBy("node").agg(
+        F.min(F.struct(F.col("id").isNotNull().alias("known"), "id")).alias("owner"), F.count(F.lit(1)).alias("copies")
     )
-    rows = written(rows, "substring-rows")
-    spans = _repeats(rows, length, crowd, splits).groupBy("node").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    least = written(least, "substring-owners")
+    # Only the first of several copies is searched.
+    copied = least.where("copies > 1").select("node", F.col("owner.id").alias("first"), F.lit(True).alias("copied"))
+    few = copied.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    long = texts.where(F.octet_length("t") >= length).join(F.broadcast(copied) if few else copied, "node", "left")
+    long = long.where(F.col("copied").isNull() | F.col("id").eqNullSafe(F.col("first"))).select("t", "node", "id")
+    repeated = _repeated(long, length, gram)
+    few = repeated.limit(broadcast_keys + 1).count() <= broadcast_keys
+    rows = written(_segments(long, length, gram).join(F.broadcast(repeated) if few else repeated, "key"), "substring-rows")
+    spans = _repeats(rows, length, crowd, splits, broadcast_keys).groupBy("node").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     spans = written(spans, "substring-spans")  # one text's, so bounded by its length
     affected = spans.select("node")
     few = affected.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
     touched = long.join(F.broadcast(affected) if few else affected, "node", "left_semi").select("node", "t").dropDuplicates(["node"])
     cut = written(_cut_out(touched.join(spans, "node").select("t", "node", "spans")), "substring-cut")
 
-    least = texts.groupBy("node").agg(
-        F.min(F.struct(F.col("id").isNotNull().alias("known"), "id")).alias("owner"),
-    )
     rows = texts.select("id", "node", F.octet_length("t").cast("long").alias("n_bytes"), F.sha2(F.col("t").cast("binary"), 256).alias("whole"))
-    joined = rows.join(least, "node").join(cut, "node", "left")
+    joined = rows.join(least.select("node", "owner"), "node").join(cut, "node", "left")
     own = F.col("id").eqNullSafe(F.col("owner.id"))
     copy = ~own & (F.col("n_bytes") >= length)
     empty = F.lit(hashlib.sha256(b"").hexdigest())

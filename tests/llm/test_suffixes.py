@@ -46,7 +46,7 @@ def test_equals_brute_force(spark, crowd, splits, few):
         rows.append((i, text))
     rows += [(100, rows[5][1]), (3, None), (None, rows[7][1]), (102, "ab" * 200), (103, "ab" * 150 + "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = dedup_substrings(df, length=20, gram=6, crowd=crowd, splits=splits, broadcast_anchors=few).drop("kept")
+    got = dedup_substrings(df, length=20, gram=6, crowd=crowd, splits=splits, broadcast_keys=few).drop("kept")
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 20)
 
 
