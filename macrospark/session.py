@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -41,7 +43,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 @lru_cache(maxsize=None)
 def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"macrospark-{application}-")
+    folder = tempfile.mkdtemp(prefix=f"macrospark-{application}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # nothing in it outlives the process
+    return folder
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
