@@ -31,9 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The frame after a write to the shared folder: cuts the lineage, and outlives any executor."""
+    """The frame after a write to the shared folder: cuts the lineage, and outlives any executor.
+
+    Spark deletes a shuffle's files once the driver's JVM has collected the frames that made it.
+    Each write asks for a collection, so that the files of the steps before do not pile up.
+    """
     path = new_run_dir(df.sparkSession, label)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
