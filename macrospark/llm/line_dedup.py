@@ -7,7 +7,7 @@ equal fingerprints, wherever they stand. Positions with equal fingerprints are j
 match is extended to both sides over the lines that the windows of this fingerprint cover; the
 extended matches of neighbouring fingerprints overlap and make up the whole repeated run. A line
 in a run of at least `RUN` lines that begins earlier (in a document with a smaller key, or in the
-same one) is deleted.
+same one) is deleted. With `words` given, shorter runs of at least so many words count as well.
 
 Only fingerprints that occur more than once are extended. The first place of each run is a
 minimum that is combined before its shuffle, and the join on it is split by adaptive execution,
@@ -15,7 +15,7 @@ so a passage in a third of all documents makes no task heavy; rows grow with the
 with pairs.
 
 Defined cases: null and empty texts have one empty line; texts of fewer than `RUN` lines stay as
-they are; lines are compared exactly as they stand; documents of equal key are told apart by
+they are unless `words` is given; a word is what stands between white space; lines are compared exactly as they stand; documents of equal key are told apart by
 their text, and repeated rows of one key and text are one document; a null key is the smallest;
 an empty table gives an empty result; extra columns are not read.
 """
@@ -58,16 +58,24 @@ def _windows(hashes: Column, run: int, gram: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(hashes) - run), window)
 
 
-def repeated_runs(docs: DataFrame, key: str, text: str, run: int = RUN, gram: int = GRAM) -> DataFrame:
-    """(key, node, start): beginnings of runs that occur earlier; `node` stands for the text."""
+def _word_counts(lines: Column) -> Column:
+    return F.transform(lines, lambda line: F.size(F.filter(F.split(line, r"\s+"), lambda w: w != "")))
+
+
+def repeated_runs(docs: DataFrame, key: str, text: str, run: int = RUN, gram: int = GRAM, words: int = 0) -> DataFrame:
+    """(key, node, start): beginnings of runs, of `words` words at least, that occur earlier; `node` stands for the text."""
     if not 0 < gram <= run:
         raise ValueError("a gram must fit into a run")
-    hashes = _hashes(F.split(text_of(text), "\n"))
-    long = docs.select(F.col(key).alias("key"), node_of(text).alias("node"), hashes.alias("h")).where(F.size("h") >= run)
-    places = written(
-        long.select("key", "node", F.explode(_windows(F.col("h"), run, gram)).alias("w")).select("key", "node", "w.*"),
-        "line-dedup-places",
-    )
+    lines = F.split(text_of(text), "\n")
+    windows = _windows(F.col("h"), run, gram)
+    columns = [F.col(key).alias("key"), node_of(text).alias("node"), _hashes(lines).alias("h")]
+    if words:
+        columns.append(_word_counts(lines).alias("m"))
+        windows = F.filter(
+            windows, lambda w: F.aggregate(F.slice(F.col("m"), w["start"] + 1, run), F.lit(0), lambda a, b: a + b) >= words
+        )
+    long = docs.select(*columns).where(F.size("h") >= run)
+    places = written(long.select("key", "node", F.explode(windows).alias("w")).select("key", "node", "w.*"), "line-dedup-places")
     place = F.struct(F.col("key").isNotNull().alias("known"), "key", "node", "start")
     # Select: fingerprints found in more than one place.
     several = (
@@ -83,18 +91,27 @@ def repeated_runs(docs: DataFrame, key: str, text: str, run: int = RUN, gram: in
     return later.where(place > F.col("first")).select("key", "node", "start")
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, gram: int = GRAM) -> DataFrame:
-    """Per distinct (key, text): the lines, how many were deleted, and the text that is left."""
-    starts = (
-        repeated_runs(docs, key, text, run, gram)
-        .groupBy("key", "node")
-        .agg(F.sort_array(F.collect_set("start")).alias("starts"))  # one document's, so bounded by its lines
+def dedup_lines(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", run: int = RUN, gram: int = GRAM, words: int | None = None
+) -> DataFrame:
+    """Per distinct (key, text): the lines, how many were deleted, and the text that is left.
+
+    `words` is how many words make a run of fewer than `run` lines count; without it none counts.
+    """
+    found = repeated_runs(docs, key, text, run, gram).withColumn("lines", F.lit(run))
+    for fewer in range(1, run) if words is not None else ():
+        short = repeated_runs(docs, key, text, fewer, min(gram, fewer), words)
+        found = found.unionByName(short.withColumn("lines", F.lit(fewer)))
+    starts = found.groupBy("key", "node").agg(
+        F.sort_array(F.collect_set(F.struct("start", "lines"))).alias("starts")  # one document's, so bounded by its lines
     )
     rows = docs.select(F.col(key).alias("k"), node_of(text).alias("n"), text_of(text).alias("t"))
     joined = rows.join(starts, F.col("k").eqNullSafe(F.col("key")) & (F.col("n") == F.col("node")), "left")
     lines = F.split("t", "\n")
-    # A line is deleted if a run begins at it or at one of the `run - 1` lines before it.
-    covered = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (run - 1)))))
+    # A line is deleted if it is one of the lines of a run that begins at it or before it.
+    covered = F.array_distinct(
+        F.flatten(F.transform("starts", lambda s: F.sequence(s["start"], s["start"] + s["lines"] - 1)))
+    )
     kept = F.when(F.col("starts").isNull(), F.col("t")).otherwise(
         F.array_join(
             F.transform(

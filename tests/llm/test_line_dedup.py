@@ -32,6 +32,28 @@ def test_equals_brute_force(spark, run, gram):
     assert got == brute(rows, run) and any(r[2] for r in got)
 
 
+def test_short_runs_of_many_words_equal_brute_force(spark):
+    rng = random.Random(9)
+    pool = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (1, 2, 4, 6, 7, 12, 15)]
+    rows = [(i, "\n".join([f"only {i}", *rng.choices(pool, k=rng.randint(0, 4)), f"end {i}"])) for i in range(60)]
+    rows += [(100, pool[-1]), (101, pool[-1]), (102, pool[0]), (103, pool[0])]
+    seen, want = set(), []
+    for key, text in rows:
+        lines, gone = text.split("\n"), set()
+        for i in range(len(lines)):
+            for n in range(1, min(3, len(lines) - i) + 1):
+                window = tuple(lines[i : i + n])
+                if n == 3 or sum(len(x.split()) for x in window) >= 10:
+                    if window in seen:
+                        gone |= set(range(i, i + n))
+                    seen.add(window)
+        want.append((key, len(lines), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in dedup_lines(df, words=10).collect()) == want
+    plain = {r["doc_id"]: r["n_removed"] for r in dedup_lines(df).collect()}
+    assert any(n > plain[k] for k, _, n, _ in want) and plain[101] == 0
+
+
 def test_odd_rows(spark, odd, none):
     got = dedup_lines(odd, run=1, gram=1).collect()
     assert len(got) == 10
