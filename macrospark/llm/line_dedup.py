@@ -3,21 +3,22 @@
 A text is a sequence of line hashes. `GRAM` consecutive lines make a gram; of each window of
 `RUN - GRAM + 1` consecutive grams the least is selected as fingerprint (the first of equals), so
 a run of `RUN` lines has one fingerprint that depends on nothing but its lines: equal runs have
-equal fingerprints, wherever they stand. Positions with equal fingerprints are joined, and each
-match is extended to both sides over the lines that the windows of this fingerprint cover; the
-extended matches of neighbouring fingerprints overlap and make up the whole repeated run. A line
+equal fingerprints, wherever they stand. Every run start makes one row with the fingerprint and
+the hash of the whole run (`extent`). Runs whose fingerprint occurs once are sorted out, the
+others are grouped by the hash of the whole run; fingerprints thin out no starts, and no match is
+extended beyond its run. Neighbouring runs overlap and make up the whole repeated passage. A line
 in a run of at least `RUN` lines that begins earlier (in a document with a smaller key, or in the
 same one) is deleted. With `words` given, shorter runs of at least so many words count as well.
 
-Only fingerprints that occur more than once are extended. The first place of each run is a
-minimum that is combined before its shuffle, and the join on it is split by adaptive execution,
-so a passage in a third of all documents makes no task heavy; rows grow with the lines, never
-with pairs.
+The first place of each run is a minimum that is combined before its shuffle, and the join on it
+is split by adaptive execution, so a passage in a third of all documents makes no task heavy;
+rows grow with the lines, never with pairs.
 
 Defined cases: null and empty texts have one empty line; texts of fewer than `RUN` lines stay as
-they are unless `words` is given; a word is what stands between white space; lines are compared exactly as they stand; documents of equal key are told apart by
-their text, and repeated rows of one key and text are one document; a null key is the smallest;
-an empty table gives an empty result; extra columns are not read.
+they are unless `words` is given; a word is what stands between white space; lines are compared
+exactly as they stand; documents of equal key are told apart by their text, and repeated rows of
+one key and text are one document; a null key is the smallest; an empty table gives an empty
+result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -85,7 +86,7 @@ def repeated_runs(docs: DataFrame, key: str, text: str, run: int = RUN, gram: in
         .select("fingerprint")
     )
     matched = places.join(several, "fingerprint")
-    # Extend: of each extent around a fingerprint, the first place.
+    # Group: of each whole run, the first place.
     first = matched.groupBy("fingerprint", "offset", "extent").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     later = matched.join(first.where("first <> last").drop("last"), ["fingerprint", "offset", "extent"])
     return later.where(place > F.col("first")).select("key", "node", "start")
