@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from macrospark.llm import decontaminate, exact_dedup, licenses, line_dedup, mixing, near_dedup, quality, sharding, substring_dedup, url_filter
+from macrospark.llm import (
+    decontaminate,
+    exact_dedup,
+    hard_negatives,
+    licenses,
+    line_dedup,
+    mixing,
+    near_dedup,
+    phrases,
+    quality,
+    sharding,
+    substring_dedup,
+    token_counts,
+    url_filter,
+)
 from macrospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +137,24 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_licenses"] = licenses.oracle_sql()
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.digest_columns(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_phrases"] = phrases.ORACLE
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest_columns(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_hard_negatives"] = hard_negatives.ORACLE
