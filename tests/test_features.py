@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import values
+from frames import values
 from macrospark.operators import calendar, features, joins, pivot, rollup, select
 from macrospark.operators.dedupe import dedupe_latest, latest_values
 

@@ -3,7 +3,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from frames import values
 from macrospark.operators import calendar
 from macrospark.plans import marts, staging
 

@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from frames import values
 from macrospark.functions import scalars as S
 from macrospark.functions.sql import register_functions
 

@@ -5,7 +5,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from frames import values
 from macrospark.plans import normalize
 from macrospark.session import new_run_dir, shared_dir
 from macrospark.sources import dims, json_docs, sinks, tables

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import values
+from frames import values
 from macrospark.sources.versioned import VersionedTable
 from macrospark.streaming import streams
 

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from frames import values
 from macrospark.operators import changelog
 from macrospark.operators.dedupe import dedupe_latest
 from macrospark.plans import refresh, staging
