@@ -40,7 +40,7 @@ from macrospark.llm.common import free_name, pieces, text_of, written
 from macrospark.llm.words import utf8
 
 MODEL = "piece_bpe_32k.model"
-HEAD = 1 << 18
+HEAD = 1 << 20
 LONGEST = 32
 LIMIT = 4096
 
@@ -193,7 +193,7 @@ def count_tokens(
 
     texts = docs.select(*[F.col(f"`{c}`") for c in keep], text_of(text).alias(t))
     counted = texts.mapInArrow(counts, T.StructType(fields)).withColumn(row, F.monotonically_increasing_id())
-    counted = written(counted, "token-counts")  # from here on the row numbers stand
+    counted = written(counted, "token-counts", "zstd")  # from here on the row numbers stand
     others = counted.select(row, F.explode(rest).alias("e")).select(row, "e.pretoken", "e.n")
     added = others.join(vocab.select("pretoken", "pieces"), "pretoken").groupBy(row).agg(F.sum(F.col("n") * F.col("pieces")).alias(rest))
     return counted.drop(rest).join(added, row, "left").select(
