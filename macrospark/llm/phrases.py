@@ -29,13 +29,17 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from macrospark.llm.common import text_of, written
+from macrospark.llm.common import pieces, text_of, written
+from macrospark.llm.words import span_hashes, utf8
 
 LONGEST = 4
 LEAST = 30
@@ -45,9 +49,8 @@ SCALE = 2_000_000
 PASSES = 4
 PART = 1024
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_SIGNS = r"[.,;:!?\x0A-\x0D]"
-_BLANKS = r"[ \t]+"
+_SLICE = 4_000_000
+_BLOCK = 500_000
 
 
 def _exact(column: Column) -> Column:
@@ -58,23 +61,77 @@ def _first(phrase: Column, n: int) -> Column:
     return F.substring_index(phrase, " ", n)
 
 
+def _kinds() -> np.ndarray:
+    """0: part of a word, 1: blank, 2: sign that ends a piece."""
+    kind = np.zeros(256, np.uint8)
+    kind[[0x20, 0x09]] = 1
+    kind[list(b".,;:!?\n\x0b\x0c\r")] = 2
+    return kind
+
+
+_KIND = _kinds()
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[0x41:0x5B] += 32
+
+
+def grams_of(texts: pa.Array, number: int = 0, passes: int = 1, block: int = _BLOCK) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """The longest grams of the texts whose first words fall into class `number`, and the texts they are from."""
+    raw, at = utf8(texts)
+    raw = _FOLD[raw]
+    kind = _KIND[raw]
+    word = kind == 0
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[at] = True  # words end with their texts
+    begins = word.copy()
+    begins[1:] &= ~word[:-1] | edge[1:-1]
+    ends = word.copy()
+    ends[:-1] &= ~word[1:] | edge[1:-1]
+    first, after = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    n = len(first)
+    if not n:
+        return
+    doc = np.searchsorted(at, first, "right") - 1
+    signs = np.cumsum(kind == 2, dtype=np.int64)[first]
+    fresh = np.append(True, (signs[1:] != signs[:-1]) | (doc[1:] != doc[:-1]))
+    heads = np.flatnonzero(fresh)
+    piece_last = np.append(heads[1:], n)[np.cumsum(fresh) - 1] - 1
+    # The words once more, with one space after each: every gram is a part of that.
+    size = after - first
+    joined = np.full(int(size.sum()) + n, 0x20, np.uint8)
+    joined[np.arange(int(size.sum())) + np.repeat(np.arange(n), size)] = raw[word]
+    start = np.cumsum(size + 1) - size - 1
+    last = np.minimum(np.arange(n) + LONGEST - 1, piece_last)
+    stop = start[last] + size[last]
+    chosen = np.arange(n)
+    if passes > 1:
+        chosen = np.flatnonzero(span_hashes(joined, start, start + size) % np.uint64(passes) == number)
+    for low in range(0, len(chosen), block):
+        some = chosen[low : low + block]
+        lengths = stop[some] - start[some]
+        offsets = np.append(0, np.cumsum(lengths))
+        data = joined[np.repeat(start[some] - offsets[:-1], lengths) + np.arange(offsets[-1])]
+        buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
+        yield pa.Array.from_buffers(pa.string(), len(some), buffers), doc[some]
+
+
 def longest_grams(docs: DataFrame, text: str, lang: str, number: int = 0, passes: int = 1) -> DataFrame:
-    """(lang, gram): for each word of a piece, it and the words after it, `LONGEST` at most.
+    """(lang, gram, n): for each word of a piece, it and the words after it, `LONGEST` at most, counted per slice of texts."""
 
-    Only grams whose first word falls into class `number` of `passes`.
-    """
-    pieces = F.split(F.translate(text_of(text), _UPPER, _LOWER), _SIGNS)
-    rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.explode(pieces).alias("piece"))
-    words = F.filter(F.split("piece", _BLANKS), lambda w: w != "")
-    rows = rows.select("lang", words.alias("words")).where(F.size("words") > 0)
-    grams = F.transform(
-        F.filter(
-            F.sequence(F.lit(1), F.size("words")),
-            lambda i: F.pmod(F.hash(F.element_at(F.col("words"), i)), F.lit(passes)) == number,
-        ),
-        lambda i: F.array_join(F.slice(F.col("words"), i, LONGEST), " "),
-    )
-    return rows.select("lang", F.explode(grams).alias("gram"))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, 1, _SLICE):
+                langs = piece.column(0).dictionary_encode()
+                of = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                for grams, doc in grams_of(piece.column(1), number, passes):
+                    codes = grams.dictionary_encode()
+                    code = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                    found, n = np.unique(code * len(langs.dictionary) + of[doc], return_counts=True)
+                    gram = codes.dictionary.take(pa.array(found // len(langs.dictionary)))
+                    name = langs.dictionary.take(pa.array(found % len(langs.dictionary)))
+                    yield pa.RecordBatch.from_arrays([name, gram, pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+
+    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), text_of(text).alias("text"))
+    return rows.mapInArrow(count, "lang string, gram string, n long")
 
 
 def _words(column: str = "gram") -> Column:
@@ -84,19 +141,23 @@ def _words(column: str = "gram") -> Column:
 def node_flow(grams: DataFrame, least: int) -> DataFrame:
     """(lang, size, gram, f): runs of one to `LONGEST` words that occur `least` times, from counted longest grams.
 
-    Size 0 has the number of all words of the language.
+    Size 0 has the number of all words of the language. One chain of aggregates: a count that is
+    large enough rides on as it is, and every count flows into the run that is a word shorter.
     """
-    flow = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("f"))
-    found = []
-    for size in range(LONGEST, 0, -1):
-        if size < LONGEST:  # what leaves the node, and what ends in it
-            flow = flow.groupBy("lang", _first(F.col("gram"), size).alias("gram")).agg(F.sum("f").alias("f"))
-        enough = flow.where(F.col("f") >= least)
-        if size > 1:  # shorter ones are still to be summed
-            enough = enough.where(_words() == size)
-        found.append(enough.select("lang", F.lit(size).alias("size"), "gram", "f"))
-    found.append(flow.groupBy("lang").agg(F.sum("f").alias("f")).select("lang", F.lit(0).alias("size"), F.lit("").alias("gram"), "f"))
-    return reduce(DataFrame.unionByName, found)
+    flow = grams.groupBy("lang", "gram").agg(F.sum("n").alias("f")).withColumn("size", F.lit(0))
+    entry = lambda size, gram: F.struct(size.alias("size"), gram.alias("gram"), F.col("f"))
+    for size in range(LONGEST - 1, -1, -1):
+        shorter = _first(F.col("gram"), size) if size else F.lit("")
+        onward = entry(F.lit(0), shorter)
+        enough = (F.col("f") >= least) & (shorter != F.col("gram"))  # it has one word more
+        out = (
+            F.when(F.col("size") > 0, F.array(entry(F.col("size"), F.col("gram"))))
+            .when(enough, F.array(entry(F.lit(size + 1), F.col("gram")), onward))
+            .otherwise(F.array(onward))
+        )
+        flow = flow.select("lang", F.explode(out).alias("e")).select("lang", "e.*")
+        flow = flow.groupBy("lang", "size", "gram").agg(F.sum("f").alias("f"))
+    return flow.select("lang", "size", "gram", "f")
 
 
 def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST, passes: int = PASSES) -> DataFrame:

@@ -76,6 +76,14 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def span_hashes(raw: np.ndarray, first: np.ndarray, after: np.ndarray, fold: bool = False) -> np.ndarray:
+    """Hashes of the bytes from each `first` up to `after`."""
+    total = np.empty(len(raw) + 1, U)
+    total[0] = 0
+    np.cumsum((_FOLDED if fold else _PLAIN)[raw] * _power(_ODD, len(raw)), out=total[1:])
+    return mix((total[after] - total[first]) * _power(_INVERSE, len(raw))[first])
+
+
 def tokens(texts: pa.Array, fold: bool = True, signs: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and where each text's words begin.
 
@@ -96,12 +104,7 @@ def tokens(texts: pa.Array, fold: bool = True, signs: bool = False) -> tuple[np.
     used = kind[edges] != 0
     first = edges[used]
     after = np.append(edges[1:], n)[used]
-    total = np.empty(n + 1, U)
-    total[0] = 0
-    values = (_FOLDED if fold else _PLAIN)[raw]
-    np.cumsum(values * _power(_ODD, n), out=total[1:])
-    hashes = mix((total[after] - total[first]) * _power(_INVERSE, n)[first])
-    return hashes, np.searchsorted(first, at)
+    return span_hashes(raw, first, after, fold), np.searchsorted(first, at)
 
 
 def shingles(texts: pa.Array, size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
