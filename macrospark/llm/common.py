@@ -34,9 +34,11 @@ def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame
     """The frame after a write to the shared folder: cuts the lineage, and outlives any executor.
 
     Spark deletes a shuffle's files once the driver's JVM has collected the frames that made it.
-    Each write asks for a collection, so that the files of the steps before do not pile up.
+    Each write asks for a collection, so that the files of the steps before do not pile up: ahead
+    of it, when the frames of the step before are no longer held, and after it.
     """
     path = new_run_dir(df.sparkSession, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
     df.write.option("compression", compression).parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -46,7 +46,7 @@ LEAST = 30
 SHARE = (80, 100)
 TOP = 2000
 SCALE = 2_000_000
-PASSES = 4
+PASSES = 3
 PART = 1024
 
 _SLICE = 4_000_000
