@@ -78,9 +78,14 @@ def parse_period_compact(period: Column | str, frequency: Column | str) -> Colum
     return iso.try_cast("date")
 
 
-def parse_period_coded(year: Column | str, period: Column | str) -> Column:
-    """Date of a year plus a code: ``M01``-``M12``, ``Q01``-``Q04``, any ``A``, ``S01``/``S02``."""
-    year, period = _col(year), _col(period)
+def _coded_months() -> dict[str, str]:
+    """First days of the usual codes, by rule: ``M01``-``M12``, ``Q01``-``Q04``, ``A01``, ``S01``, ``S02``."""
+    first = {f"M{m:02d}": m for m in range(1, 13)} | {f"Q{q:02d}": 3 * q - 2 for q in range(1, 5)}
+    return {code: f"-{m:02d}-01" for code, m in (first | {"A01": 1, "S01": 1, "S02": 7}).items()}
+
+
+def _odd_coded_month(period: Column) -> Column:
+    """The same for codes written otherwise: small letters, other digits, any ``A``."""
     letter, number = F.upper(F.substring(period, 1, 1)), F.substring(period, 2, 9).try_cast("int")
     month = (
         F.when((letter == "M") & number.between(1, 12), number)
@@ -88,7 +93,17 @@ def parse_period_coded(year: Column | str, period: Column | str) -> Column:
         .when((letter == "A") & number.isNotNull(), 1)
         .when((letter == "S") & number.between(1, 2), number * 6 - 5)
     )
-    return F.concat(year, F.lit("-"), _two_digits(month.cast("string")), F.lit("-01")).try_cast("date")
+    return F.concat(F.lit("-"), _two_digits(month.cast("string")), F.lit("-01"))
+
+
+def parse_period_coded(year: Column | str, period: Column | str) -> Column:
+    """Date of a year plus a code: ``M01``-``M12``, ``Q01``-``Q04``, any ``A``, ``S01``/``S02``.
+
+    The usual codes are looked up; only others are taken apart.
+    """
+    year, period = _col(year), _col(period)
+    start = F.coalesce(_choice(period, _coded_months()), _odd_coded_month(period))
+    return F.concat(year, start).try_cast("date")
 
 
 def infer_frequency(period: Column | str) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,11 +29,6 @@ def outer_merge(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFra
     return left.join(right, list(on), "full")
 
 
-def _piece(t: Column, kind: T.DataType) -> Column:
-    """What cuts a key's history: the hour of a timestamp, any other time by its own value."""
-    return F.date_trunc("hour", t) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else t
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -39,45 +37,128 @@ def asof_join(
     right_time: str,
     values: Sequence[str],
     tie: Sequence[str] = (),
-    piece: Callable[[Column], Column] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every left row with the newest right values at or before its time.
 
-    Both sides are stacked and the last right row is carried forward, so no
-    pairs are formed. Every key's history is cut into pieces of time (``piece``;
-    by default hours, or single values of a time that is no timestamp) that are
-    carried separately, so a hot key is spread over as many tasks as it has
-    pieces. What stood before a piece comes from one row per key and piece that
-    has right rows; only those rows meet in a window over the key. There is one
-    path, whatever the sizes and the type of the time.
+    Both sides are stacked and dealt by ranges of (key, time), so a hot key, or
+    a hot moment, is spread over as many partitions as its rows fill; no pairs
+    are formed. Each sorted partition carries the last right row forward, and
+    passes on one border row: its last key and that key's last right row. Left
+    rows ahead of the first right row of a partition's first key get theirs
+    from the border rows, of which there are as many as partitions.
+
+    Rows and border rows must come from the same ranges. Spark reuses the
+    exchange for both; should it not, each partition finds that its border row
+    has another first row, and the query fails.
+
+    Null keys and times match nothing. Of right rows that agree in time and
+    ``tie`` one is taken, by its values. ``partitions`` defaults to the
+    session's shuffle partitions.
     """
+    spark = left.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = left.schema[left_time].dataType
-    cut = piece or (lambda t: _piece(t, kind))
+    keys, ties = [f"_k{i}" for i in range(len(by))], [f"_tie{i}" for i in range(len(tie))]
     left_row, right_row = F.struct(*left.columns), F.struct(*values)
-    empty_left = F.lit(None).cast(left.select(left_row.alias("r")).schema["r"].dataType)
-    empty_right = F.lit(None).cast(right.select(right_row.alias("r")).schema["r"].dataType)
-    ties = [f"_tie{i}" for i in range(len(tie))]
-    # rows without a key or a time can match nothing: they get a piece of their own and share no task
-    lost = any_null([*by, left_time])
+    left_type, right_type = left.select(left_row.alias("r")).schema["r"].dataType, right.select(right_row.alias("r")).schema["r"].dataType
+    named = [F.col(c).alias(k) for c, k in zip(by, keys)]
     asks = left.select(
-        *by, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), left_row.alias("_left"), empty_right.alias("_right"),
-        F.when(lost, F.monotonically_increasing_id() + 1).otherwise(F.lit(0).cast("bigint")).alias("_apart"),
-    )
+        *named, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.monotonically_increasing_id().alias("_apart"),
+        left_row.alias("_left"), F.lit(None).cast(right_type).alias("_right"),
+    )
     facts = right.filter(~any_null([*by, right_time])).select(
-        *by, F.col(right_time).cast(kind).alias("_t"), F.lit(0).alias("_side"), empty_left.alias("_left"), right_row.alias("_right"),
-        F.lit(0).cast("bigint").alias("_apart"), *[F.col(c).alias(t) for c, t in zip(tie, ties)],
-    )
-    keys = [*by, "_piece", "_apart"]
-    both = asks.unionByName(facts, allowMissingColumns=True).withColumn("_piece", cut(F.col("_t")))
-    upto = Window.partitionBy(*keys).orderBy("_t", "_side", *ties).rowsBetween(Window.unboundedPreceding, 0)
-    inside = both.withColumn("_hit", F.last("_right", ignorenulls=True).over(upto)).filter("_side = 1")
-
-    # The last right row of each piece, and from it what stands at the end of every earlier one.
-    ends = facts.withColumn("_piece", cut(F.col("_t"))).groupBy(*by, "_piece").agg(F.max_by("_right", F.struct("_t", *ties)).alias("_end"))
-    wanted = asks.filter(~lost).select(*by, cut(F.col("_t")).alias("_piece")).distinct()
-    steps = ends.unionByName(wanted, allowMissingColumns=True).groupBy(*by, "_piece").agg(F.first("_end", ignorenulls=True).alias("_end"))
-    before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    carried = steps.select(*by, "_piece", F.last("_end", ignorenulls=True).over(before).alias("_carry"), F.lit(0).cast("bigint").alias("_apart"))
-    hit = F.coalesce("_hit", "_carry")
-    found = inside.join(carried, keys, "left")
-    return found.select("_left.*", *[F.when(F.col("_apart") == 0, hit[v]).alias(v) for v in values])
+        *named, F.col(right_time).cast(kind).alias("_t"), F.lit(0).alias("_side"), F.xxhash64(*values).alias("_apart"),
+        F.lit(None).cast(left_type).alias("_left"), right_row.alias("_right"), *[F.col(c).alias(t) for c, t in zip(tie, ties)],
+    )
+    order = [*keys, "_t", "_side", *ties, "_apart"]
+    both = asks.unionByName(facts, allowMissingColumns=True).withColumn("_row", F.xxhash64(*order))
+    dealt = both.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    dealt = dealt.select(*keys, "_t", "_side", "_row", "_left", "_right", F.struct("_t", "_side", *ties, "_apart").alias("_place"))
+    head = T.StructType([dealt.schema[k] for k in keys])
+    ends = [T.StructField(f"_end{i}", f.dataType) for i, f in enumerate(head.fields)]
+    place = dealt.schema["_place"].dataType
+    schema = T.StructType(
+        [T.StructField("_first", T.LongType()), T.StructField("_kind", T.IntegerType()), *head.fields, T.StructField("_place", place),
+         *ends, T.StructField("_last", place), T.StructField("_left", left_type), T.StructField("_right", right_type)]
+    )
+    width = len(keys)
+
+    def last_before(mask: np.ndarray) -> np.ndarray:
+        """For each row the last row up to it where the mask holds; -1 if there is none."""
+        return np.maximum.accumulate(np.where(mask, np.arange(len(mask)), -1))
+
+    def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Left rows (kind 1, or 2 if what stood before the partition is still to come), and one border row (kind 0)."""
+        first = first_key = first_place = key = held = names = None  # held: the last right row of `key` so far
+        opening = True  # still in the partition's first key, and no right row of it has come
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = [*(batch.schema.field(i).type for i in range(width)), batch.schema.field("_place").type]
+            names = names or pa.schema(
+                [("_first", pa.int64()), ("_kind", pa.int32()), *((f"_k{i}", k) for i, k in enumerate(kinds[:-1])), ("_place", kinds[-1]),
+                 *((f"_end{i}", k) for i, k in enumerate(kinds[:-1])), ("_last", kinds[-1]),
+                 ("_left", batch.schema.field("_left").type), ("_right", batch.schema.field("_right").type)]
+            )
+            columns = [batch.column(i) for i in range(width)]
+            rows = batch.num_rows
+            changed = np.zeros(rows, bool)
+            known = batch.column("_t").is_valid().to_numpy(zero_copy_only=False).copy()
+            for c in columns:
+                known &= c.is_valid().to_numpy(zero_copy_only=False)
+                same = pc.fill_null(pc.equal(c[1:], c[:-1]), False)
+                if pa.types.is_floating(c.type):  # keys that are no number are one key
+                    same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(c[1:]), pc.is_nan(c[:-1])), False))
+                changed[1:] |= ~same.to_numpy(zero_copy_only=False)
+            here = [c[0] for c in columns]
+            if key is None:
+                first, first_key, first_place, key = batch.column("_row")[0].as_py(), here, batch.column("_place").slice(0, 1), here
+            elif any(a != b and not (a.as_py() != a.as_py() and b.as_py() != b.as_py()) for a, b in zip(here, key)) or not all(k.is_valid for k in key):
+                changed[0] = True
+            right, side = batch.column("_right"), batch.column("_side").to_numpy(zero_copy_only=False)
+            is_fact = side == 0
+            fact, turn = last_before(is_fact), last_before(changed)
+            own = (fact >= 0) & (fact >= turn)  # a right row of the same key, in this batch
+            earlier = (turn < 0) & ~own  # the key of the batch before, so what was held counts
+            store = pa.concat_arrays([held, right]) if held is not None else right
+            shift = len(store) - rows
+            at = np.where(own, fact + shift, np.where(earlier & (shift > 0), 0, -1))
+            open_rows = earlier & opening & (shift == 0)
+            asking = np.flatnonzero(~is_fact)
+            taken = at[asking]
+            hit = store.take(pa.array(taken, pa.int64(), mask=(taken < 0) | ~known[asking]))
+            state = np.where(open_rows[asking] & known[asking], 2, 1).astype(np.int32)
+            size = len(asking)
+            picked = pa.array(asking)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(size, first, np.int64)), pa.array(state), *(pa.nulls(size, k) for k in kinds + kinds),
+                 batch.column("_left").take(picked), hit],
+                schema=names,
+            )
+            opening = opening and not changed.any() and not is_fact.any()
+            held = right.slice(int(fact[-1]), 1) if own[-1] else held if earlier[-1] else None
+            key, last_place = [c[rows - 1] for c in columns], batch.column("_place").slice(rows - 1, 1)
+        if key is not None:
+            one = [pa.array([k.as_py()], k.type) for k in first_key], [pa.array([k.as_py()], k.type) for k in key]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([first], pa.int64()), pa.array([0], pa.int32()), *one[0], first_place, *one[1], last_place,
+                 pa.nulls(1, names.field("_left").type), held if held is not None else pa.nulls(1, names.field("_right").type)],
+                schema=names,
+            )
+
+    carried = dealt.mapInArrow(carry, schema)
+    # What each partition's first key brings from the partitions before: two events for each border row.
+    def event(step: int, names: Sequence[str], at: str, end: Column) -> Column:
+        return F.struct(F.lit(step).alias("_step"), *[F.col(c).alias(k) for c, k in zip(names, keys)], F.col(at).alias("_at"), end.alias("_end"))
+
+    need = event(0, keys, "_place", F.lit(None).cast(right_type))
+    give = event(1, [f.name for f in ends], "_last", F.col("_right"))
+    events = carried.filter("_kind = 0").select("_first", F.explode(F.array(need, give)).alias("_event")).select("_first", "_event.*")
+    steps = Window.partitionBy(*keys).orderBy("_at", "_step").rowsBetween(Window.unboundedPreceding, -1)
+    before = events.withColumn("_before", F.last("_end", ignorenulls=True).over(steps)).filter("_step = 0")
+    before = before.select("_first", F.lit(True).alias("_met"), "_before")
+    joined = carried.filter("_kind > 0").join(F.broadcast(before), "_first", "left")  # a row per partition
+    met = F.when(F.col("_met").isNull(), F.raise_error(F.lit("the ranges were dealt twice; leave spark.sql.exchange.reuse on")))
+    hit = F.when(F.col("_kind") == 2, F.coalesce(met.cast(right_type), F.col("_before"))).otherwise(F.col("_right"))
+    return joined.select("_left.*", *[hit[v].alias(v) for v in values])

@@ -139,18 +139,38 @@ def brute_asof(asks, facts):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("width", [None, 1, 5, 100])
-def test_asof_join_against_brute_force(rows, width):
+@pytest.mark.parametrize("partitions", [None, 1, 5, 40])
+def test_asof_join_against_brute_force(rows, partitions):
     rng = random.Random(5)
     keys = ["hot"] * 20 + ["a", "b", None]
-    asks = [(rng.choice(keys), rng.choice([None, *range(40)]), i) for i in range(120)]
-    facts = [(rng.choice(keys + ["c"]), rng.choice([None, *range(40)]), i) for i in range(120)]
-    piece = None if width is None else (lambda t: F.floor(t / width))
+    asks = [(rng.choice(keys), rng.choice([None, *range(40)]), i) for i in range(300)]
+    facts = [(rng.choice(keys + ["c"]), rng.choice([None, *range(40)]), i) for i in range(60)]
     got = joins.asof_join(
-        rows(asks, "k string, t int, tag int"), rows(facts, "k string, at int, v int"), ["k"], "t", "at", ["v"], ["v"], piece)
+        rows(asks, "k string, t int, tag int"), rows(facts, "k string, at int, v int"), ["k"], "t", "at", ["v"], ["v"], partitions)
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_asof(asks, facts)
 
 
+def test_asof_join_of_one_hot_moment(spark, rows):
+    """Nearly all left rows ask at one moment, long after the only right row: every partition takes it from the borders."""
+    asks = spark.range(4000).select(F.lit("k").alias("k"), F.lit(9).alias("t"), F.col("id").alias("tag"))
+    got = joins.asof_join(asks, rows([("k", 1, 7)], "k string, at int, v int"), ["k"], "t", "at", ["v"], partitions=12)
+    assert got.groupBy("v").count().collect() == [(7, 4000)]
+    assert got.count() == 4000
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.data())
+def test_asof_join_of_two_keys_like_brute_force(rows, data):
+    some = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([0.5, 2.0]), st.integers(0, 6)), min_size=1, max_size=40)
+    asks = [(*x, i) for i, x in enumerate(data.draw(some))]
+    facts = [(*x, i) for i, x in enumerate(data.draw(some))]
+    got = joins.asof_join(
+        rows(asks, "k string, e double, t int, tag int"), rows(facts, "k string, e double, at int, v int"), ["k", "e"], "t", "at", ["v"], ["v"], 4)
+    flat = [((k, e) if k is not None else None, t, i) for k, e, t, i in asks], [((k, e) if k is not None else None, t, i) for k, e, t, i in facts]
+    want = {tag: v for _, _, tag, v in brute_asof(*flat)}
+    assert {r["tag"]: r["v"] for r in got.collect()} == want
+
+
 @pytest.mark.parametrize("kind, times", [
     ("timestamp", [datetime.datetime(2020, 1, d, h, 30) for d in range(1, 4) for h in (0, 7, 8)]),
     ("date", [datetime.date(2020, 1, d) for d in range(1, 9)]),
@@ -163,12 +183,16 @@ def test_asof_join_takes_every_type_of_time(rows, kind, times):
     assert sorted([tuple(r) for r in got.collect()], key=str) == brute_asof(asks, facts)
 
 
-def test_asof_join_windows_no_bare_key(rows):
+def test_asof_join_plan(rows):
+    """Each side is scanned once, dealt once by ranges, and the only window runs over border rows."""
     asks = rows([("a", datetime.datetime(2020, 1, 1))], "k string, t timestamp")
     facts = rows([("a", datetime.datetime(2020, 1, 1), 7)], "k string, at timestamp, v int")
-    plan = joins.asof_join(asks, facts, ["k"], "t", "at", ["v"])._jdf.queryExecution().optimizedPlan().toString()
-    bare = [w for w in plan.splitlines() if "Window [" in w and "_piece" not in w.split("windowspecdefinition(")[1].split(" ASC")[0]]
-    assert all("_end" in w for w in bare)  # only over one row per piece
+    joined = joins.asof_join(asks, facts, ["k"], "t", "at", ["v"])
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert "ReusedExchange" in final and final.count("rangepartitioning") == 1 + final.count("ReusedExchange")
+    assert final.count("Window [") == 1 and "_step" in final
 
 
 def test_lookup_defaults(rows):
