@@ -102,7 +102,9 @@ def parse_period_coded(year: Column | str, period: Column | str) -> Column:
     The usual codes are looked up; only others are taken apart.
     """
     year, period = _col(year), _col(period)
-    start = F.coalesce(_choice(period, _coded_months()), _odd_coded_month(period))
+    # the code is named once in each branch, as it may be an expression of its own
+    odd = F.transform(F.array(period), _odd_coded_month)[0]
+    start = F.coalesce(_choice(period, _coded_months()), odd)
     return F.concat(year, start).try_cast("date")
 
 

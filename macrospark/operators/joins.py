@@ -7,6 +7,7 @@ from collections.abc import Iterator, Mapping, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,13 +75,12 @@ def asof_join(
     order = [*keys, "_t", "_side", *ties, "_apart"]
     both = asks.unionByName(facts, allowMissingColumns=True).withColumn("_row", F.xxhash64(*order))
     dealt = both.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    dealt = dealt.select(*keys, "_t", "_side", "_row", "_left", "_right", F.struct("_t", "_side", *ties, "_apart").alias("_place"))
+    dealt = dealt.select(*keys, "_t", "_side", "_row", "_left", "_right")
     head = T.StructType([dealt.schema[k] for k in keys])
     ends = [T.StructField(f"_end{i}", f.dataType) for i, f in enumerate(head.fields)]
-    place = dealt.schema["_place"].dataType
     schema = T.StructType(
-        [T.StructField("_first", T.LongType()), T.StructField("_kind", T.IntegerType()), *head.fields, T.StructField("_place", place),
-         *ends, T.StructField("_last", place), T.StructField("_left", left_type), T.StructField("_right", right_type)]
+        [T.StructField("_first", T.LongType()), T.StructField("_kind", T.IntegerType()), T.StructField("_part", T.IntegerType()),
+         *head.fields, *ends, T.StructField("_left", left_type), T.StructField("_right", right_type)]
     )
     width = len(keys)
 
@@ -90,15 +90,16 @@ def asof_join(
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Left rows (kind 1, or 2 if what stood before the partition is still to come), and one border row (kind 0)."""
-        first = first_key = first_place = key = held = names = None  # held: the last right row of `key` so far
+        part = TaskContext.get().partitionId()  # ranges are numbered in their order
+        first = first_key = key = held = names = None  # held: the last right row of `key` so far
         opening = True  # still in the partition's first key, and no right row of it has come
         for batch in batches:
             if not batch.num_rows:
                 continue
-            kinds = [*(batch.schema.field(i).type for i in range(width)), batch.schema.field("_place").type]
+            kinds = [batch.schema.field(i).type for i in range(width)]
             names = names or pa.schema(
-                [("_first", pa.int64()), ("_kind", pa.int32()), *((f"_k{i}", k) for i, k in enumerate(kinds[:-1])), ("_place", kinds[-1]),
-                 *((f"_end{i}", k) for i, k in enumerate(kinds[:-1])), ("_last", kinds[-1]),
+                [("_first", pa.int64()), ("_kind", pa.int32()), ("_part", pa.int32()), *((f"_k{i}", k) for i, k in enumerate(kinds)),
+                 *((f"_end{i}", k) for i, k in enumerate(kinds)),
                  ("_left", batch.schema.field("_left").type), ("_right", batch.schema.field("_right").type)]
             )
             columns = [batch.column(i) for i in range(width)]
@@ -113,7 +114,7 @@ def asof_join(
                 changed[1:] |= ~same.to_numpy(zero_copy_only=False)
             here = [c[0] for c in columns]
             if key is None:
-                first, first_key, first_place, key = batch.column("_row")[0].as_py(), here, batch.column("_place").slice(0, 1), here
+                first, first_key, key = batch.column("_row")[0].as_py(), here, here
             elif any(a != b and not (a.as_py() != a.as_py() and b.as_py() != b.as_py()) for a, b in zip(here, key)) or not all(k.is_valid for k in key):
                 changed[0] = True
             right, side = batch.column("_right"), batch.column("_side").to_numpy(zero_copy_only=False)
@@ -132,30 +133,30 @@ def asof_join(
             size = len(asking)
             picked = pa.array(asking)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(size, first, np.int64)), pa.array(state), *(pa.nulls(size, k) for k in kinds + kinds),
+                [pa.array(np.full(size, first, np.int64)), pa.array(state), pa.array(np.full(size, part, np.int32)),
+                 *(pa.nulls(size, k) for k in kinds + kinds),
                  batch.column("_left").take(picked), hit],
                 schema=names,
             )
             opening = opening and not changed.any() and not is_fact.any()
             held = right.slice(int(fact[-1]), 1) if own[-1] else held if earlier[-1] else None
-            key, last_place = [c[rows - 1] for c in columns], batch.column("_place").slice(rows - 1, 1)
+            key = [c[rows - 1] for c in columns]
         if key is not None:
             one = [pa.array([k.as_py()], k.type) for k in first_key], [pa.array([k.as_py()], k.type) for k in key]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([first], pa.int64()), pa.array([0], pa.int32()), *one[0], first_place, *one[1], last_place,
+                [pa.array([first], pa.int64()), pa.array([0], pa.int32()), pa.array([part], pa.int32()), *one[0], *one[1],
                  pa.nulls(1, names.field("_left").type), held if held is not None else pa.nulls(1, names.field("_right").type)],
                 schema=names,
             )
 
     carried = dealt.mapInArrow(carry, schema)
     # What each partition's first key brings from the partitions before: two events for each border row.
-    def event(step: int, names: Sequence[str], at: str, end: Column) -> Column:
-        return F.struct(F.lit(step).alias("_step"), *[F.col(c).alias(k) for c, k in zip(names, keys)], F.col(at).alias("_at"), end.alias("_end"))
+    def event(step: int, names: Sequence[str], end: Column) -> Column:
+        return F.struct(F.lit(step).alias("_step"), *[F.col(c).alias(k) for c, k in zip(names, keys)], end.alias("_end"))
 
-    need = event(0, keys, "_place", F.lit(None).cast(right_type))
-    give = event(1, [f.name for f in ends], "_last", F.col("_right"))
-    events = carried.filter("_kind = 0").select("_first", F.explode(F.array(need, give)).alias("_event")).select("_first", "_event.*")
-    steps = Window.partitionBy(*keys).orderBy("_at", "_step").rowsBetween(Window.unboundedPreceding, -1)
+    need, give = event(0, keys, F.lit(None).cast(right_type)), event(1, [f.name for f in ends], F.col("_right"))
+    events = carried.filter("_kind = 0").select("_first", "_part", F.explode(F.array(need, give)).alias("_event")).select("_first", "_part", "_event.*")
+    steps = Window.partitionBy(*keys).orderBy("_part", "_step").rowsBetween(Window.unboundedPreceding, -1)
     before = events.withColumn("_before", F.last("_end", ignorenulls=True).over(steps)).filter("_step = 0")
     before = before.select("_first", F.lit(True).alias("_met"), "_before")
     joined = carried.filter("_kind > 0").join(F.broadcast(before), "_first", "left")  # a row per partition
