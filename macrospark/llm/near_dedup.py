@@ -3,10 +3,10 @@
 1. *Weights.* A shingle (five words, A-Z lower-cased) weighs its occurrences in the text times
    `ln(1 + N / max(df, f * N))`, with N documents and `df` of them holding it: `f = COMMON` is
    the share of documents below which a shingle is no longer told apart by its frequency. The
-   document frequencies that matter are exact and cover all documents: a shingle in at least
-   `f * N` documents is in about that share of some block of documents (first pass, which
-   marks candidates in a bitmap), and all marked shingles are counted (second pass). At most
-   mean shingles per document / f shingles pass, which bounds what is broadcast.
+   document frequencies that matter are exact and cover all documents: blocks of documents
+   propose what is in half that share of them, with counts, and the shingles whose proposed
+   counts add up to enough (four times mean shingles per document / f at most, which bounds what
+   is broadcast) are counted exactly in a second pass.
 2. *Samples.* Per sample k, a shingle's r, c ~ Gamma(2, 1) and beta ~ U(0, 1) come from its hash;
    with t = floor(ln w / r + beta), the shingle with the least ln c - r (t - beta + 1) is sampled
    together with t. Two texts agree in a sample with the probability of their weighted Jaccard
@@ -23,7 +23,9 @@
    s / (1 + s) * (W + V). With all shingles in one order, rarest first, the first shingle they
    share is followed by at least that weight in both. So each text is put under its shingles up
    to there, once per class of total weight (steps of `STEP`) that a similar text can have, and
-   all pairs of different classes that meet under a shingle are compared. No pair is left out.
+   pairs of different classes meet under the first shingle they share there. Bitmaps of their
+   shingles bound what they can share; pairs that can be similar enough are compared. No pair of
+   similar texts is left out.
 5. *Classes.* Linked texts are joined into classes by star contraction.
 
 Equal texts are one node from the start, so copies are never paired.
@@ -57,6 +59,9 @@ ROUNDS = 2
 STEP = 1.05
 COMMON = 0.01
 
+EARLIER = 8
+MAP = 8
+
 _BITMAP = 1 << 20
 _BLOCK_DOCS = 2000
 _BLOCK_SHINGLES = 4_000_000
@@ -86,35 +91,37 @@ def common_shingles(docs: DataFrame, text: str, size: int = SHINGLE, share: floa
     Rows are at most mean shingles per document / share.
     """
     texts = docs.select(text_of(text).alias("t"))
-    # Only the last block of a task can be small. If those are few against share * N, candidates
-    # may be asked for two documents of a block and half the share: what no block proposes is in
-    # fewer than share * N / 2 documents of large blocks and in one of each small one.
-    few = texts.rdd.getNumPartitions() <= share * texts.count() / 2 and share >= COMMON
+    n = texts.count()
+    # A block proposes what is in half the share of its documents, with that count. What a shingle
+    # has in blocks that do not propose it adds up to less than half the share of all documents,
+    # so the proposed counts of a shingle that reaches the share add up to more than half of it.
+    # Only the last block of a task can be so small that one document is half the share; it
+    # proposes what is in two. While such blocks are few, they hide a quarter of the share at most.
+    few = texts.rdd.getNumPartitions() <= share * n / 4
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for n, found in _blocks(batches, size):
+        for docs_in, found in _blocks(batches, size):
             ids, df = np.unique(found, return_counts=True)
-            enough = max(2, share * n / 2) if few else share * n
-            bits = np.unique(ids[df >= enough] & U(_BITMAP - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bits)], names=["bit"])
+            good = df >= (max(2, share * docs_in / 2) if few else share * docs_in)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[good].astype(np.int64)), pa.array(df[good].astype(np.int64))], names=["shingle", "df"])
 
-    marked = texts.mapInArrow(candidates, "bit long").distinct().toPandas()["bit"].to_numpy()  # _BITMAP rows at most
-    bitmap = np.zeros(_BITMAP, bool)
-    bitmap[marked] = True
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    proposed = texts.mapInArrow(candidates, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
+    least = share * n / 4 if few else 0  # so 4 * mean shingles per document / share pass at most
+    marked = np.sort(proposed.where(F.col("df") >= least).select("shingle").toPandas()["shingle"].to_numpy(np.int64))
+    shared = docs.sparkSession.sparkContext.broadcast(marked)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for n, found in _blocks(batches, size):
-            ids, df = np.unique(found[shared.value[(found & U(_BITMAP - 1)).astype(np.int64)]], return_counts=True)
-            # the row without a shingle counts the documents
-            ids, df = pa.array(ids.astype(np.int64).tolist() + [None], pa.int64()), pa.array(df.tolist() + [n], pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, df], names=["shingle", "df"])
+        known = shared.value
+        for _, found in _blocks(batches, size):
+            found = found.astype(np.int64)
+            if len(known):
+                at = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                ids, df = np.unique(found[known[at] == found], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(df.astype(np.int64))], names=["shingle", "df"])
 
     df = texts.mapInArrow(counts, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
     df = written(df, "near-dedup-df")
-    counted = df.where("shingle is null").first()
-    n = counted["df"] if counted else 0
-    return df.where(F.col("shingle").isNotNull() & (F.col("df") >= F.lit(share * n))).withColumn("n", F.lit(n).cast("bigint"))
+    return df.where(F.col("df") >= F.lit(share * n)).withColumn("n", F.lit(n).cast("bigint"))
 
 
 class Weights:
@@ -295,10 +302,11 @@ def _slots(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def prefix_keys(text: np.ndarray, ids: np.ndarray, weights: np.ndarray, seen: np.ndarray, least: float):
-    """Keys of which any two texts of similarity `least` share one: (text, key) pairs.
+    """Keys of which any two texts of similarity `least` share one: (text, key, keys before it, how many).
 
     `seen` grows with the number of texts that hold a shingle, and is 1 only for shingles of one
     text. Shingles are ordered by it, so that the keys are rare; those in one text are no keys.
+    Of the keys before a key in the same order, the first `EARLIER` are given, one list after another.
     """
     order = np.lexsort((ids, seen, text))
     text, ids, weights, seen = text[order], ids[order], weights[order].astype(float), seen[order]
@@ -310,22 +318,49 @@ def prefix_keys(text: np.ndarray, ids: np.ndarray, weights: np.ndarray, seen: np
     level = np.floor(np.log(total) / np.log(STEP)).astype(np.int64)
     reach = int(np.ceil(np.log(1 / least) / np.log(STEP))) + 1
     slack = 1e-6  # for rounding; it only adds keys
-    which, keys = [], []
+    which, keys, earlier, counts = [], [], [], []
     for off in range(-reach, reach + 1):
         low = STEP ** (level + off).astype(float)
         fits = (low * STEP * (1 + slack) >= least * total) & (low * (1 - slack) <= total / least)
         need = least / (1 + least) * (total + np.maximum(low, least * total)) * (1 - slack)
         at = np.flatnonzero(fits[member] & (rest >= need[member]) & (seen > 1))
+        if not len(at):
+            continue
         pair = U(abs(off)) ^ ((level[member[at]] + min(off, 0)).astype(U) << U(8))
+        found = mix(mix(pair) ^ mix(ids[at])).astype(np.int64)
+        first = np.append(True, member[at][1:] != member[at][:-1])
+        begin = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
+        n = np.minimum(np.arange(len(at)) - begin, EARLIER)
         which.append(text[at])
-        keys.append(mix(mix(pair) ^ mix(ids[at])).astype(np.int64))
-    return np.concatenate(which), np.concatenate(keys)
+        keys.append(found)
+        counts.append(n)
+        earlier.append(found[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
+    if not which:
+        return (np.empty(0, np.int64),) * 4
+    return np.concatenate(which), np.concatenate(keys), np.concatenate(earlier), np.concatenate(counts)
+
+
+def _bitmaps(text: np.ndarray, ids: np.ndarray, chosen: np.ndarray, n: int) -> np.ndarray:
+    """For each of n texts, `64 * MAP` bits in which those of its chosen shingles are set."""
+    bits = np.zeros((n, MAP), U)
+    spread = mix(ids[chosen] ^ U(0xB17))
+    np.bitwise_or.at(bits, (text[chosen], (spread >> U(6)).astype(np.int64) % MAP), U(1) << (spread & U(63)))
+    return bits.view(np.int64)
 
 
 def _prefixes(texts: DataFrame, weights: Weights, size: int, least: float) -> DataFrame:
-    """(key, node, root): each text under the keys it shares with any text similar enough."""
+    """Each text under the keys it shares with any text similar enough.
+
+    With it: the first keys before the key, the text's total weight, and bitmaps of all its
+    shingles (`a0`, …) and of those that weigh no less than a rare one (`r0`, …).
+    """
     shared = texts.sparkSession.sparkContext.broadcast((weights, _slots(texts, size)))
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("root", T.BinaryType())])
+    maps = [f"{kind}{i}" for kind in "ar" for i in range(MAP)]
+    schema = "key long, node binary, root binary, before array<long>, total double, " + ", ".join(f"{m} long" for m in maps)
+    arrow = pa.schema(
+        [("key", pa.int64()), ("node", pa.binary()), ("root", pa.binary()), ("before", pa.list_(pa.int64())), ("total", pa.float64())]
+        + [(m, pa.int64()) for m in maps]
+    )
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weigh, slots = shared.value
@@ -334,30 +369,52 @@ def _prefixes(texts: DataFrame, weights: Weights, size: int, least: float) -> Da
                 text, ids, occurrences = shingles(piece.column(0), size)
                 if not len(text):
                     continue
+                n, heavy = piece.num_rows, weigh(ids, occurrences)
                 seen = slots[(ids & U(_BITMAP - 1)).astype(np.int64)]
-                which, found = prefix_keys(text, ids, weigh(ids, occurrences), seen, least)
+                which, found, earlier, counts = prefix_keys(text, ids, heavy, seen, least)
                 at = pa.array(which)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), piece.column(1).take(at), piece.column(2).take(at)],
-                    schema=pa.schema([("key", pa.int64()), ("node", pa.binary()), ("root", pa.binary())]),
-                )
+                total = np.bincount(text, heavy.astype(float), n)
+                bits = np.hstack([_bitmaps(text, ids, heavy > 0, n), _bitmaps(text, ids, heavy >= weigh.rare, n)])
+                before = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(earlier, pa.int64()))
+                columns = [pa.array(found, pa.int64()), piece.column(1).take(at), piece.column(2).take(at), before, pa.array(total[which])]
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(bits[which, i]) for i in range(2 * MAP))], schema=arrow)
 
     return texts.select("t", "node", "root").mapInArrow(keys, schema)
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """All pairs (a, b) of different classes under one key; rows (key, node, root).
+def _across(rows: DataFrame, rare: float, least: float) -> DataFrame:
+    """The pairs (a, b) of different classes under one key that can be similar; rows as `_prefixes` makes them.
 
-    The class with most rows under a key is met by the others, never by itself.
+    The class with most rows under a key is met by the others, never by itself. Two texts meet at
+    the first key they share, not again at later ones that have it among their earlier keys. A
+    shingle whose bit the other text lacks is not in the other text, so what the two can share is
+    bounded by their bitmaps; pairs whose bound is too small are no pairs.
     """
     sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     most = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
     mixed = written(
         rows.join(most.where("roots > 1").select("key", F.col("most.root").alias("most")), "key"), "near-dedup-mixed"
     )
-    others = mixed.where("root <> most").select("key", F.col("node").alias("other"), F.col("root").alias("other_root"))
-    pairs = others.join(mixed.drop("most"), "key").where("root <> other_root")
-    return written(pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "near-dedup-pairs")
+    others = mixed.where("root <> most").drop("most")
+    others = others.toDF(*[c if c == "key" else f"other_{c}" for c in others.columns])
+    need = least / (1 + least) * (1 - 1e-6) * (F.col("total") + F.col("other_total"))
+
+    def lacking(mine: str, other: str) -> Column:
+        bits = [F.bit_count(F.col(f"{mine}r{i}").bitwiseAND(F.bitwise_not(F.col(f"{other}a{i}")))) for i in range(MAP)]
+        return sum(bits[1:], bits[0])
+
+    def can(mine: str, other: str) -> Column:
+        return F.col(f"{mine}total") - F.lit(rare) * lacking(mine, other) >= need
+
+    meets = (
+        (others["key"] == mixed["key"])
+        & (F.col("root") != F.col("other_root"))
+        & can("", "other_")
+        & can("other_", "")
+        & ~F.arrays_overlap("before", "other_before")
+    )
+    pairs = others.join(mixed.drop("most"), meets)
+    return written(pairs.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct(), "near-dedup-pairs")
 
 
 def links(members: DataFrame, texts: DataFrame, weights: Weights, size: int, least: float, rounds: int = ROUNDS) -> DataFrame:
@@ -385,7 +442,8 @@ def links(members: DataFrame, texts: DataFrame, weights: Weights, size: int, lea
     # What the hubs leave open: every pair of different classes that can be similar is compared.
     rest = _contested(members, first, roots).select("node", "root").distinct()
     rest = written(texts.select("t", "node").join(rest, "node").select("t", "node", "root"), "near-dedup-rest")
-    pairs = _across(written(_prefixes(rest, weights, size, least), "near-dedup-prefixes"))
+    prefixes = written(_prefixes(rest, weights, size, least), "near-dedup-prefixes")
+    pairs = _across(prefixes, float(weights.rare) * (1 - 1e-6), least)
     found = written(verified(pairs, texts, weights, size, least), "near-dedup-links")
     return roots if found.isEmpty() else components(edges.unionByName(found), "a", "b")
 

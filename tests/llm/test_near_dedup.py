@@ -125,7 +125,7 @@ def test_similar_texts_share_a_prefix_key():
     spread = np.exp(rng.normal(0, 1, 997))[(ids % 997).astype(int)]
     weights = (times * spread).astype(np.float32)
     _, at, df = np.unique(ids, return_inverse=True, return_counts=True)
-    which, keys = prefix_keys(text, ids, weights, df[at], 0.8)
+    which, keys, _, _ = prefix_keys(text, ids, weights, df[at], 0.8)
     held = {i: set() for i, _ in rows}
     for i, k in zip(which.tolist(), keys.tolist()):
         held[i].add(k)
