@@ -7,13 +7,14 @@ import datetime
 from pyspark.sql import functions as F
 
 from macrospark.catalog.base import (
-    BEA, BLS, FRED, FRED_STAGED, LINE_KEY, LINE_TIES, MONTH_SPINE, SQL_NEWEST,
-    bea_raw, bls_raw, fred_bronze, query, table,
+    BEA, BLS, FRED, FRED_IDS, FRED_STAGED, LINE_KEY, LINE_TIES, MONTH_SPINE, SQL_NEWEST,
+    bea_raw, bls_raw, fred_bronze, pick, query, sql_pick, table,
 )
 from macrospark.operators import calendar, dedupe
-from macrospark.plans import marts, normalize, refresh, staging
+from macrospark.plans import incremental, marts, normalize, refresh, staging
 from macrospark.session import new_run_dir
-from macrospark.sources import dims
+from macrospark.sources import dims, sinks
+from macrospark.streaming import documents
 
 TIE = ["record_id"]
 
@@ -177,6 +178,66 @@ def annual_rollup(spark, sf):
     return marts.annual_summary(_mart(spark, sf))
 
 
+@query(f"WITH {_MART} SELECT * FROM mart")
+def incremental_mart(spark, sf):
+    """A published mart of all observations loaded until 1998, then only the months that later loads reach."""
+    root, bronze = new_run_dir(spark, "incremental"), fred_bronze(spark, sf).withColumn("category", F.lit("all"))
+    months = calendar.spine_of(bronze, "observation_date")
+    cut = F.col("ingested_at") >= F.lit("1998-01-01").cast(bronze.schema["ingested_at"].dataType)
+    spec = refresh.TABLES["fred_observations"]
+    table = refresh.open_table(spark, spec, root)
+    for late in (~cut, cut):
+        before = table.last_version()
+        refresh.run_table(spark, spec, bronze.filter(late), root, tie=TIE)
+        changed = table.changes(before).select("series_id", "observation_date")
+        incremental.refresh_mart_increment(spark, staging.stage_fred(table.read(), TIE), changed, months, root)
+    mart = refresh.open_table(spark, refresh.TABLES["macro_indicators_monthly"], root).read()
+    return mart.withColumns({c: F.col(c).cast("double") for c in marts.MACRO.yoy.values()})
+
+
+_DOC_FRED = f"""
+fred AS (
+  SELECT {sql_pick(FRED_IDS, 'o_custkey')} AS series_id, CAST(o_orderdate AS DATE) AS observation_date,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS value, CAST(NULL AS BOOLEAN) AS value_is_missing,
+         o_orderkey % 2 AS ingested_at, CASE WHEN o_orderstatus = 'P' THEN -1 ELSE o_totalprice END AS record_id
+  FROM orders)"""
+
+
+@query(f"WITH {_MART.replace(FRED, _DOC_FRED)} SELECT * FROM mart")
+def documents_mart(spark, sf):
+    """From landed documents to the published mart, over two landings; the second run reads the new files only."""
+    root, orders = new_run_dir(spark, "documents"), table(spark, sf, "orders")
+    day, price = F.col("o_orderdate").cast("date").cast("string"), F.col("o_totalprice").cast("string")
+    value = F.when(F.col("o_orderstatus") == "P", ".").otherwise(price)
+    payload = F.format_string('{"observations":[{"date":"%s","value":"%s"}]}', day, value)
+    docs = orders.select(F.lower(pick(FRED_IDS, F.col("o_custkey"))).alias("indicator"), payload.alias("payload"), "o_orderkey")
+    months = calendar.spine_of(orders, "o_orderdate")
+    for landing in (0, 1):
+        fresh = docs.filter(F.col("o_orderkey") % 2 == landing).drop("o_orderkey")
+        folder = sinks.archive_json(spark, fresh, root, "fred", datetime.date(2024, 1, 1 + landing))
+        documents.documents_to_mart(spark, folder, months, root)
+    mart = refresh.open_table(spark, refresh.TABLES["macro_indicators_monthly"], root).read()
+    return mart.withColumns({c: F.col(c).cast("double") for c in marts.MACRO.yoy.values()})
+
+
+@query(f"""
+WITH {BLS} SELECT series_id, observation_date, value, value IS NULL AS is_missing
+FROM (SELECT *, row_number() OVER (PARTITION BY series_id, observation_date
+        ORDER BY record_id % 2 DESC, value DESC NULLS LAST) AS rn FROM bls) WHERE rn = 1""")
+def documents_labor(spark, sf):
+    """Labour documents as a file stream into their refreshed table, two landings, several micro-batches."""
+    root, raw = new_run_dir(spark, "documents-bls"), bls_raw(spark, sf)
+    point = F.struct("year", "period", "periodName", "value", "footnotes")
+    payload = F.to_json(F.struct(F.array(F.struct(F.col("series_id").alias("seriesID"), F.array(point).alias("data"))).alias("series")))
+    docs = raw.select(F.lit("labor").alias("indicator"), payload.alias("payload"), "record_id")
+    source = documents.SOURCES["bls"]
+    for landing in (0, 1):
+        fresh = docs.filter(F.col("record_id") % 2 == landing).drop("record_id")
+        folder = sinks.archive_json(spark, fresh, root, "bls", datetime.date(2024, 1, 1 + landing))
+        stored = documents.ingest_documents(spark, folder, source, root, f"{root}/checkpoint", max_files=4)
+    return staging.stage_bls(stored.read()).select("series_id", "observation_date", "value", "is_missing")
+
+
 _SIGNAL_COLUMNS = "observation_month, year, real_gdp_billions, gdp_qoq_change, unemployment_rate, unemployment_3m_change, " + ", ".join(
     marts.SIGNAL_COLUMNS
 )

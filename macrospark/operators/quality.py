@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,9 @@ REFRESH_WINDOW = "interval 2 hours"
 MIN_NON_NULL_RATIO = 0.8
 
 
+RESULT = "check string, target string, observed double, threshold double, status string"
+
+
 def _result(check: str, target: str, observed: Column, threshold: float, status: Column) -> list[Column]:
     return [
         F.lit(check).alias("check"),
@@ -94,8 +97,7 @@ def check_non_empty(df: DataFrame, name: str) -> DataFrame:
 def check_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Required columns; looks at the schema only."""
     rows = [("required_column", c, float(c in df.columns), 1.0, "pass" if c in df.columns else "fail") for c in required]
-    ddl = "check string, target string, observed double, threshold double, status string"
-    return inline_table(df.sparkSession, rows, ddl)
+    return inline_table(df.sparkSession, rows, RESULT)
 
 
 def check_non_null_ratio(df: DataFrame, column: str, least: float = MIN_NON_NULL_RATIO) -> DataFrame:
@@ -116,6 +118,73 @@ def check_no_future(df: DataFrame, column: str, as_of: Column) -> DataFrame:
     return latest.select(*_result("no_future_dates", column, ahead, 0, _pass_fail(F.coalesce(ahead == 0, F.lit(True)))))
 
 
+def check_keyed(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``check_not_null`` of the columns and ``check_unique`` of the keys, in one pass over the rows."""
+    nulls = {c: f"_null{i}" for i, c in enumerate(columns)}
+    groups = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()])
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    counts = groups.agg(F.count_if((F.col("_n") > 1) & whole).alias("_n"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in nulls.values()])
+    rows = [F.struct(*_result("not_null", c, F.col(n), 0, _pass_fail(F.col(n) == 0))) for c, n in nulls.items()]
+    rows.append(F.struct(*_result("unique", ",".join(keys), F.col("_n"), 0, _pass_fail(F.col("_n") == 0))))
+    return counts.select(F.inline(F.array(*rows)))
+
+
+class Observed:
+    """Checks whose figures the job that writes the rows collects on its way: nothing is read again.
+
+    Write ``rows``; then ``report()`` gives the rows of ``check_non_empty``,
+    ``check_not_null``, ``check_accepted_values``, ``check_freshness`` and
+    ``check_refreshed``, and ``earliest()`` the first load time. Distinct keys
+    are counted by a sketch, which is exact for as few as the gate asks for.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        name: str,
+        not_null: Sequence[str] = (),
+        accepted: Mapping[str, Sequence] | None = None,
+        key: str | None = None,
+        at: str | None = None,
+        as_of: Column | None = None,
+    ):
+        self._spark, self._found, self._at, self._key = df.sparkSession, Observation(), at, key
+        self._name, self._not_null, self._accepted = name, list(not_null), dict(accepted or {})
+        figures = [F.count(F.lit(1)).alias("rows")]
+        figures += [F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(self._not_null)]
+        figures += [F.count_if(~F.col(c).isin(*v)).alias(f"stray{i}") for i, (c, v) in enumerate(self._accepted.items())]
+        if at is not None:
+            moment = F.current_timestamp() if as_of is None else as_of
+            kind = df.schema[at].dataType
+            figures += [F.min(at).alias("earliest"), _days_between(F.max(at), moment.cast(kind), kind).alias("age")]
+            if key is not None:
+                recent = F.when(F.col(at) >= moment - F.expr(REFRESH_WINDOW), F.col(key))
+                figures.append(F.approx_count_distinct(recent, 0.01).alias("keys"))
+        self.rows = df.observe(self._found, *figures)
+
+    def earliest(self):
+        return self._found.get.get("earliest")
+
+    def report(self) -> DataFrame:
+        got = self._found.get
+
+        def row(check: str, target: str, observed, threshold: float, ok: bool) -> tuple:
+            return check, target, None if observed is None else float(observed), float(threshold), "pass" if ok else "fail"
+
+        rows = [row("non_empty", self._name, min(got["rows"], 1), 1, got["rows"] > 0)]
+        rows += [row("not_null", c, got[f"null{i}"], 0, got[f"null{i}"] == 0) for i, c in enumerate(self._not_null)]
+        rows += [row("accepted_values", c, got[f"stray{i}"], 0, got[f"stray{i}"] == 0) for i, c in enumerate(self._accepted)]
+        if self._at is not None:
+            age = got["age"]
+            status = "error" if age is None or age > ERROR_AFTER_DAYS else "warn" if age > WARN_AFTER_DAYS else "ok"
+            if self._key is not None:
+                rows.append(row("refreshed_keys", self._key, got["keys"], MIN_REFRESHED_KEYS, got["keys"] >= MIN_REFRESHED_KEYS))
+            rows.append(("freshness", self._at, None if age is None else float(age), ERROR_AFTER_DAYS, status))
+        return inline_table(self._spark, rows, RESULT)
+
+
 def passed(report: DataFrame) -> bool:
     """Whether no check failed; the caller decides whether to raise."""
     return report.filter(F.col("status").isin("fail", "error")).isEmpty()

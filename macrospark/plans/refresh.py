@@ -95,27 +95,27 @@ def refresh_source(
     rows; ``full`` merges the whole log. A row older than the stored one does
     not replace it.
 
-    The checks named in ``gate`` (``refreshed_keys``, ``freshness``) must pass
-    before the merge; if one fails, ``GateClosed`` is raised.
+    The job that writes the raw log also collects the figures of the first
+    checks and the earliest load time, so the new rows are computed once and
+    the stored ones read once, by the merge. The checks named in ``gate`` (``refreshed_keys``, ``freshness``) must pass
+    before the merge; if one fails, ``GateClosed`` is raised. They judge the
+    rows of this load.
     """
-    if since is None and not full:
-        since = rows.agg(F.min("ingested_at")).first()[0]
-    raw = f"{root}/raw_tables/{spec.source}"
-    sinks.load_raw(rows, raw)
-    loaded = spark.read.schema(rows.schema).parquet(raw)
-    if since is not None:
-        loaded = loaded.filter(F.col("ingested_at") >= F.lit(since))
     moment = F.current_timestamp() if as_of is None else F.lit(as_of)
-    report = quality.check_refreshed(loaded, spec.keys[0], "ingested_at", moment)
-    report = report.unionByName(quality.check_freshness(loaded, "ingested_at", moment))
+    observed = quality.Observed(rows, spec.source, list(spec.keys), key=spec.keys[0], at="ingested_at", as_of=moment)
+    raw = f"{root}/raw_tables/{spec.source}"
+    sinks.load_raw(observed.rows, raw)
+    report = observed.report()
     closed = [r.check for r in report.collect() if r.check in gate and r.status not in ("pass", "ok", "warn")]
     if closed:
         raise GateClosed(f"{spec.source}: {', '.join(closed)}")
+    loaded = spark.read.schema(rows.schema).parquet(raw)
+    since = observed.earliest() if since is None and not full else since
+    if since is not None:
+        loaded = loaded.filter(F.col("ingested_at") >= F.lit(since))
     run_table(spark, spec, loaded, root, at=as_of, tie=tie)
     staged = stage(open_table(spark, spec, root).read())
-    for check in (quality.check_not_null(staged, [*spec.keys, "is_missing"]), quality.check_unique(staged, spec.keys)):
-        report = report.unionByName(check)
-    return staged, report
+    return staged, report.unionByName(quality.check_keyed(staged, spec.keys, [*spec.keys, "is_missing"]))
 
 
 def refresh_mart(

@@ -83,7 +83,7 @@ class VersionedTable:
         return not self.commits().isEmpty()
 
     def _commit(self, rows: DataFrame, kind: str, at: datetime | None, batch: str | None = None) -> int:
-        last = self.commits().agg(F.max("version")).first()[0]
+        last = self.last_version()
         version = 0 if last is None else last + 1
         at = at or datetime.now(timezone.utc)
         rows = rows.withColumn("_committed_at", F.lit(at).cast("timestamp"))
@@ -146,6 +146,15 @@ class VersionedTable:
         # one version has one row per key
         return changelog.resolve(log, self.keys, order=self.order) if len(needed) > 1 else log.drop(*changelog.BOOKKEEPING)
 
+    def last_version(self) -> int | None:
+        return self.commits().agg(F.max("version")).first()[0]
+
+    def changes(self, after: int | None = None) -> DataFrame:
+        """The rows that commits after a version brought (all commits, without one); compactions bring none."""
+        commits = self.commits().filter((F.col("version") > (-1 if after is None else after)) & (F.col("kind") != "compact"))
+        records = sorted(commits.collect(), key=lambda r: r.version)  # the commits since then
+        return self._scan(records) if records else self.read().limit(0)
+
     def history(self, n: int | None = None) -> DataFrame:
         """Commits, newest first, with the rows each inserted, updated and wrote."""
         kept = [r for r in sorted(self.commits().collect(), key=lambda r: r.version) if _exists(self.spark, f"{self.path}/data/_version={r.version}")]
