@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from macrospark.catalog.base import query, table
+from macrospark.operators import sketches
 from macrospark.session import new_run_dir
 from macrospark.sources.versioned import VersionedTable
 from macrospark.streaming import streams
@@ -38,7 +39,7 @@ def stream_upsert(spark, sf):
     for year in range(1998, 1991, -1):  # written newest first, so that old vintages arrive late
         last = F.year("o_orderdate") <= year if year == 1992 else F.year("o_orderdate") == year
         later = F.year("o_orderdate") >= year if year == 1998 else last
-        orders.filter(later).coalesce(1).write.mode("append").parquet(f"{root}/landed")
+        orders.filter(later).write.mode("append").parquet(f"{root}/landed")
     stored = VersionedTable(spark, f"{root}/table", ["o_custkey"], order=["o_orderdate", "o_orderkey"])
     arriving = streams.stream_parquet(spark, f"{root}/landed", orders.schema, max_files=2)
     streams.upsert_stream(arriving, stored, f"{root}/checkpoint").awaitTermination()
@@ -56,3 +57,24 @@ def stream_freshness(spark, sf):
     written = spark.read.parquet(f"{root}/counts")
     start = F.to_utc_timestamp("window.start", F.current_timezone())
     return written.select(F.date_format(start, "yyyy-MM-dd HH:mm").alias("window_start"), "rows", "refreshed_keys")
+
+
+@query("""
+SELECT CAST(ts AS DATE) AS day, count(*) AS rows, true AS users_within_error, count(DISTINCT event_type) AS types
+FROM events GROUP BY 1""")
+def stream_sketch_rollup(spark, sf):
+    """Distinct users per two hours as stored sketches, merged to days; they must lie within five standard errors."""
+    root = new_run_dir(spark, "stream-sketches")
+    for key in ("user_id", "event_type"):
+        windows = streams.sketched_by_window(_events(spark, sf), key, "ts")
+        streams.write_complete(windows, f"{root}/{key}", f"{root}/checkpoint-{key}").awaitTermination()
+
+    def days(key: str):
+        stored = spark.read.parquet(f"{root}/{key}")
+        start = F.to_utc_timestamp("window.start", F.current_timezone())
+        return sketches.distinct_keys(sketches.rolled_up(stored, [start.cast("date").alias("day")]), key)
+
+    exact = table(spark, sf, "events").groupBy(F.col("ts").cast("date").alias("day")).agg(F.count_distinct("user_id").alias("exact"))
+    near = F.abs(F.col("user_id") - F.col("exact")) <= F.col("exact") * (5 * sketches.STANDARD_ERROR)
+    joined = days("user_id").join(exact, "day").join(days("event_type").select("day", F.col("event_type").alias("types")), "day")
+    return joined.select("day", "rows", near.alias("users_within_error"), "types")

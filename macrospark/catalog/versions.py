@@ -159,3 +159,38 @@ UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, version
 def retention_filter(spark, sf):
     cutoff = F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")
     return changelog.retain(change_log(spark, sf), LINE_KEY, cutoff).drop("_committed_at")
+
+
+@query("""
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice ELSE o_custkey END AS DOUBLE) AS amount,
+       CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS o_orderpriority FROM orders""")
+def type_promotion(spark, sf):
+    """A column that is INT, then BIGINT, then DOUBLE in three commits; a narrower fourth is refused."""
+    orders = table(spark, sf, "orders")
+    stored = VersionedTable(spark, new_run_dir(spark, "promoted"), ["o_orderkey"])
+    part = lambda n: orders.filter(F.col("o_orderkey") % 3 == n)
+    stored.upsert(part(0).select("o_orderkey", F.col("o_custkey").cast("int").alias("amount")))
+    stored.upsert(part(1).select("o_orderkey", F.col("o_custkey").alias("amount")))
+    stored.upsert(part(2).select("o_orderkey", F.col("o_totalprice").alias("amount"), "o_orderpriority"))
+    try:
+        stored.upsert(part(0).select("o_orderkey", F.col("o_custkey").alias("amount")))
+    except ValueError:
+        return stored.read()
+    raise ValueError("a narrower type was let in")
+
+
+@query(f"""
+WITH {_LATEST}, newest AS (
+  SELECT * FROM new UNION ALL
+  SELECT * FROM old WHERE (l_orderkey, l_linenumber) NOT IN (SELECT (l_orderkey, l_linenumber) FROM new))
+SELECT (SELECT count(*) FROM old) AS rows_then, (SELECT count(*) FROM newest) AS rows_now,
+       (SELECT count(*) FROM old) AS rows_on_the_fifth,
+       (SELECT count(*) FROM newest n JOIN old o USING (l_orderkey, l_linenumber) WHERE n.l_extendedprice <> o.l_extendedprice) AS repriced""")
+def sql_time_travel(spark, sf):
+    """Past states of a stored table by SQL text alone."""
+    _stored(spark, sf).register("lines")
+    return spark.sql("""
+        SELECT (SELECT count(*) FROM lines_at(0)) AS rows_then, (SELECT count(*) FROM lines_at(1)) AS rows_now,
+               (SELECT count(*) FROM lines_asof(TIMESTAMP '2024-01-05 00:00:00')) AS rows_on_the_fifth,
+               (SELECT count(*) FROM lines_at(1) n JOIN lines_at(0) o USING (l_orderkey, l_linenumber)
+                WHERE n.l_extendedprice <> o.l_extendedprice) AS repriced""")

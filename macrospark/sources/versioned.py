@@ -35,6 +35,38 @@ WHOLE = ("overwrite", "compact")
 KEEP_HOURS = 168
 
 
+# The wider types that a type may become; a column's type never narrows.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_WIDER = {a: _WHOLE[i + 1 :] for i, a in enumerate(_WHOLE)} | {T.FloatType: (T.DoubleType,), T.DateType: (T.TimestampNTZType,)}
+_WIDER |= {a: (*_WIDER[a], T.FloatType, T.DoubleType) for a in (T.ByteType, T.ShortType)}
+_WIDER |= {a: (*_WIDER[a], T.DoubleType) for a in (T.IntegerType, T.LongType)}
+# Digits of whole numbers, for decimals that are to hold them.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of the old type has its place in the new one (a long as a double may lose digits)."""
+    if old == new or isinstance(old, T.NullType):
+        return True
+    if isinstance(new, T.DecimalType):
+        if isinstance(old, T.DecimalType):
+            return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+        return type(old) in _DIGITS and new.precision - new.scale >= _DIGITS[type(old)]
+    return type(new) in _WIDER.get(type(old), ())
+
+
+def widened(before: T.StructType, after: T.StructType) -> T.StructType:
+    """The columns of both; a column that both have takes the wider type, and types that are neither are an error."""
+    fields = {f.name: f for f in before}
+    for field in after:
+        old = fields.get(field.name)
+        if old is None or widens(old.dataType, field.dataType):
+            fields[field.name] = field
+        elif not widens(field.dataType, old.dataType):
+            raise ValueError(f"{field.name} cannot go from {old.dataType.simpleString()} to {field.dataType.simpleString()}")
+    return T.StructType(list(fields.values()))
+
+
 class VersionedTable:
     def __init__(
         self,
@@ -85,6 +117,8 @@ class VersionedTable:
     def _commit(self, rows: DataFrame, kind: str, at: datetime | None, batch: str | None = None) -> int:
         last = self.last_version()
         version = 0 if last is None else last + 1
+        if last is not None and kind == "merge":
+            self._refuse_narrowing(rows.schema)
         at = at or datetime.now(timezone.utc)
         rows = rows.withColumn("_committed_at", F.lit(at).cast("timestamp"))
         written = rows.hint("rebalance", *self.partition_by) if self.partition_by else rows
@@ -97,6 +131,16 @@ class VersionedTable:
         record.coalesce(1).write.mode("append").json(f"{self.path}/commits")
         return version
 
+    def _refuse_narrowing(self, schema: T.StructType) -> None:
+        """A merge may add columns and widen types; what it cannot say of earlier rows it may not change."""
+        known = T.StructType([])
+        for record in self._records():
+            known = widened(known, T.StructType.fromJson(json.loads(record.schema)))
+        now = {f.name: f.dataType for f in known}
+        for field in schema:
+            if field.name in now and not widens(now[field.name], field.dataType):
+                raise ValueError(f"{field.name} would narrow from {now[field.name].simpleString()} to {field.dataType.simpleString()}")
+
     def _refuse_repeats(self, rows: DataFrame) -> None:
         """Reads key columns only; a null key equals nothing, so it may come several times."""
         keyed = rows.select(*self.keys).filter(~any_null(self.keys))
@@ -125,12 +169,22 @@ class VersionedTable:
 
     def _scan(self, records: Sequence) -> DataFrame:
         """Log rows of the records; a column that came later is null in earlier ones."""
-        fields = {}
+        merged, groups = T.StructType([]), {}
         for record in records:
-            fields |= {f.name: f for f in T.StructType.fromJson(json.loads(record.schema))}
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields.values()]).add("_version", T.IntegerType())
-        folders = [f"{self.path}/data/_version={r.version}" for r in records]
-        return self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*folders)
+            own = T.StructType.fromJson(json.loads(record.schema))
+            merged = widened(merged, own)
+            groups.setdefault(record.schema, (own, []))[1].append(f"{self.path}/data/_version={record.version}")
+        cast = {f.name: f.dataType for f in merged}
+
+        def part(own: T.StructType, folders: list[str]) -> DataFrame:
+            rows = self.spark.read.schema(T.StructType([*own.fields]).add("_version", T.IntegerType())).option("basePath", f"{self.path}/data").parquet(*folders)
+            return rows.withColumns({f.name: F.col(f.name).cast(cast[f.name]) for f in own if f.dataType != cast[f.name]})
+
+        # One scan, unless a column's type was widened: then one for each run of types.
+        if all(f.dataType == cast[f.name] for own, _ in groups.values() for f in own):
+            whole = T.StructType([T.StructField(f.name, f.dataType) for f in merged])
+            return part(whole, [folder for _, folders in groups.values() for folder in folders])
+        return stack([part(own, folders) for own, folders in groups.values()])
 
     def read(self, version: int | None = None, at: datetime | None = None, partitions: Column | None = None) -> DataFrame:
         """The newest state, or the state after a version or at a moment.
@@ -157,13 +211,48 @@ class VersionedTable:
 
     def history(self, n: int | None = None) -> DataFrame:
         """Commits, newest first, with the rows each inserted, updated and wrote."""
-        kept = [r for r in sorted(self.commits().collect(), key=lambda r: r.version) if _exists(self.spark, f"{self.path}/data/_version={r.version}")]
+        there = self._folders()
+        kept = [r for r in sorted(self.commits().collect(), key=lambda r: r.version) if f"_version={r.version}" in there]
         whole = [r.version for r in kept if r.kind in WHOLE]
         counts = changelog.history(self._scan(kept), self.keys, whole).withColumnRenamed("_version", "version")
         listed = self.commits().drop("batch", "schema").join(counts, "version", "left")
         listed = listed.fillna(0, ["inserted", "updated", "total"]).orderBy(F.desc("version"))
         return listed if n is None else listed.limit(n)
 
+    def _folders(self) -> set[str]:
+        """Names of the versions' folders, by one listing."""
+        data = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data")
+        return {status.getPath().getName() for status in data.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(data)}
+
+    def register(self, name: str) -> None:
+        """Let SQL text read any past state: ``name_at(version)`` and ``name_asof(moment)``, over the view ``name_log``.
+
+        A row of the log is part of the states from its commit up to the next
+        whole version. The functions know the commits made so far; register
+        again after more.
+        """
+        there = self._folders()
+        kept = [r for r in sorted(self.commits().collect(), key=lambda r: r.version) if f"_version={r.version}" in there]
+        whole = [r for r in kept if r.kind in WHOLE]
+        ends = [(r.version, next(((w.version, w.committed_at) for w in whole if w.version > r.version), (None, None))) for r in kept]
+        spans = inline_table(self.spark, [(v, *end) for v, end in ends], "_version INT, _hidden_from INT, _hidden_at TIMESTAMP")
+        log = self._scan(kept).join(spans, "_version")  # a row per commit
+        log.withColumn("_apart", changelog._apart(self.keys)).createOrReplaceTempView(f"{name}_log")
+        hidden = (*changelog.BOOKKEEPING, *spans.columns)
+        columns = [f for f in log.schema if f.name not in hidden]
+        shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+        row = ", ".join(f"'{f.name}', `{f.name}`" for f in columns)
+        keys = ", ".join(f"`{k}`" for k in [*self.keys, "_apart"])
+        newest = ", ".join(f"`{c}`" for c in [*self.order, "_version"])
+        for function, argument, seen in (
+            (f"{name}_at", "v INT", "_version <= v AND (_hidden_from IS NULL OR v < _hidden_from)"),
+            (f"{name}_asof", "moment TIMESTAMP", "_committed_at <= moment AND (_hidden_at IS NULL OR moment < _hidden_at)"),
+        ):
+            self.spark.sql(f"""
+                CREATE OR REPLACE TEMPORARY FUNCTION {function}({argument}) RETURNS TABLE ({shape})
+                RETURN SELECT state.* FROM (
+                  SELECT max_by(named_struct({row}), struct({newest})) AS state FROM {name}_log WHERE {seen} GROUP BY {keys})""")
+
     def compare(self, old: int, new: int) -> DataFrame:
         """Keys added, removed or changed between an earlier and a later version."""
         before, after = self._records(old), self._records(new)

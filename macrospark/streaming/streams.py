@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from macrospark.operators import sketches
 from macrospark.operators.dedupe import dedupe_latest
 from macrospark.sources.versioned import VersionedTable
 
@@ -53,6 +54,11 @@ def refreshed_by_window(stream: DataFrame, key: str, at: str, width: str = "2 ho
     )
 
 
+def sketched_by_window(stream: DataFrame, key: str, at: str, width: str = "2 hours", delay: str = "1 day") -> DataFrame:
+    """Rows and a mergeable sketch of the distinct keys per tumbling window, to be stored and rolled up."""
+    return sketches.sketched(_timed(stream, at, delay), [F.window(at, width)], key)
+
+
 def upsert_stream(
     stream: DataFrame,
     table: VersionedTable,
