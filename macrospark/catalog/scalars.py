@@ -130,6 +130,16 @@ def normalize_date(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", S.normalize_date(text).alias("day"))
 
 
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CASE WHEN l_linenumber = 6 THEN date_trunc('month', l_shipdate) "
+       "WHEN l_linenumber = 7 THEN NULL ELSE l_shipdate END AS DATE) AS day FROM lineitem")
+def normalize_any_date(spark, sf):
+    """Dates in seven spellings, one of them with a month that does not exist."""
+    formats = ["MMMM d, yyyy", "dd-MMM-yyyy", "yyyy/M/d", "M/d/yyyy h:mm a", "d MMM yyyy", "MMM yyyy", "d 'Xyz' yyyy"]
+    text = F.element_at(F.array(*[F.date_format("l_shipdate", f) for f in formats]), F.col("l_linenumber"))
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return table(spark, sf, "lineitem").select(*keys, S.normalize_date(text).alias("day"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_month,
        CAST(date_trunc('quarter', l_shipdate) AS DATE) AS ship_quarter,

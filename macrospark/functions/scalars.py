@@ -114,13 +114,56 @@ def infer_frequency(period: Column | str) -> Column:
     return F.coalesce(_choice(letter, FREQUENCY_OF_LETTER), F.lit("unknown"))
 
 
+# Texts of other shapes: the signature of the text (Y four digits, n one or two, A letters, separators as
+# they are), and where its year, month and day stand among its runs of digits or letters (0: the first).
+DATE_GRAMMAR = (
+    {f"Y{x}n{x}n": "123" for x in "-/. "}
+    | {f"n{x}n{x}Y": "312" for x in "-/. "}  # month first; the day, if the number is beyond twelve
+    | {f"Y{x}n": "120" for x in "/. "}
+    | {f"n{x}Y": "210" for x in "-/. "}
+    | {"Y": "100", "A n, Y": "312", "A n Y": "312", "A. n, Y": "312", "A Y": "210", "A, Y": "210", "A-Y": "210", "Y A": "120"}
+    | {f"n{x}A{x}Y": "321" for x in "- /"}
+    | {"n A. Y": "321", "n A, Y": "321", "Y-A-n": "123", "Y A n": "123"}
+)
+# Names of the months, by their first three letters.
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_TIME_OF_DAY = r"(?i)[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AP]M)?( ?(Z|UTC|GMT|[+-]\d{2}:?\d{2}))?$"
+
+
+def _date_by_grammar(text: Column) -> Column:
+    """``yyyy-MM-dd`` of a text whose signature is in the grammar; the time of day is left out."""
+    day_text = F.regexp_replace(F.trim(text), _TIME_OF_DAY, "")
+    signature = F.regexp_replace(day_text, r"[A-Za-z]+", "A")
+    signature = F.regexp_replace(F.regexp_replace(signature, r"(?<!\d)\d{4}(?!\d)", "Y"), r"(?<!\d)\d{1,2}(?!\d)", "n")
+    where = _choice(signature, DATE_GRAMMAR)
+    parts = F.regexp_extract_all(day_text, F.lit("[0-9]+|[A-Za-z]+"), F.lit(0))
+
+    def part(position: int) -> Column:
+        at = F.substring(where, position, 1).try_cast("int")
+        return F.when(at > 0, F.try_element_at(parts, at)).when(at == 0, "1")
+
+    named = _choice(F.lower(F.substring(part(2), 1, 3)), {m: str(i) for i, m in enumerate(MONTHS, 1)})
+    spelt = part(2).rlike(r"(?i)^(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?|sept?(ember)?|oct(ober)?|nov(ember)?|dec(ember)?)$")
+    month = F.when(part(2).rlike(r"^\d+$"), part(2)).when(spelt, named)
+    swapped = (where == "312") & (month.try_cast("int") > 12)  # thirteen and more is a day
+    first, second = F.when(swapped, part(3)).otherwise(month), F.when(swapped, month).otherwise(part(3))
+    return F.concat(part(1), F.lit("-"), _two_digits(first), F.lit("-"), _two_digits(second))
+
+
 def normalize_date(c: Column | str, shapes=DATE_SHAPES) -> Column:
-    """The date a text stands for; null when it has none of the shapes or is no real day."""
+    """The date a text stands for; null when it has no known shape or is no real day.
+
+    The usual shapes are tried first, others go by their signature: one look-up
+    says where year, month and day stand. ``1/2/2020`` is read month first, as
+    ``13/2/2020`` cannot be. Years of two digits, six digits in a row and
+    quarters stand for no one day and are not read.
+    """
     c = _col(c)
-    iso = F.when(F.lit(False), F.lit(None).cast("string"))
+    iso = F.when(c.isNull(), F.lit(None).cast("string"))
     for shape, to_iso in shapes:
         iso = iso.when(c.rlike(shape), to_iso(c))
-    return iso.try_cast("date")
+    # bound once, as the text may be an expression of its own
+    return iso.otherwise(F.transform(F.array(c), _date_by_grammar)[0]).try_cast("date")
 
 
 def numeric_year(c: Column | str) -> Column:

@@ -245,8 +245,8 @@ class VersionedTable:
         keys = ", ".join(f"`{k}`" for k in [*self.keys, "_apart"])
         newest = ", ".join(f"`{c}`" for c in [*self.order, "_version"])
         for function, argument, seen in (
-            (f"{name}_at", "v INT", "_version <= v AND (_hidden_from IS NULL OR v < _hidden_from)"),
-            (f"{name}_asof", "moment TIMESTAMP", "_committed_at <= moment AND (_hidden_at IS NULL OR moment < _hidden_at)"),
+            (f"{name}_at", "_at_version INT", "_version <= _at_version AND (_hidden_from IS NULL OR _at_version < _hidden_from)"),
+            (f"{name}_asof", "_at_moment TIMESTAMP", "_committed_at <= _at_moment AND (_hidden_at IS NULL OR _at_moment < _hidden_at)"),
         ):
             self.spark.sql(f"""
                 CREATE OR REPLACE TEMPORARY FUNCTION {function}({argument}) RETURNS TABLE ({shape})

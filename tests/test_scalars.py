@@ -124,6 +124,23 @@ def test_dates(rows):
     assert values(df.filter(~S.normalize_date("x").eqNullSafe(F.col("want")))) == []
 
 
+def test_dates_of_any_shape(rows):
+    import pandas as pd
+
+    texts = [
+        "2020/1/5", "2020.01.05", "2020-1-5", "1/5/2020", "01-05-2020", "13/2/2020", "1.5.2020", "2020/05", "5/2020", "2020", "January 5, 2020", "Jan 5 2020",
+        "Jan. 5, 2020", "5 January 2020", "05-Jan-2020", "5 Sept 2020", "May 2020", "2020-Jan-05", "2020-01-05 10:30", "1/5/2020 3:04 PM", "2020-01-05T10:30:00.25Z",
+        "January 5, 2020 10:30:00", "20200105", "2020 Mar 7", " 2020-02-29 ", "2019/2/29", "32/13/2020", "Foo 5, 2020", "Januar 5, 2020", "yesterday", "", "n/a", "12345", "1:30",
+    ]
+    got = {r["x"]: r["d"] for r in rows([(t,) for t in texts], "x string").select("x", S.normalize_date("x").alias("d")).collect()}
+    for text in texts:
+        try:
+            want = None if text in ("", "yesterday", "n/a", "12345", "1:30") else pd.to_datetime(text).date()
+        except ValueError:
+            want = None
+        assert got[text] == want, text
+
+
 def test_numeric_year(rows):
     df = rows([("2023", 2023), ("2023-", None), ("", None), (None, None)], "x string, want int")
     assert values(df.filter(~S.numeric_year("x").eqNullSafe(F.col("want")))) == []
