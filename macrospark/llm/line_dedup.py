@@ -30,6 +30,7 @@ from macrospark.llm.common import node_of, text_of, written
 
 RUN = 3
 GRAM = 2
+WORDS = 50
 
 
 def _hashes(lines: Column) -> Column:
@@ -38,10 +39,7 @@ def _hashes(lines: Column) -> Column:
 
 
 def _windows(hashes: Column, run: int, gram: int) -> Column:
-    """For each run of lines: where it begins, its fingerprint, and its extent around it.
-
-    `left` and `right` are the lines beside the fingerprint's gram that the run covers.
-    """
+    """For each run of lines: where it begins, its fingerprint, where in the run that stands, and the run's hash."""
     grams = run - gram + 1
 
     def window(start: Column) -> Column:
@@ -131,7 +129,10 @@ def dedup_lines(
 
 
 def digest_columns(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, lines, lines deleted, and the digest of the text that is left."""
-    return dedup_lines(docs).select(
+    """Per document: doc_id, lines, lines deleted, and the digest of the text that is left.
+
+    Runs of `RUN` lines count, and shorter ones of `WORDS` words.
+    """
+    return dedup_lines(docs, words=WORDS).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
     )

@@ -47,15 +47,21 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest_columns(table(spark, sf_dir, "documents"))
 
 
-ORACLE["op3_line_dedup"] = """
+ORACLE["op3_line_dedup"] = r"""
 with texts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+counted as (
+  select doc_id, lines, list_transform(lines,
+    lambda l: len(list_filter(string_split_regex(l, '[ \t\n\x0b\f\r]+'), lambda w: w <> ''))) as words from texts),
+starts as (
+  select doc_id, lines, words, k, unnest(range(1, len(lines) - k + 2)) as i
+  from counted, (select unnest([1, 2, 3]) as k) where k <= len(lines)),
 runs as (
-  select doc_id, i, array_to_string(list_slice(lines, i, i + 2), chr(10)) as run
-  from (select doc_id, lines, unnest(range(1, len(lines) - 1)) as i from texts)),
-ranked as (select doc_id, i, row_number() over (partition by run order by doc_id, i) as place from runs),
+  select doc_id, i, k, array_to_string(list_slice(lines, i, i + k - 1), chr(10)) as run
+  from starts where k = 3 or list_sum(list_slice(words, i, i + k - 1)) >= 50),
+ranked as (select doc_id, i, k, row_number() over (partition by k, run order by doc_id, i) as place from runs),
 removed as (
   select distinct doc_id, p, true as gone
-  from (select doc_id, unnest([i, i + 1, i + 2]) as p from ranked where place > 1)),
+  from (select doc_id, unnest(range(i, i + k)) as p from ranked where place > 1)),
 placed as (select doc_id, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as p from texts)
 select doc_id, count(*) as n_lines, count(gone) as n_removed,
   sha256(coalesce(string_agg(line, chr(10) order by p) filter (where gone is null), '')) as kept_sha256
