@@ -99,6 +99,8 @@ def dedup_lines(
     """
     found = repeated_runs(docs, key, text, run, gram).withColumn("lines", F.lit(run))
     for fewer in range(1, run) if words is not None else ():
+        # what each length finds is written, so that its shuffles are released ahead of the next
+        found = written(found, "line-dedup-found")
         short = repeated_runs(docs, key, text, fewer, min(gram, fewer), words)
         found = found.unionByName(short.withColumn("lines", F.lit(fewer)))
     starts = found.groupBy("key", "node").agg(
