@@ -1,4 +1,4 @@
-"""Declared schemas, as DDL: landed documents and bronze tables. Nothing is inferred."""
+"""Declared schemas of landed documents, as DDL. Nothing is inferred."""
 
 from __future__ import annotations
 
@@ -22,23 +22,3 @@ BLS_DOC = (
     f"status STRING, message ARRAY<STRING>, Results STRUCT<series: {_BLS_SERIES}>, "
     f"series {_BLS_SERIES}, start_year INT, end_year INT"
 )
-
-# Bronze tables --------------------------------------------------------------
-
-FRED_OBSERVATIONS = (
-    "series_id STRING, observation_date DATE, value DOUBLE, value_is_missing BOOLEAN, "
-    "description STRING, category STRING, units STRING, frequency STRING, source STRING, "
-    "series_url STRING, ingested_at TIMESTAMP, pipeline_version STRING"
-)
-BEA_OBSERVATIONS = (
-    "table_key STRING, series_name STRING, period_date DATE, value DOUBLE, is_missing BOOLEAN, "
-    "bea_table_name STRING, bea_line_number INT, bea_line_description STRING, bea_period_str STRING, "
-    "frequency STRING, units STRING, description STRING, source STRING, "
-    "ingested_at TIMESTAMP, pipeline_version STRING"
-)
-BLS_OBSERVATIONS = (
-    "series_id STRING, observation_date DATE, value DOUBLE, is_missing BOOLEAN, year INT, "
-    "period STRING, period_name STRING, footnote_codes STRING, description STRING, category STRING, "
-    "units STRING, frequency STRING, seasonal_adjustment STRING, survey STRING, source STRING, "
-    "series_url STRING, ingested_at TIMESTAMP, pipeline_version STRING"
-)
