@@ -74,7 +74,7 @@ def test_keyed_checks_in_one_pass(rows):
     plain = quality.check_not_null(df, ["k", "v"]).unionByName(quality.check_unique(df, ["k", "n"]))
     one = quality.check_keyed(df, ["k", "n"], ["k", "v"])
     assert values(one) == values(plain)
-    assert one._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 1
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
 
 
 def test_refresh_computes_new_rows_once(spark, rows, tmp_path):
