@@ -1,13 +1,16 @@
 """URL filter by a tree of path templates. Built-in expressions only.
 
-Per host, the paths make a tree of segments, built level by level from aggregated paths:
+Per host, the paths make a tree of segments, grown from aggregated paths. What all paths of a node
+have in common goes to its template at once, so that each round is a place where paths part:
 
 * runs of digits are `{n}` and long hexadecimal names `{x}` from the start;
-* children of a node are variable if they are at least `BRANCHES` and hold fewer than `PAGES`
-  pages each on average: they become one wildcard, `*`;
-* children whose share of bad labels does not differ from that of all their siblings (by a
-  two-sided test of `Z` standard errors) are merged into one branch, `~`;
-* what lies below `DEPTH` levels is one branch, `**`.
+* a child is comparable if it has labels enough for the test to tell it from all children: were its
+  labels all good or all bad, it would differ (two-sided, `Z` standard errors);
+* comparable children that do not differ are merged into one branch, `~`; those that differ stay;
+* children that are not comparable are variable if pages spread over at least `SPREAD` of the
+  children, (sum of pages)^2 / sum of pages^2: they become one wildcard, `*`. Else they stay.
+
+None of these depends on the size of the crawl: with k times the pages the spread is the same.
 
 A template, a path of this tree, is rejected if its smoothed share of bad labels is `REJECT` or
 more: (bad + A * prior) / (labels + A), where the prior is the host's share, smoothed in the same
@@ -16,7 +19,8 @@ longest decides.
 
 Pages are counted per host and path shape first (combined before the shuffle), so the tree's
 steps grow with different shapes and a host with a third of all pages is no heavier than its
-shapes; each step is an aggregate and a join on it, and no window holds a node's children.
+shapes; each round is an aggregate and a join on it, and no window holds a node's children. Rounds
+go on until no path has a further segment, however deep.
 
 Defined cases: a null URL, or one without `://`, has an empty host and path; a null label is no
 label; without any labels nothing is rejected; repeated rows are judged alike; an empty table
@@ -34,9 +38,7 @@ from macrospark.llm.common import written
 
 #: (verdict, host and path); a rule holds for its host and all hosts below it.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-DEPTH = 8
-BRANCHES = 8
-PAGES = 4
+SPREAD = 8
 Z = 1.96
 A = 8.0
 REJECT = 0.5
@@ -81,28 +83,44 @@ def _share(bad: Column, labels: Column, prior: Column) -> Column:
     return (bad + F.lit(A) * prior) / (labels + F.lit(A))
 
 
-def _grown(paths: DataFrame, level: int) -> DataFrame:
-    """One level more of the tree: each path's next segment becomes itself, `*`, `~` or `**`."""
-    segment = F.when(F.size("shape") <= level, F.lit(None)).when(
-        F.lit(level >= DEPTH), F.lit("**")
-    ).otherwise(F.get("shape", F.lit(level)))
-    here = paths.withColumn("segment", segment)
-    going = here.where("segment is not null")
-    sums = [F.sum(c).alias(c) for c in ("pages", "labels", "bad")]
-    children = going.groupBy("host", "template", "segment").agg(*sums)
+_COUNTS = ("pages", "labels", "bad")
+
+
+def _common(paths: DataFrame) -> DataFrame:
+    """Each path moved on by the segments that all paths of its node share: those of its least and greatest path."""
+    ends = paths.groupBy("host", "template").agg(F.min("rest").alias("least"), F.max("rest").alias("greatest"))
+    parted = F.filter(
+        F.sequence(F.lit(1), F.least(F.size("least"), F.size("greatest")) + 1),
+        lambda i: ~F.get("least", i - 1).eqNullSafe(F.get("greatest", i - 1)) | (i > F.least(F.size("least"), F.size("greatest"))),
+    )
+    shared = ends.select("host", "template", F.slice("greatest", F.lit(1), parted[0] - 1).alias("shared"))
+    moved = paths.join(shared, ["host", "template"])
+    rest = F.slice("rest", F.size("shared") + 1, F.greatest(F.size("rest"), F.lit(1)))
+    return moved.withColumn("rest", rest).withColumn(
+        "template", F.concat("template", F.array_join(F.transform("shared", lambda s: F.concat(F.lit("/"), s)), ""))
+    ).select(*paths.columns)
+
+
+def _grown(paths: DataFrame) -> DataFrame:
+    """One parting more of the tree: each path's next segment becomes itself, `*` or `~`."""
+    here = _common(paths).withColumn("segment", F.get("rest", F.lit(0)))
+    children = here.where("segment is not null").groupBy("host", "template", "segment").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    square = F.col("pages").cast("double") * F.col("pages")
     parents = children.groupBy("host", "template").agg(
-        F.count(F.lit(1)).alias("branches"), *[F.sum(c).alias(f"all_{c}") for c in ("pages", "labels", "bad")]
+        F.count(F.lit(1)).alias("branches"), F.sum(square).alias("squares"), *[F.sum(c).alias(f"all_{c}") for c in _COUNTS]
     )
     known = children.join(parents, ["host", "template"])
     rate = F.col("all_bad") / F.greatest("all_labels", F.lit(1))
-    error = F.sqrt(F.col("labels") * rate * (1 - rate))
-    alike = F.abs(F.col("bad") - F.col("labels") * rate) <= F.lit(Z) * error
-    variable = (F.col("branches") >= BRANCHES) & (F.col("all_pages") < PAGES * F.col("branches"))
-    named = F.when(variable, "*").when((F.col("branches") > 1) & alike, "~").otherwise(F.col("segment"))
-    names = known.select("host", "template", "segment", named.alias("name"))
+    error = F.lit(Z) * F.sqrt(F.col("labels") * rate * (1 - rate))
+    comparable = (F.col("labels") > 0) & (F.col("labels") * F.greatest(rate, 1 - rate) > error)
+    alike = F.abs(F.col("bad") - F.col("labels") * rate) <= error
+    variable = F.col("all_pages").cast("double") * F.col("all_pages") >= SPREAD * F.col("squares")
+    named = F.when(F.col("branches") == 1, F.col("segment")).when(comparable, F.when(alike, "~").otherwise(F.col("segment")))
+    names = known.select("host", "template", "segment", named.otherwise(F.when(variable, "*").otherwise(F.col("segment"))).alias("name"))
     return written(
         here.join(names, ["host", "template", "segment"], "left")
         .withColumn("template", F.when(F.col("name").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "name")))
+        .withColumn("rest", F.slice("rest", F.lit(2), F.greatest(F.size("rest"), F.lit(1))))
         .select(*paths.columns),
         "url-tree",
     )
@@ -113,12 +131,11 @@ def templates(pages: DataFrame) -> DataFrame:
     paths = written(
         pages.groupBy("host", "shape").agg(
             F.count(F.lit(1)).alias("pages"), F.count("bad").alias("labels"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")
-        ).withColumn("template", F.lit("")),
+        ).withColumn("template", F.lit("")).withColumn("rest", F.col("shape")),
         "url-paths",
     )
-    depth = paths.agg(F.max(F.size("shape"))).first()[0] or 0
-    for level in range(min(depth, DEPTH + 1)):
-        paths = _grown(paths, level)
+    while not paths.where(F.size("rest") > 0).isEmpty():
+        paths = _grown(paths)
     found = paths.groupBy("host", "template").agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
     hosts = found.groupBy("host").agg(F.sum("labels").alias("host_labels"), F.sum("bad").alias("host_bad"))
     base = hosts.agg((F.sum("host_bad") / F.greatest(F.sum("host_labels"), F.lit(1))).alias("base")).first()["base"]

@@ -37,9 +37,9 @@ def brute(pages):
         )
         rows.append((host, path, shape, bad))
     template = {(h, s): "" for h, _, s, _ in rows}
-    for level in range(u.DEPTH + 1):
+    for level in range(max(len(s) for _, s in template)):
         child, parent = defaultdict(lambda: [0, 0, 0]), defaultdict(lambda: [set(), 0, 0, 0])
-        segment = {k: ("**" if level >= u.DEPTH else k[1][level]) for k in template if len(k[1]) > level}
+        segment = {k: k[1][level] for k in template if len(k[1]) > level}
         for h, _, s, bad in rows:
             if (h, s) in segment:
                 t, g = template[h, s], segment[h, s]
@@ -49,11 +49,18 @@ def brute(pages):
                     parent[h, t][i + 1] += x
                 parent[h, t][0].add(g)
         for k, g in segment.items():
-            n, labels, bad = child[k[0], template[k], g]
-            kinds, all_n, all_labels, all_bad = parent[k[0], template[k]]
+            node = k[0], template[k]
+            n, labels, bad = child[*node, g]
+            kinds, all_n, all_labels, all_bad = parent[node]
             rate = all_bad / max(all_labels, 1)
-            alike = abs(bad - labels * rate) <= u.Z * (labels * rate * (1 - rate)) ** 0.5
-            name = "*" if len(kinds) >= u.BRANCHES and all_n < u.PAGES * len(kinds) else "~" if len(kinds) > 1 and alike else g
+            error = u.Z * (labels * rate * (1 - rate)) ** 0.5
+            spread = all_n**2 / sum(child[*node, x][0] ** 2 for x in kinds)
+            if len(kinds) == 1:
+                name = g
+            elif labels and labels * max(rate, 1 - rate) > error:
+                name = "~" if abs(bad - labels * rate) <= error else g
+            else:
+                name = "*" if spread >= u.SPREAD else g
             segment[k] = f"{template[k]}/{name}"
         template.update(segment)
     by_host, by_template, everything = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0]), [0, 0]
@@ -91,6 +98,7 @@ def test_trees_with_wildcards_merges_and_rejections(spark):
         pages.append((f"https://A.org/shop/item-{i}x{'abcdefgh'[i % 8]}{i}/buy", 1 if i % 4 else 0))
         pages.append((f"http://b.org/{'spam' if i % 2 else 'news'}/{'qwertyuiopasdfghjklzxcvbnm'[i % 26] * (i // 26 + 1)}?q={i}", i % 2))
         pages.append((f"http://sub.b.org/fr/{i}#x", None))
+        pages.append((f"http://sub.b.org/u/{'qwertyuiopas'[i % 12] * 2}/me", None))
         pages.append(("http://c.com/" + "/".join("ab"[i % 2] for _ in range(11)), 0))
     pages += [(None, 1), ("no scheme", 0), ("http://", 1), ("x://h?q", None), ("http://example.com/de", 1), ("http://EXAMPLE.com/de/", 0),
               ("http://net/", None), ("http://a.net?x=/", None), ("http://h.org/0123456789abcdef/x", 1)] * 2
@@ -98,7 +106,34 @@ def test_trees_with_wildcards_merges_and_rejections(spark):
     judged = url_filter.judge(frame, bad="bad", keep=["page_id"])
     assert compare(judged, pages)
     assert {r["verdict"] for r in judged.where("rule is null").collect()} == {"allow", "block"}
-    assert judged.where("template like '%**%'").count() and judged.where("template like '%/*%'").count()
+    assert judged.where("template like '%/*%'").count() and judged.where("template like '%~%'").count()
+
+
+def test_a_planted_bad_template_is_blocked_at_every_size(spark):
+    for size in (1, 10):
+        pages = []
+        for i in range(240 * size):
+            label = int(i % 20 == 0) if i % 2 == 0 else None
+            pages.append((f"https://a.com/{'en' if i % 3 else 'de'}/read/{i}", label))
+            if i % 4 < 2:
+                pages.append((f"https://a.com/{'en' if i % 3 else 'de'}/pills/{i}", None if label is None else 1 - label))
+            pages.append((f"https://a.com/u/{'abcdefghijkl'[i % 12] * 3}", None))
+        frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, bad int")
+        judged = url_filter.judge(frame, bad="bad", keep=["page_id"])
+        assert compare(judged, pages)
+        assert {r["path"].split("/")[2] for r in judged.where("verdict = 'block'").collect()} == {"pills"}
+        assert judged.where("verdict = 'block'").count() == 120 * size
+        assert judged.where("template = '/u/*'").count() == 240 * size
+
+
+def test_templates_part_at_any_depth(spark):
+    deep = "/".join("abcdefghijklmnopqrst")
+    pages = [(f"http://d.com/{deep}/{'good' if i % 2 else 'bad'}/{i}", 1 - i % 2) for i in range(40)]
+    pages += [(f"http://d.com/{deep}", None), ("http://d.com/" + "x/" * 3000, 0)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, bad int")
+    judged = url_filter.judge(frame, bad="bad", keep=["page_id"])
+    assert compare(judged, pages)
+    assert judged.where("verdict = 'block'").count() == 20 == judged.where("verdict = 'block' and path like '%/bad/%'").count()
 
 
 def test_odd_columns_and_empty_tables(spark, labels):
