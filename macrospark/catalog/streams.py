@@ -33,7 +33,10 @@ def stream_dedupe(spark, sf):
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM (SELECT *, row_number() OVER (
   PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")
 def stream_upsert(spark, sf):
-    """Each customer's newest order, from several micro-batches of which the last holds the oldest orders."""
+    """Each customer's newest order, from several micro-batches of which the last holds the oldest orders.
+
+    The stream remembers each customer's newest order, so a batch writes only the customers it changes.
+    """
     root = new_run_dir(spark, "stream-upsert")
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
     for year in range(1998, 1991, -1):  # written newest first, so that old vintages arrive late
@@ -42,7 +45,7 @@ def stream_upsert(spark, sf):
         orders.filter(later).write.mode("append").parquet(f"{root}/landed")
     stored = VersionedTable(spark, f"{root}/table", ["o_custkey"], order=["o_orderdate", "o_orderkey"])
     arriving = streams.stream_parquet(spark, f"{root}/landed", orders.schema, max_files=2)
-    streams.upsert_stream(arriving, stored, f"{root}/checkpoint").awaitTermination()
+    streams.upsert_stream(arriving, stored, f"{root}/checkpoint", remember=True).awaitTermination()
     return stored.read()
 
 

@@ -26,6 +26,12 @@ def null_spread(keys: Sequence[str], columns: Sequence[str]) -> Column:
     return F.when(any_null(keys), F.xxhash64(*columns)).otherwise(F.lit(0).cast("bigint"))
 
 
+def tie_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> list[str]:
+    """Every other column that has an order."""
+    used = {*keys, *order}
+    return [f.name for f in df.schema.fields if f.name not in used and not isinstance(f.dataType, _UNORDERABLE)]
+
+
 def dedupe_latest(
     df: DataFrame,
     keys: Sequence[str],
@@ -39,8 +45,7 @@ def dedupe_latest(
     hot key sends one row per input partition.
     """
     if tie is None:
-        used = {*keys, *order}
-        tie = [f.name for f in df.schema.fields if f.name not in used and not isinstance(f.dataType, _UNORDERABLE)]
+        tie = tie_columns(df, keys, order)
     ranking = [F.desc_nulls_last(c) for c in [*order, *tie]] or [F.asc(k) for k in keys]
     newest_first = Window.partitionBy(*keys).orderBy(*ranking)
     return df.withColumn("_rank", F.row_number().over(newest_first)).filter("_rank = 1").drop("_rank")

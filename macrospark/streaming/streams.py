@@ -10,9 +10,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from macrospark.operators import sketches
-from macrospark.operators.dedupe import dedupe_latest
+from macrospark.operators.dedupe import dedupe_latest, tie_columns
 from macrospark.sources.versioned import VersionedTable
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def stream_parquet(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """New Parquet files of a folder or glob."""
@@ -59,10 +62,30 @@ def sketched_by_window(stream: DataFrame, key: str, at: str, width: str = "2 hou
     return sketches.sketched(_timed(stream, at, delay), [F.window(at, width)], key)
 
 
+def newest_changes(stream: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """A key's newest row whenever a micro-batch brings a newer one; for output mode ``update``.
+
+    Keyed state holds the newest row of each key, for good. Rows compare by ``order`` and then
+    by all other columns, so what is kept does not depend on how the rows were cut into
+    batches; a late older vintage or a replayed row changes nothing and gives no row.
+    Combined ahead of the shuffle, so a hot key, a null one included, sends one row a task.
+    """
+    if not order:
+        raise ValueError("without an order no row is newer than another")
+    others = [c for c in stream.columns if c not in keys]
+    # the moment of a micro-batch is one value, recorded in the checkpoint: the same when it is run again
+    arrived = stream.withColumn("_arrived", F.current_timestamp())
+    ranked = F.struct(*order, *tie_columns(stream, keys, order), (-F.unix_micros("_arrived")).alias("_earliest"))
+    newest = arrived.groupBy(*keys).agg(F.max_by(F.struct(*others, "_arrived"), ranked).alias("_newest"))
+    changed = newest.filter(F.col("_newest._arrived") == F.current_timestamp())
+    return changed.select(*[c if c in keys else F.col("_newest")[c].alias(c) for c in stream.columns])
+
+
 def upsert_stream(
     stream: DataFrame,
     table: VersionedTable,
     checkpoint: str,
+    remember: bool = False,
 ) -> StreamingQuery:
     """Merge every micro-batch into a versioned table, with what is there now.
 
@@ -70,16 +93,32 @@ def upsert_stream(
     batch and across batches: an older one that arrives late does not win. A
     batch is reduced first, which combines ahead of its shuffle. The batch number goes into the commit, so a batch that is
     run again after a failure is written once.
+
+    With ``remember`` the stream keeps each key's newest row as state (on disk, in
+    RocksDB, since it grows with the keys), and a batch writes only the keys whose
+    newest row it changed (``newest_changes``); for tables that only this stream
+    writes to.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         # a batch plan is bound to the stream's own session
         own = VersionedTable(batch.sparkSession, table.path, table.keys, table.partition_by, table.order)
         # rows with a null key are reduced too: as a stream they may be replays
-        own.upsert(dedupe_latest(batch, table.keys, table.order), batch=f"{checkpoint}#{number}")
-
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    return writer.foreachBatch(merge).start()
+        rows = batch if remember else dedupe_latest(batch, table.keys, table.order)
+        own.upsert(rows, batch=f"{checkpoint}#{number}")
+
+    if not remember:
+        writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        return writer.foreachBatch(merge).start()
+    changes = newest_changes(stream, table.keys, table.order)
+    writer = changes.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    conf = stream.sparkSession.conf
+    before = conf.get(_PROVIDER)
+    conf.set(_PROVIDER, _ROCKSDB)  # a query takes its settings along when it starts
+    try:
+        return writer.outputMode("update").foreachBatch(merge).start()
+    finally:
+        conf.set(_PROVIDER, before)
 
 
 def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

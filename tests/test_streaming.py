@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from frames import values
@@ -45,6 +48,42 @@ def test_a_late_older_vintage_does_not_win(spark, tmp_path):
     assert values(table.read().select("id", "v")) == [(i, 5) for i in range(4)]
 
 
+def test_a_stream_that_remembers_writes_only_what_changes(spark, tmp_path):
+    src, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    table = VersionedTable(spark, str(tmp_path / "t"), ["id"], order=["t"])
+    rng, best, written, clash = random.Random(3), {}, [], "id bigint, t int, v int, _newest string"
+    for number in range(4):
+        rows = [(rng.choice([None, 7, *range(6)]), rng.choice([None, 1, 2, 3 + number % 3]), rng.randrange(3), None) for _ in range(30)]
+        rows += rows[:5]  # replays
+        changed = set()
+        for row in rows:
+            rank = (row[1] is not None, row[1] or 0, row[2])
+            if row[0] not in best or rank > best[row[0]][0]:
+                best[row[0]] = rank, row
+                changed.add(row[0])
+        written.append(len(changed))
+        spark.createDataFrame(rows, clash).coalesce(1).write.mode("append").parquet(src)
+        stream = streams.stream_parquet(spark, src, spark.read.parquet(src).schema)
+        streams.upsert_stream(stream, table, cp, remember=True).awaitTermination()
+    versions = {r["_version"]: r["count"] for r in table.changes().groupBy("_version").count().collect()}
+    assert [versions.get(i, 0) for i in range(4)] == written and 0 < sum(written[1:]) < 24
+    known = {k: row for k, (_, row) in best.items() if k is not None}
+    assert {r["id"]: tuple(r) for r in table.read().filter("id is not null").collect()} == known
+
+
+def test_an_older_batch_after_a_newer_one_writes_nothing(spark, tmp_path):
+    src, cp = str(tmp_path / "in"), str(tmp_path / "cp")
+    table = VersionedTable(spark, str(tmp_path / "t"), ["id"], order=["v"])
+    for v in (5, 3, 5):
+        load(spark, src, 0, 4, v)
+        stream = streams.stream_parquet(spark, src, spark.read.parquet(src).schema)
+        streams.upsert_stream(stream, table, cp, remember=True).awaitTermination()
+    assert [r["_version"] for r in table.changes().collect()] == [0] * 4
+    assert values(table.read().select("id", "v")) == [(i, 5) for i in range(4)]
+    with pytest.raises(ValueError, match="order"):
+        streams.newest_changes(spark.range(1), ["id"], [])
+
+
 def test_windows(spark, tmp_path):
     src = str(tmp_path / "in")
     load(spark, src, 0, 300, 1)
