@@ -1,18 +1,21 @@
 """Line deduplication by winnowing: runs of lines that occur earlier are deleted.
 
-A text is a sequence of line hashes. `GRAM` consecutive lines make a gram; of each window of
-`RUN - GRAM + 1` consecutive grams the least is selected as fingerprint (the first of equals), so
-a run of `RUN` lines has one fingerprint that depends on nothing but its lines: equal runs have
-equal fingerprints, wherever they stand. Every run start makes one row with the fingerprint and
-the hash of the whole run (`extent`). Runs whose fingerprint occurs once are sorted out, the
-others are grouped by the hash of the whole run; fingerprints thin out no starts, and no match is
-extended beyond its run. Neighbouring runs overlap and make up the whole repeated passage. A line
-in a run of at least `RUN` lines that begins earlier (in a document with a smaller key, or in the
-same one) is deleted. With `words` given, shorter runs of at least so many words count as well.
-
-The first place of each run is a minimum that is combined before its shuffle, and the join on it
-is split by adaptive execution, so a passage in a third of all documents makes no task heavy;
-rows grow with the lines, never with pairs.
+A text is a sequence of line hashes, and `gram` consecutive lines make a gram. Of the grams of
+each window the least is selected (the first of equals); windows are the runs that count: `run`
+lines, or fewer that hold `words` words. What a window selects depends on nothing but its lines,
+so every run that occurs twice is selected at the same of its grams in both places: the
+fingerprint is guaranteed. Neighbouring windows mostly select the same gram, and only selected
+positions become rows, each once, with how far its windows reach to the left and to the right
+and the hash of the lines they reach over.
+
+Fingerprints that stand at one position only are dropped. The others are joined with their
+positions, and only these are extended both ways: over each of their windows, to the first place
+whose lines on both sides are the same. A line in a run that begins earlier (in a document with a
+smaller key, or in the same one) is deleted; overlapping runs make up the whole passage.
+
+The first place of a run is a minimum that is combined before its shuffle, and the joins are
+split by adaptive execution, so a passage in a third of all documents makes no task heavy;
+rows grow with the selected positions, never with pairs.
 
 Defined cases: null and empty texts have one empty line; texts of fewer than `RUN` lines stay as
 they are unless `words` is given; a word is what stands between white space; lines are compared
@@ -23,71 +26,133 @@ result; extra columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from macrospark.llm.common import node_of, text_of, written
+from macrospark.llm.common import node_of, pieces, ready, text_of, written
 
 RUN = 3
-GRAM = 2
+GRAM = 1
 WORDS = 50
+#: Texts are hashed in slices of about so many bytes.
+_SLICE = 1_000_000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
+_REACH = pa.struct([("left", pa.int32()), ("lines", pa.int32()), ("extent", pa.binary())])
 
-def _hashes(lines: Column) -> Column:
-    """128 bits of each line."""
-    return F.transform(lines, lambda line: F.md5(line.cast("binary")))
-
-
-def _windows(hashes: Column, run: int, gram: int) -> Column:
-    """For each run of lines: where it begins, its fingerprint, where in the run that stands, and the run's hash."""
-    grams = run - gram + 1
-
-    def window(start: Column) -> Column:
-        def least(offset: int) -> Column:
-            return F.struct(F.array_join(F.slice(hashes, start + offset + 1, gram), "").alias("g"), F.lit(offset).alias("o"))
-
-        chosen = F.array_min(F.array(*[least(i) for i in range(grams)]))
-        return F.struct(
-            start.alias("start"),
-            F.unhex(F.md5(chosen["g"].cast("binary"))).alias("fingerprint"),
-            chosen["o"].alias("offset"),
-            F.unhex(F.md5(F.array_join(F.slice(hashes, start + 1, run), "").cast("binary"))).alias("extent"),
-        )
 
-    return F.transform(F.sequence(F.lit(0), F.size(hashes) - run), window)
+def _selected(texts: list[bytes], run: int, gram: int, words: int | None) -> tuple[np.ndarray, ...]:
+    """What the windows of some texts select.
 
-
-def _word_counts(lines: Column) -> Column:
-    return F.transform(lines, lambda line: F.size(F.filter(F.split(line, r"\s+"), lambda w: w != "")))
+    Per selected position: its text, its line there and its fingerprint; then, per window and in
+    the order of the positions: the position's index, lines to the left, lines, hash of the lines.
+    """
+    split = [text.split(b"\n") for text in texts]
+    sizes = np.array([len(lines) for lines in split])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    first_line = np.cumsum(sizes) - sizes
+    digests = b"".join([md5(line).digest() for lines in split for line in lines])
+    hashes = np.frombuffer(digests, dtype="<u8")[::2]
+    held = None
+    if words is not None:  # words ahead of each line
+        counts = [len(line.split()) for lines in split for line in lines]
+        held = np.concatenate([[0], np.cumsum(counts)])
+    parts = []
+    for lines in range(1 if words is not None else run, run + 1):
+        starts = np.arange(len(hashes) - lines + 1)
+        starts = starts[owner[starts] == owner[starts + lines - 1]]
+        if lines < run:
+            starts = starts[held[starts + lines] - held[starts] >= words]
+        width = min(gram, lines)
+        grams = hashes[: max(len(hashes) - width + 1, 0)].copy()
+        for j in range(1, width):
+            grams = grams * _MIX + hashes[j : len(grams) + j]
+        least, left = grams[starts], np.zeros(len(starts), dtype=np.int64)
+        for j in range(1, lines - width + 1):
+            smaller = grams[starts + j] < least
+            least = np.where(smaller, grams[starts + j], least)
+            left[smaller] = j
+        parts.append((starts + left, np.full(len(starts), width), least, left, np.full(len(starts), lines)))
+    position, width, least, left, lines = (np.concatenate(column) for column in zip(*parts))
+    order = np.lexsort((lines, left, width, position))
+    position, width, least, left, lines = (c[order] for c in (position, width, least, left, lines))
+    opens = np.ones(len(position), dtype=bool)
+    opens[1:] = (position[1:] != position[:-1]) | (width[1:] != width[:-1])
+    at = position[opens]
+    view = memoryview(digests)
+    begins = (position - left).tolist()
+    extents = [md5(view[16 * b : 16 * (b + n)]).digest() for b, n in zip(begins, lines.tolist())]
+    return owner[at], at - first_line[owner[at]], least[opens].view(np.int64), np.cumsum(opens) - 1, left, lines, extents
+
+
+def selected_positions(docs: DataFrame, key: str, text: str, run: int, gram: int, words: int | None) -> DataFrame:
+    """(key, node, line, fingerprint, windows): one row per selected position; `node` stands for the text."""
+    ready(docs.sparkSession)
+    rows = docs.select(F.col(key).alias("key"), node_of(text).alias("node"), text_of(text).cast("binary").alias("text"))
+
+    def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, 2, _SLICE):
+                texts, line, fingerprint, index, left, lines, extents = _selected(
+                    piece.column(2).to_pylist(), run, gram, words
+                )
+                reach = pa.StructArray.from_arrays(
+                    [pa.array(left, pa.int32()), pa.array(lines, pa.int32()), pa.array(extents, pa.binary())],
+                    fields=list(_REACH),
+                )
+                bounds = np.searchsorted(index, np.arange(len(texts) + 1)).astype(np.int32)
+                take = pa.array(texts, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column(0).take(take),
+                        piece.column(1).take(take),
+                        pa.array(line, pa.int32()),
+                        pa.array(fingerprint, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), reach),
+                    ],
+                    names=["key", "node", "line", "fingerprint", "windows"],
+                )
+
+    schema = T.StructType(
+        [
+            T.StructField("key", docs.schema[key].dataType),
+            T.StructField("node", T.BinaryType()),
+            T.StructField("line", T.IntegerType()),
+            T.StructField("fingerprint", T.LongType()),
+            T.StructField("windows", T.ArrayType(T.StructType.fromDDL("left INT, lines INT, extent BINARY"))),
+        ]
+    )
+    return rows.mapInArrow(select, schema)
 
 
-def repeated_runs(docs: DataFrame, key: str, text: str, run: int = RUN, gram: int = GRAM, words: int = 0) -> DataFrame:
-    """(key, node, start): beginnings of runs, of `words` words at least, that occur earlier; `node` stands for the text."""
+def repeated_runs(
+    docs: DataFrame, key: str, text: str, run: int = RUN, gram: int = GRAM, words: int | None = None
+) -> DataFrame:
+    """(key, node, start, lines): runs that occur earlier; `node` stands for the text."""
     if not 0 < gram <= run:
         raise ValueError("a gram must fit into a run")
-    lines = F.split(text_of(text), "\n")
-    windows = _windows(F.col("h"), run, gram)
-    columns = [F.col(key).alias("key"), node_of(text).alias("node"), _hashes(lines).alias("h")]
-    if words:
-        columns.append(_word_counts(lines).alias("m"))
-        windows = F.filter(
-            windows, lambda w: F.aggregate(F.slice(F.col("m"), w["start"] + 1, run), F.lit(0), lambda a, b: a + b) >= words
-        )
-    long = docs.select(*columns).where(F.size("h") >= run)
-    places = written(long.select("key", "node", F.explode(windows).alias("w")).select("key", "node", "w.*"), "line-dedup-places")
-    place = F.struct(F.col("key").isNotNull().alias("known"), "key", "node", "start")
-    # Select: fingerprints found in more than one place.
+    positions = written(selected_positions(docs, key, text, run, gram, words), "line-dedup-positions")
+    known = F.col("key").isNotNull().alias("known")
+    here = F.struct(known, "key", "node", "line")
     several = (
-        places.groupBy("fingerprint")
-        .agg(F.min(place).alias("low"), F.max(place).alias("high"))
+        positions.groupBy("fingerprint")
+        .agg(F.min(here).alias("low"), F.max(here).alias("high"))
         .where("low <> high")
         .select("fingerprint")
     )
-    matched = places.join(several, "fingerprint")
-    # Group: of each whole run, the first place.
-    first = matched.groupBy("fingerprint", "offset", "extent").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    later = matched.join(first.where("first <> last").drop("last"), ["fingerprint", "offset", "extent"])
-    return later.where(place > F.col("first")).select("key", "node", "start")
+    # Extend: each window to the left and right of a repeated fingerprint, to the first place of the same lines.
+    reached = positions.join(several, "fingerprint").select("key", "node", "line", F.explode("windows").alias("w"))
+    reached = reached.select("key", "node", (F.col("line") - F.col("w.left")).alias("start"), "w.lines", "w.extent")
+    place = F.struct(known, "key", "node", "start")
+    first = reached.groupBy("extent").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    later = reached.join(first.where("first <> last").drop("last"), "extent")
+    return later.where(place > F.col("first")).select("key", "node", "start", "lines")
 
 
 def dedup_lines(
@@ -97,12 +162,7 @@ def dedup_lines(
 
     `words` is how many words make a run of fewer than `run` lines count; without it none counts.
     """
-    found = repeated_runs(docs, key, text, run, gram).withColumn("lines", F.lit(run))
-    for fewer in range(1, run) if words is not None else ():
-        # what each length finds is written, so that its shuffles are released ahead of the next
-        found = written(found, "line-dedup-found")
-        short = repeated_runs(docs, key, text, fewer, min(gram, fewer), words)
-        found = found.unionByName(short.withColumn("lines", F.lit(fewer)))
+    found = repeated_runs(docs, key, text, run, gram, words)
     starts = found.groupBy("key", "node").agg(
         F.sort_array(F.collect_set(F.struct("start", "lines"))).alias("starts")  # one document's, so bounded by its lines
     )
