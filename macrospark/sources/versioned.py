@@ -11,6 +11,11 @@ key are refused: the keys just written are counted before the commit's record
 is made, so a refused commit is never read. A read takes the versions since the
 last whole one (an overwrite or a compaction) and keeps each key's newest row,
 by ``order`` if the table has one and then by version.
+
+With ``buckets``, rows are laid out by a hash of their key, and beside each
+version stands a summary: per bucket the number of rows and two sums of row
+hashes. Two states are compared by their summaries first; only buckets whose
+summaries differ are read.
 """
 
 from __future__ import annotations
@@ -31,6 +36,8 @@ from macrospark.sources.sinks import _exists
 
 COMMIT = "version INT, kind STRING, committed_at TIMESTAMP, batch STRING, schema STRING"
 WHOLE = ("overwrite", "compact")
+SUMMARY = "_version INT, bucket INT, rows BIGINT, low DECIMAL(38,0), high DECIMAL(38,0)"
+_BUCKET = "_bucket_of_"
 # Fixed value: default retention.
 KEEP_HOURS = 168
 
@@ -75,12 +82,16 @@ class VersionedTable:
         keys: Sequence[str],
         partition_by: Sequence[str] = (),
         order: Sequence[str] = (),
+        buckets: int | None = None,
     ):
         self.spark = spark
         self.path = path
         self.keys = list(keys)
         self.partition_by = list(partition_by)
         self.order = list(order)
+        self.buckets = buckets
+        # the number is part of the name, so versions of another layout are noticed
+        self._bucket = f"{_BUCKET}{buckets}" if buckets else None
 
     # Commits ------------------------------------------------------------------
 
@@ -121,12 +132,21 @@ class VersionedTable:
             self._refuse_narrowing(rows.schema)
         at = at or datetime.now(timezone.utc)
         rows = rows.withColumn("_committed_at", F.lit(at).cast("timestamp"))
-        written = rows.hint("rebalance", *self.partition_by) if self.partition_by else rows
+        folders = list(self.partition_by)
+        if self._bucket:
+            rows = rows.withColumn(self._bucket, self._bucket_of())
+            folders.insert(0, self._bucket)
+        if last is not None:
+            self._refuse_layout(last)
+        # a compaction has dealt its rows already
+        written = rows.hint("rebalance", *folders) if folders and kind != "compact" else rows
         writer = written.write.mode("overwrite").option("partitionOverwriteMode", "static")
         folder = f"{self.path}/data/_version={version}"
-        writer.partitionBy(*self.partition_by).parquet(folder)
+        writer.partitionBy(*folders).parquet(folder)
         if kind != "compact":
             self._refuse_repeats(self.spark.read.schema(rows.schema).parquet(folder))
+        if self._bucket:
+            self._summarise(self.spark.read.schema(rows.schema).parquet(folder), version)
         record = inline_table(self.spark, [(version, kind, at, batch, rows.schema.json())], COMMIT)
         record.coalesce(1).write.mode("append").json(f"{self.path}/commits")
         return version
@@ -141,6 +161,54 @@ class VersionedTable:
             if field.name in now and not widens(now[field.name], field.dataType):
                 raise ValueError(f"{field.name} would narrow from {now[field.name].simpleString()} to {field.dataType.simpleString()}")
 
+    def _bucket_of(self) -> Column:
+        """A row's bucket; null keys, which equal nothing, share one."""
+        number = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(self.buckets)).cast("int")
+        return F.when(any_null(self.keys), F.lit(self.buckets)).otherwise(number)
+
+    def _refuse_layout(self, last: int) -> None:
+        record = self.commits().filter(F.col("version") == last).first()
+        found = [f.name for f in T.StructType.fromJson(json.loads(record.schema)) if f.name.startswith(_BUCKET)]
+        if found != ([self._bucket] if self._bucket else []):
+            raise ValueError(f"{self.path} is laid out by {found or 'no buckets'}; open it with the same number")
+
+    def _summarise(self, rows: DataFrame, version: int) -> None:
+        """Rows of each bucket and sums of their hashes, which no order of rows changes."""
+        data = sorted(c for c in rows.columns if c not in changelog.BOOKKEEPING and c != self._bucket)
+        # a hash passes over nulls, so it is told where they are
+        cells = [cell for c in data for cell in (F.lit(c), F.col(c).isNull(), F.col(c))]
+
+        def total(hashed: Column) -> Column:
+            return F.sum(hashed.cast("decimal(38,0)")).cast("decimal(38,0)")
+
+        found = rows.groupBy(F.col(self._bucket).alias("bucket")).agg(
+            F.count("*").alias("rows"),
+            total(F.xxhash64(*cells)).alias("low"),
+            total(F.xxhash64(F.lit(1), *reversed(cells))).alias("high"),
+        )
+        found.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/summaries/_version={version}")  # a row per bucket
+
+    def _differing(self, before: Sequence, after: Sequence) -> list[int] | None:
+        """Buckets whose summaries differ between two states; None if they cannot tell.
+
+        A state's bucket is told by what its versions brought to it, in their
+        order: the rows of a key depend on nothing else.
+        """
+        schemas = [T.StructType.fromJson(json.loads(r.schema)) for r in (*before, *after)]
+        if any(self._bucket not in s.names or [s[k].dataType for k in self.keys] != [schemas[0][k].dataType for k in self.keys] for s in schemas):
+            return None
+
+        def brought(records: Sequence, name: str) -> DataFrame:
+            folders = [f"{self.path}/summaries/_version={r.version}" for r in records]
+            parts = self.spark.read.schema(SUMMARY).option("basePath", f"{self.path}/summaries").parquet(*folders)
+            steps = F.sort_array(F.collect_list(F.struct("_version", "rows", "low", "high")))  # a step per commit
+            return parts.groupBy("bucket").agg(F.transform(steps, lambda s: s.dropFields("_version")).alias(name))
+
+        both = brought(before, "old").join(brought(after, "new"), "bucket", "full")
+        # null keys match nothing, not even themselves, so their bucket always differs
+        differs = ~F.col("old").eqNullSafe(F.col("new")) | (F.col("bucket") == self.buckets)
+        return sorted(r.bucket for r in both.filter(differs).select("bucket").collect())  # at most one per bucket
+
     def _refuse_repeats(self, rows: DataFrame) -> None:
         """Reads key columns only; a null key equals nothing, so it may come several times."""
         keyed = rows.select(*self.keys).filter(~any_null(self.keys))
@@ -167,8 +235,8 @@ class VersionedTable:
 
     # Reads --------------------------------------------------------------------
 
-    def _scan(self, records: Sequence) -> DataFrame:
-        """Log rows of the records; a column that came later is null in earlier ones."""
+    def _scan(self, records: Sequence, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Log rows of the records, of some buckets if told; a column that came later is null in earlier ones."""
         merged, groups = T.StructType([]), {}
         for record in records:
             own = T.StructType.fromJson(json.loads(record.schema))
@@ -178,6 +246,9 @@ class VersionedTable:
 
         def part(own: T.StructType, folders: list[str]) -> DataFrame:
             rows = self.spark.read.schema(T.StructType([*own.fields]).add("_version", T.IntegerType())).option("basePath", f"{self.path}/data").parquet(*folders)
+            if buckets is not None:
+                rows = rows.filter(F.col(self._bucket).isin(*buckets) if buckets else F.lit(False))
+            rows = rows.drop(*[f.name for f in own if f.name.startswith(_BUCKET)])
             return rows.withColumns({f.name: F.col(f.name).cast(cast[f.name]) for f in own if f.dataType != cast[f.name]})
 
         # One scan, unless a column's type was widened: then one for each run of types.
@@ -193,8 +264,10 @@ class VersionedTable:
         key (the year of a month, the category of a series): all rows of a key
         agree in it, so it is applied to the scan, ahead of choosing rows.
         """
-        needed = self._records(version, at)
-        log = self._scan(needed)
+        return self._state(self._records(version, at), partitions)
+
+    def _state(self, needed: Sequence, partitions: Column | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
+        log = self._scan(needed, buckets)
         if partitions is not None:
             log = log.filter(partitions)
         # one version has one row per key
@@ -256,9 +329,10 @@ class VersionedTable:
     def compare(self, old: int, new: int) -> DataFrame:
         """Keys added, removed or changed between an earlier and a later version."""
         before, after = self._records(old), self._records(new)
+        buckets = self._differing(before, after) if self._bucket else None
         if old <= new and not self.order and before[0].version == after[0].version:
-            return changelog.log_diff(self._scan(after), self.keys, old, new)
-        return changelog.state_diff(self.read(old), self.read(new), self.keys)
+            return changelog.log_diff(self._scan(after, buckets), self.keys, old, new)
+        return changelog.state_diff(self._state(before, buckets=buckets), self._state(after, buckets=buckets), self.keys)
 
     def row_counts(self, versions: Sequence[int]) -> DataFrame:
         """Number of rows the table had after each of the versions."""
@@ -274,7 +348,8 @@ class VersionedTable:
     def compact(self, cluster_by: Sequence[str] | None = None, at: datetime | None = None) -> int:
         """Write the current state as one sorted version with few files; rows do not change."""
         cols = list(cluster_by or self.keys)
-        return self._commit(self.read().repartitionByRange(*cols).sortWithinPartitions(*cols), "compact", at)
+        dealt = [self._bucket_of(), *cols] if self._bucket else cols
+        return self._commit(self.read().repartitionByRange(*dealt).sortWithinPartitions(*dealt), "compact", at)
 
     def expire(self, keep_hours: int = KEEP_HOURS, now: datetime | None = None) -> list[int]:
         """Delete versions that no state of the last ``keep_hours`` needs; returns them.
@@ -289,6 +364,8 @@ class VersionedTable:
             return []
         gone = []
         for (version,) in self._until(whole - 1).select("version").orderBy("version").collect():
+            summary = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/summaries/_version={version}")
+            summary.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(summary, True)
             folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/data/_version={version}")
             if folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True):
                 gone.append(version)

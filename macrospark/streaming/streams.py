@@ -102,7 +102,7 @@ def upsert_stream(
 
     def merge(batch: DataFrame, number: int) -> None:
         # a batch plan is bound to the stream's own session
-        own = VersionedTable(batch.sparkSession, table.path, table.keys, table.partition_by, table.order)
+        own = VersionedTable(batch.sparkSession, table.path, table.keys, table.partition_by, table.order, table.buckets)
         # rows with a null key are reduced too: as a stream they may be replays
         rows = batch if remember else dedupe_latest(batch, table.keys, table.order)
         own.upsert(rows, batch=f"{checkpoint}#{number}")
