@@ -10,6 +10,7 @@ from macrospark.catalog.base import (
     BEA, BLS, FRED, FRED_IDS, FRED_STAGED, LINE_KEY, LINE_TIES, MONTH_SPINE, SQL_NEWEST,
     bea_raw, bls_raw, fred_bronze, pick, query, sql_pick, table,
 )
+from macrospark.catalog.quality import _row, _zero
 from macrospark.operators import calendar, dedupe
 from macrospark.plans import incremental, marts, normalize, refresh, staging
 from macrospark.session import new_run_dir
@@ -83,7 +84,7 @@ def staging_cast(spark, sf):
     return staged.select("series_id", "observation_date", "observation_month", "observation_quarter", "value", "is_missing")
 
 
-@query(f"""
+_UNITED = f"""
 WITH {FRED}, {BEA}, {_BEA_NEWEST}, {BLS},
 fred_newest AS (
   SELECT series_id, observation_date, value, coalesce(value_is_missing, value IS NULL) AS is_missing, ingested_at
@@ -97,7 +98,10 @@ united AS (
 SELECT 'fred' AS source, * FROM fred_newest
 UNION ALL SELECT 'bea', table_key || '.' || series_name, period_date, value, is_missing, ingested_at FROM newest
 UNION ALL SELECT 'bls', * FROM bls_newest)
-SELECT * REPLACE (strftime(ingested_at, '%Y-%m-%d %H') AS ingested_at) FROM united""")
+SELECT * REPLACE (strftime(ingested_at, '%Y-%m-%d %H') AS ingested_at) FROM united"""
+
+
+@query(_UNITED)
 def unified_observations(spark, sf):
     """The newest vintages of all three agencies, BLS staged like the others."""
     united = staging.unified_observations(
@@ -170,6 +174,29 @@ def whole_refresh(spark, sf):
     return mart.withColumns({c: F.col(c).cast("double") for c in marts.MACRO.yoy.values()})
 
 
+@query(_UNITED)
+def all_tables_refreshed(spark, sf):
+    """Two loads of every agency's table, each merged and compacted; the tables staged and united."""
+    root = new_run_dir(spark, "all-tables")
+    bronze = {
+        "fred_observations": fred_bronze(spark, sf).withColumn("category", F.lit("all")),
+        "bea_nipa_observations": _bea_bronze(spark, sf).filter("period_date IS NOT NULL"),
+        "bls_observations": _bls_bronze(spark, sf),
+    }
+    ties = {"fred_observations": TIE, "bea_nipa_observations": ["value"], "bls_observations": ["value"]}
+    for early in (True, False):
+        loads = {}
+        for name, rows in bronze.items():
+            cut = F.lit("1995-06-01").cast(rows.schema["ingested_at"].dataType)
+            loads[name] = rows.filter(F.col("ingested_at") < cut if early else F.col("ingested_at") >= cut)
+        refresh.refresh_all(spark, loads, root, compact=not early, ties=ties)
+    fred, bea, bls = (refresh.open_table(spark, refresh.TABLES[name], root).read() for name in bronze)
+    united = staging.unified_observations(
+        fred=staging.stage_fred(fred, TIE), bea=staging.stage_bea(bea, ["value"]), bls=staging.stage_bls(bls, ["value"])
+    )
+    return united.withColumn("ingested_at", F.date_format("ingested_at", "yyyy-MM-dd HH"))
+
+
 @query(f"""
 WITH {_MART} SELECT year, {', '.join(
     f"CAST(round(avg(CAST({c} AS DECIMAL(28,6))), {n}) AS DOUBLE) AS {m}" for m, (c, n) in marts.ANNUAL_METRICS.items())},
@@ -295,6 +322,37 @@ def macro_summary(spark, sf):
     return marts.macro_summary(bea=bea, fred=fred_bronze(spark, sf), fred_tie=TIE)
 
 
+_GATE_DATE = "2001-06-30"
+
+
+def _gates(name: str, series: str, date: str, required: dict) -> list[str]:
+    """The rows of the checks of one input, from one row of its figures."""
+    wanted = ", ".join(f"('{s}')" for s in required)
+    figures = f"""(SELECT count(*) AS n, CAST(count(value) AS DOUBLE) / nullif(count(*), 0) AS ratio,
+        (SELECT count(*) FROM (VALUES {wanted}) AS w(s) WHERE s NOT IN (SELECT {series} FROM {name})) AS absent,
+        greatest(date_diff('day', DATE '{_GATE_DATE}', CAST(max({date}) AS DATE)), 0) AS ahead FROM {name})"""
+    target = {"accounts": marts.SUMMARY_TABLE}.get(name, name)
+    some = "CASE WHEN n > 0 THEN 'pass' ELSE 'fail' END"
+    return [
+        _row("non_empty", target, "CASE WHEN n > 0 THEN 1 ELSE 0 END", 1, some) + f" FROM {figures}",
+        _row("non_null_ratio", "value", "ratio", 0.8, "CASE WHEN ratio > 0.8 THEN 'pass' ELSE 'fail' END") + f" FROM {figures}",
+        _row("required_members", series, "absent", 0, _zero("absent")) + f" FROM {figures}",
+        _row("no_future_dates", date, "ahead", 0, _zero("ahead")) + f" FROM {figures}",
+        *[_row("required_column", c, "1", 1, "'pass'") for c in (series, date, "value")],
+    ]
+
+
+@query(f"WITH {FRED}, {BEA}, {_BEA_NEWEST}, accounts AS (SELECT * FROM newest WHERE table_key = '{marts.SUMMARY_TABLE}') "
+       + " UNION ALL ".join(_gates("accounts", "series_name", "period_date", marts.SUMMARY_BEA)
+                            + _gates("fred", "series_id", "observation_date", marts.SUMMARY_FRED)))
+def summary_gates(spark, sf):
+    """What the summary's inputs must pass, with a day that some dates lie beyond."""
+    bea = staging.stage_bea(_bea_bronze(spark, sf), ["value"])
+    as_of = F.lit(_GATE_DATE).cast("date")
+    _, report = marts.checked_summary(bea=bea, fred=fred_bronze(spark, sf), as_of=as_of, fred_tie=TIE)
+    return report
+
+
 _EXTENDED = _MART.replace(
     "('GDP', 'GDPC1')", "('GDP', 'GDPC1', 'GDPPOT')"
 ).replace(

@@ -22,6 +22,15 @@ def parquet_partitioned_scan(spark, sf):
     return scan.select("o_orderstatus", "o_orderkey", "o_totalprice", "o_orderpriority")
 
 
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def nested_folder_scan(spark, sf):
+    """Files in folders of plain names, at several depths below one path."""
+    path, orders = new_run_dir(spark, "nested"), table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    for status, folder in {"F": "closed", "O": "open/current", "P": "open/late/partly"}.items():
+        sinks.write_parquet(orders.filter(F.col("o_orderstatus") == status), f"{path}/{folder}")
+    return tables.read_table(spark, path)
+
+
 @query("SELECT count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, event_type FROM events GROUP BY event_type")
 def register_views(spark, sf):
     """Views by name; the one without a table is skipped."""

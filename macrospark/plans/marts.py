@@ -201,8 +201,11 @@ def macro_summary(
     return changed.withColumn("yield_curve_inverted", S.negative_flag("yield_curve_spread"))
 
 
-def checked_summary(*, bea: DataFrame, fred: DataFrame, bea_table: str = SUMMARY_TABLE, **ties: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The summary, and what its inputs must pass: rows, columns, known values, and every series it needs."""
+def checked_summary(
+    *, bea: DataFrame, fred: DataFrame, bea_table: str = SUMMARY_TABLE, as_of: Column | None = None, **ties: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The summary, and what its inputs must pass: rows, columns, known values, every series it needs, no date past ``as_of`` (today)."""
+    as_of = F.current_date() if as_of is None else as_of
     accounts = bea.filter(F.col("table_key") == bea_table)
     report = quality.check_non_empty(accounts, bea_table)
     for check in (
@@ -213,6 +216,8 @@ def checked_summary(*, bea: DataFrame, fred: DataFrame, bea_table: str = SUMMARY
         quality.check_non_null_ratio(fred, "value"),
         quality.check_members(accounts, "series_name", list(SUMMARY_BEA)),
         quality.check_members(fred, "series_id", list(SUMMARY_FRED)),
+        quality.check_no_future(accounts, "period_date", as_of),
+        quality.check_no_future(fred, "observation_date", as_of),
     ):
         report = report.unionByName(check)
     return macro_summary(bea=bea, fred=fred, bea_table=bea_table, **ties), report

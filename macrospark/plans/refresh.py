@@ -142,11 +142,15 @@ def refresh_all(
     mode: str = "merge",
     compact: bool = False,
     at: datetime | None = None,
+    ties: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, int]:
-    """Run every named table, and sort its files if asked; returns the versions."""
+    """Run every named table, and sort its files if asked; returns the versions.
+
+    ``ties`` names, per table, the columns that choose between rows of one key and vintage (all, if not given).
+    """
     versions = {}
     for name, source in sources.items():
-        versions[name] = run_table(spark, TABLES[name], source, root, mode, at)
+        versions[name] = run_table(spark, TABLES[name], source, root, mode, at, (ties or {}).get(name))
         if compact:
             versions[name] = open_table(spark, TABLES[name], root).compact(at=at)
     return versions
