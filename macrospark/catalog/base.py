@@ -228,18 +228,19 @@ bls AS (
 # Period-grain series ------------------------------------------------------------
 
 def obs_monthly(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly totals per priority; of the low ones the total of pending orders, unknown in months without any."""
+    """Monthly totals of all orders per priority; the total of the low ones is known only in months with pending orders."""
     month = F.trunc(_day(), "month")
-    counted = F.when((_priority() != "5-LOW") | (_status() == "P"), F.col("o_totalprice").cast("decimal(18,2)"))
     sums = table(spark, sf, "orders").groupBy(_priority().alias("series_id"), month.alias("month"))
-    return sums.agg(F.sum(counted).cast("double").alias("value"))
+    totals = sums.agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"), F.count_if(_status() == "P").alias("pending"))
+    known = (F.col("series_id") != "5-LOW") | (F.col("pending") > 0)
+    return totals.select("series_id", "month", F.when(known, F.col("total").cast("double")).alias("value"))
 
 
 MONTHLY = """
 monthly AS (
   SELECT o_orderpriority AS series_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-         CAST(sum(CASE WHEN o_orderpriority <> '5-LOW' OR o_orderstatus = 'P'
-                       THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS value
+         CASE WHEN o_orderpriority <> '5-LOW' OR count(*) FILTER (WHERE o_orderstatus = 'P') > 0
+              THEN CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) END AS value
   FROM orders GROUP BY 1, 2)"""
 
 MONTH_SPINE = """
