@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from macrospark.llm.line_dedup import dedup_lines
+from macrospark.llm.line_dedup import dedup_lines, selected_positions
 
 
 def brute(rows, run):
@@ -59,3 +59,36 @@ def test_odd_rows(spark, odd, none):
     assert len(got) == 10
     assert {(r["doc_id"], r["n_removed"]) for r in got if r["n_removed"]} == {(2, 1), (4, 1)}
     assert dedup_lines(none).count() == 0
+
+
+def test_windows_select_few_positions_and_the_same_in_every_copy(spark):
+    rng = random.Random(4)
+    passage = [f"passage {i}" for i in range(40)]
+    lines = lambda n: [f"line {rng.random()}" for _ in range(n)]
+    texts = [lines(200) + passage + lines(7), lines(3) + passage + lines(90)]
+    df = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = selected_positions(df, "doc_id", "text", 3, 1, None).collect()
+    chosen = {i: [r for r in rows if r["key"] == i] for i in (0, 1)}
+    for i, text in enumerate(texts):
+        # one row per selected position, fewer than two thirds of the lines; each window selects once
+        assert len({r["line"] for r in chosen[i]}) == len(chosen[i]) < len(text) * 2 / 3
+        starts = sorted(r["line"] - w["left"] for r in chosen[i] for w in r["windows"])
+        assert starts == list(range(len(text) - 2))
+    # windows inside the passage select the same of its lines in both texts
+    inside = [
+        {r["line"] - at for r in chosen[i] if any(0 <= r["line"] - w["left"] - at <= 37 for w in r["windows"])}
+        for i, at in ((0, 200), (1, 3))
+    ]
+    assert inside[0] == inside[1] and len(inside[0]) > 10
+
+
+def test_passage_in_a_third_of_all_documents(spark):
+    rng = random.Random(5)
+    passage = "\n".join(f"shared {i}" for i in range(5))
+    rows = []
+    for i in range(300):
+        own = "\n".join(f"{i} {rng.random()}" for _ in range(rng.randint(1, 4)))
+        rows.append((i, f"{own}\n{passage}\n{i} end" if i % 3 == 0 else own))
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 3)
+    assert {r["doc_id"] for r in got if r["n_removed"] == 5} == set(range(3, 300, 3))
