@@ -43,6 +43,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,7 +63,7 @@ COMMON = 0.01
 EARLIER = 8
 MAP = 8
 
-_BITMAP = 1 << 20
+_EVERYWHERE = 1 << 40
 _BLOCK_DOCS = 2000
 _BLOCK_SHINGLES = 4_000_000
 _LEAST_DOCS = int(2 / COMMON)
@@ -133,11 +134,17 @@ class Weights:
         self.idf = np.log1p(n / df[order].astype(float)).astype(np.float32)
         self.rare = np.float32(np.log1p(1 / share))
 
+    def _at(self, ids: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+
+    def common(self, ids: np.ndarray) -> np.ndarray:
+        """Which of the shingles are common."""
+        return self.ids[self._at(ids)] == ids if len(self.ids) else np.zeros(len(ids), bool)
+
     def __call__(self, ids: np.ndarray, occurrences: np.ndarray) -> np.ndarray:
         weights = np.full(len(ids), self.rare, np.float32)
         if len(self.ids):
-            at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
-            weights = np.where(self.ids[at] == ids, self.idf[at], weights)
+            weights = np.where(self.common(ids), self.idf[self._at(ids)], weights)
         return weights * occurrences.astype(np.float32)
 
 
@@ -266,10 +273,18 @@ def _band_sets(keys) -> Column:
     return F.concat(F.transform(keys, lambda a: F.xxhash64(a)), pairs, triples)
 
 
-def _against_hubs(rows: DataFrame, hubs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each bucket's hub and its members of other classes; hubs (key, hub, hub_root)."""
-    pairs = rows.join(hubs, "key").where(F.col("root") != F.col("hub_root"))
-    return written(pairs.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "near-dedup-pairs")
+def _against_hubs(rows: DataFrame, hubs: DataFrame, can: Column | None = None) -> DataFrame:
+    """Pairs (a, b) of each bucket's hub and its members of other classes that `can` be similar.
+
+    `hubs` has the columns of `rows`, the key aside named `other_`.
+    """
+    meets = (rows["key"] == hubs["key"]) & (F.col("root") != F.col("other_root"))
+    pairs = rows.join(hubs, meets if can is None else meets & can)
+    return written(pairs.select(F.col("other_node").alias("a"), F.col("node").alias("b")).distinct(), "near-dedup-pairs")
+
+
+def _other(rows: DataFrame) -> DataFrame:
+    return rows.toDF(*[c if c == "key" else f"other_{c}" for c in rows.columns])
 
 
 def _contested(members: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
@@ -280,25 +295,36 @@ def _contested(members: DataFrame, first: DataFrame, roots: DataFrame) -> DataFr
     return here.join(outside.select("key").distinct(), "key")
 
 
-def _slots(texts: DataFrame, size: int) -> np.ndarray:
-    """In how many texts the shingles of each slot occur, in quarters of a power of two; 1 for one text."""
+def _shared(texts: DataFrame, weights: Weights, size: int) -> DataFrame:
+    """(node, held): the shingles of each text that another of these texts holds too, and how many hold them.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(_BITMAP, np.int32)
+    Common shingles are not counted, so no shingle is counted in more than `share` of all documents.
+    """
+    known = texts.sparkSession.sparkContext.broadcast(weights)
+
+    def ids_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, 0, _PIECE):
-                found = (shingles(piece.column(0), size)[1] & U(_BITMAP - 1)).astype(np.int32)
-                at, n = np.unique(found, return_counts=True)
-                held[at] += n.astype(np.int32)
-        at = np.flatnonzero(held).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["slot", "n"])
+                text, ids, _ = shingles(piece.column(0), size)
+                rare = np.flatnonzero(~known.value.common(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(1).take(pa.array(text[rare])), pa.array(ids[rare].astype(np.int64))],
+                    schema=pa.schema([("node", pa.binary()), ("id", pa.int64())]),
+                )
+
+    rows = texts.select("t", "node").mapInArrow(ids_of, "node binary, id long")
+    rows = rows.withColumn("seen", F.count(F.lit(1)).over(W.partitionBy("id"))).where("seen > 1")
+    return rows.groupBy("node").agg(F.collect_list(F.struct("id", "seen")).alias("held"))  # one text's, so bounded by its length
 
-    counted = texts.select("t").mapInArrow(count, "slot int, n int").groupBy("slot").agg(F.sum("n").alias("n"))
-    level = F.least(F.lit(127.0), F.floor(F.log2("n") * 4) + 1).cast("tinyint")
-    counted = counted.select("slot", level.alias("level")).toArrow()  # five bytes for each of _BITMAP rows at most
-    out = np.zeros(_BITMAP, np.int8)
-    out[counted.column("slot").to_numpy()] = counted.column("level").to_numpy()
-    return out
+
+def _seen(text: np.ndarray, ids: np.ndarray, common: np.ndarray, held: pa.Array) -> np.ndarray:
+    """How many texts hold each shingle, 1 if no other text does, and `_EVERYWHERE` for the common ones."""
+    seen = np.where(common, _EVERYWHERE, 1)
+    owner = pc.list_parent_indices(held).to_numpy(zero_copy_only=False).astype(U)
+    entries = pc.list_flatten(held)
+    id_of, n = (entries.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    seen[np.searchsorted((text.astype(U) << U(48)) | ids, (owner << U(48)) | id_of.astype(U))] = n
+    return seen
 
 
 def prefix_keys(text: np.ndarray, ids: np.ndarray, weights: np.ndarray, seen: np.ndarray, least: float):
@@ -348,69 +374,95 @@ def _bitmaps(text: np.ndarray, ids: np.ndarray, chosen: np.ndarray, n: int) -> n
     return bits.view(np.int64)
 
 
-def _prefixes(texts: DataFrame, weights: Weights, size: int, least: float) -> DataFrame:
-    """Each text under the keys it shares with any text similar enough.
+_MAPS = [f"{kind}{i}" for kind in "acr" for i in range(MAP)]
+_SIGNATURE = ["total", "lone", *_MAPS]
+
 
-    With it: the first keys before the key, the text's total weight, and bitmaps of all its
-    shingles (`a0`, …) and of those that weigh no less than a rare one (`r0`, …).
+def _signed(texts: DataFrame, weights: Weights, size: int) -> DataFrame:
+    """The texts (t, node, held) with what bounds the weight they can share with another of them.
+
+    `total` is the text's weight and `lone` that of the shingles no other text holds. Bitmaps tell
+    which others it has: all (`a0`, …), those that weigh no less than a rare one (`r0`, …), and
+    those that weigh less, but at least half of that (`c0`, …).
     """
-    shared = texts.sparkSession.sparkContext.broadcast((weights, _slots(texts, size)))
-    maps = [f"{kind}{i}" for kind in "ar" for i in range(MAP)]
-    schema = "key long, node binary, root binary, before array<long>, total double, " + ", ".join(f"{m} long" for m in maps)
-    arrow = pa.schema(
-        [("key", pa.int64()), ("node", pa.binary()), ("root", pa.binary()), ("before", pa.list_(pa.int64())), ("total", pa.float64())]
-        + [(m, pa.int64()) for m in maps]
-    )
+    known = texts.sparkSession.sparkContext.broadcast(weights)
+    schema = "t string, node binary, held array<struct<id: long, seen: long>>, total double, lone double, " + ", ".join(f"{m} long" for m in _MAPS)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weigh = known.value
+        for batch in batches:
+            for piece in pieces(batch, 0, _PIECE):
+                text, ids, occurrences = shingles(piece.column(0), size)
+                n, heavy = piece.num_rows, weigh(ids, occurrences)
+                met = _seen(text, ids, weigh.common(ids), piece.column(2)) > 1
+                total = np.bincount(text, heavy.astype(float), n)
+                lone = np.bincount(text[~met], heavy[~met].astype(float), n)
+                rare, half = heavy >= weigh.rare, heavy >= weigh.rare / 2
+                bits = np.hstack([_bitmaps(text, ids, chosen, n) for chosen in (met, met & half & ~rare, met & rare)])
+                columns = [*piece.columns, pa.array(total), pa.array(lone), *(pa.array(bits[:, i]) for i in range(len(_MAPS)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["t", "node", "held", *_SIGNATURE])
+
+    return texts.select("t", "node", "held").mapInArrow(sign, schema)
+
+
+def _can(rare: float, least: float) -> Column:
+    """Whether a text and the `other_` one can be similar enough, by their signatures.
+
+    What no other text holds is not shared, nor is a shingle whose bit the other text lacks.
+    """
+    need = least / (1 + least) * (1 - 1e-6) * (F.col("total") + F.col("other_total"))
+
+    def lacking(kind: str, mine: str, other: str) -> Column:
+        bits = [F.bit_count(F.col(f"{mine}{kind}{i}").bitwiseAND(F.bitwise_not(F.col(f"{other}a{i}")))) for i in range(MAP)]
+        return sum(bits[1:], bits[0])
+
+    def enough(mine: str, other: str) -> Column:
+        lost = F.lit(rare) * lacking("r", mine, other) + F.lit(rare / 2) * lacking("c", mine, other)
+        return F.col(f"{mine}total") - F.col(f"{mine}lone") * (1 - 1e-6) - lost >= need
+
+    return enough("", "other_") & enough("other_", "")
+
+
+def _prefixes(texts: DataFrame, weights: Weights, size: int, least: float) -> DataFrame:
+    """Each text (with its signature) under the keys it shares with any text similar enough, and the first keys before the key."""
+    known = texts.sparkSession.sparkContext.broadcast(weights)
+    schema = "key long, node binary, root binary, before array<long>, " + ", ".join(f"{c} {t}" for c, t in texts.select(*_SIGNATURE).dtypes)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weigh, slots = shared.value
+        weigh = known.value
         for batch in batches:
             for piece in pieces(batch, 0, _PIECE):
                 text, ids, occurrences = shingles(piece.column(0), size)
                 if not len(text):
                     continue
-                n, heavy = piece.num_rows, weigh(ids, occurrences)
-                seen = slots[(ids & U(_BITMAP - 1)).astype(np.int64)]
-                which, found, earlier, counts = prefix_keys(text, ids, heavy, seen, least)
+                seen = _seen(text, ids, weigh.common(ids), piece.column(3))
+                which, found, earlier, counts = prefix_keys(text, ids, weigh(ids, occurrences), seen, least)
                 at = pa.array(which)
-                total = np.bincount(text, heavy.astype(float), n)
-                bits = np.hstack([_bitmaps(text, ids, heavy > 0, n), _bitmaps(text, ids, heavy >= weigh.rare, n)])
                 before = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(earlier, pa.int64()))
-                columns = [pa.array(found, pa.int64()), piece.column(1).take(at), piece.column(2).take(at), before, pa.array(total[which])]
-                yield pa.RecordBatch.from_arrays([*columns, *(pa.array(bits[which, i]) for i in range(2 * MAP))], schema=arrow)
+                columns = [pa.array(found, pa.int64()), piece.column(1).take(at), piece.column(2).take(at), before]
+                columns += [piece.column(i).take(at) for i in range(4, piece.num_columns)]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "root", "before", *_SIGNATURE])
 
-    return texts.select("t", "node", "root").mapInArrow(keys, schema)
+    return texts.select("t", "node", "root", "held", *_SIGNATURE).mapInArrow(keys, schema)
 
 
-def _across(rows: DataFrame, rare: float, least: float) -> DataFrame:
+def _across(rows: DataFrame, can: Column) -> DataFrame:
     """The pairs (a, b) of different classes under one key that can be similar; rows as `_prefixes` makes them.
 
     The class with most rows under a key is met by the others, never by itself. Two texts meet at
-    the first key they share, not again at later ones that have it among their earlier keys. A
-    shingle whose bit the other text lacks is not in the other text, so what the two can share is
-    bounded by their bitmaps; pairs whose bound is too small are no pairs.
+    the first key they share, not again at later ones that have it among their earlier keys. Pairs
+    that by their signatures cannot share enough are no pairs.
     """
     sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     most = sizes.groupBy("key").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
     mixed = written(
         rows.join(most.where("roots > 1").select("key", F.col("most.root").alias("most")), "key"), "near-dedup-mixed"
     )
-    others = mixed.where("root <> most").drop("most")
-    others = others.toDF(*[c if c == "key" else f"other_{c}" for c in others.columns])
-    need = least / (1 + least) * (1 - 1e-6) * (F.col("total") + F.col("other_total"))
-
-    def lacking(mine: str, other: str) -> Column:
-        bits = [F.bit_count(F.col(f"{mine}r{i}").bitwiseAND(F.bitwise_not(F.col(f"{other}a{i}")))) for i in range(MAP)]
-        return sum(bits[1:], bits[0])
-
-    def can(mine: str, other: str) -> Column:
-        return F.col(f"{mine}total") - F.lit(rare) * lacking(mine, other) >= need
-
+    others = _other(mixed.where("root <> most").drop("most"))
     meets = (
         (others["key"] == mixed["key"])
         & (F.col("root") != F.col("other_root"))
-        & can("", "other_")
-        & can("other_", "")
+        & can
         & ~F.arrays_overlap("before", "other_before")
     )
     pairs = others.join(mixed.drop("most"), meets)
@@ -422,28 +474,34 @@ def links(members: DataFrame, texts: DataFrame, weights: Weights, size: int, lea
     first = members.groupBy("key").agg(F.max(F.struct("score", "node")).alias("h"), F.count(F.lit(1)).alias("n"))
     first = written(first.select("key", F.col("h.node").alias("hub"), "n"), "near-dedup-hubs")
     own = members.withColumn("root", F.col("node"))
-    pairs = _against_hubs(own, first.select("key", "hub", F.col("hub").alias("hub_root")))
+    pairs = _against_hubs(own, _other(first.select("key", F.col("hub").alias("node"), F.col("hub").alias("root"))))
     edges = written(verified(pairs, texts, weights, size, least), "near-dedup-links")
     roots = components(edges, "a", "b")
+    contested = written(_contested(members, first, roots), "near-dedup-contested")
+    open_texts = texts.select("t", "node").join(contested.select("node").distinct(), "node")
+    held = open_texts.join(_shared(open_texts, weights, size), "node", "left").withColumn("held", F.coalesce("held", F.array()))
+    signed = written(_signed(held, weights, size), "near-dedup-signed")
+    can = _can(float(weights.rare) * (1 - 1e-6), least)
     for number in range(rounds):
-        contested = _contested(members, first, roots)
+        if number:
+            contested = _contested(members, first, roots)
         kept = contested.groupBy("node", "root").agg(F.array_sort(F.collect_set("key")).alias("keys"))  # BANDS at most
-        sets = written(kept.select("node", "root", F.explode(_band_sets(F.col("keys"))).alias("key")), "near-dedup-sets")
+        kept = kept.join(signed.drop("t", "held"), "node")
+        sets = written(kept.select("node", "root", F.explode(_band_sets(F.col("keys"))).alias("key"), *_SIGNATURE), "near-dedup-sets")
         drawn = sets.groupBy("key").agg(
-            F.min(F.struct(F.xxhash64("node", "key", F.lit(number)).alias("order"), "node", "root")).alias("h"),
+            F.min_by(F.struct("node", "root", *_SIGNATURE), F.struct(F.xxhash64("node", "key", F.lit(number)), "node")).alias("h"),
             F.min("root").alias("low"), F.max("root").alias("high"),
         )
-        hubs = drawn.where("low <> high").select("key", F.col("h.node").alias("hub"), F.col("h.root").alias("hub_root"))
-        found = written(verified(_against_hubs(sets, hubs), texts, weights, size, least), "near-dedup-links")
+        hubs = _other(drawn.where("low <> high").select("key", "h.*"))
+        found = written(verified(_against_hubs(sets, hubs, can), texts, weights, size, least), "near-dedup-links")
         if found.isEmpty():
             break
         edges = edges.unionByName(found)
         roots = components(edges, "a", "b")
     # What the hubs leave open: every pair of different classes that can be similar is compared.
     rest = _contested(members, first, roots).select("node", "root").distinct()
-    rest = written(texts.select("t", "node").join(rest, "node").select("t", "node", "root"), "near-dedup-rest")
-    prefixes = written(_prefixes(rest, weights, size, least), "near-dedup-prefixes")
-    pairs = _across(prefixes, float(weights.rare) * (1 - 1e-6), least)
+    prefixes = written(_prefixes(signed.join(rest, "node"), weights, size, least), "near-dedup-prefixes")
+    pairs = _across(prefixes, can)
     found = written(verified(pairs, texts, weights, size, least), "near-dedup-links")
     return roots if found.isEmpty() else components(edges.unionByName(found), "a", "b")
 

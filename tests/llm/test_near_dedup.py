@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
+from macrospark.llm import near_dedup
 from macrospark.llm.components import components
 from macrospark.llm.near_dedup import band_keys, common_shingles, digest_columns, learn_weights, one_per_class, prefix_keys
 from macrospark.llm.words import shingles
@@ -118,6 +119,29 @@ def test_links_within_buckets_equal_brute_force_in_a_large_group_of_near_copies(
     assert [c for c in want.values() if not any(c <= g for g in got)] == []
 
 
+def test_pairs_in_a_large_group_of_near_copies_are_few(spark, monkeypatch):
+    """Texts of one group that are just not similar enough are told apart without a comparison."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(5000)]
+    base, rows = [rng.choice(words) for _ in range(120)], []
+    for i in range(600):
+        copy = list(base)
+        for at in rng.sample(range(120), 4):
+            copy[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, " ".join(rng.choices(words, k=60))) for i in range(600)]
+    compared, verified = [], near_dedup.verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(near_dedup, "verified", counted)
+    got = digest_columns(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id < 1000")
+    assert got.select("class_id").distinct().count() > 300
+    assert sum(compared) < 20 * 600, compared
+
+
 def test_similar_texts_share_a_prefix_key():
     rows = family(3, 400)
     text, ids, times = shingles(pa.array([t for _, t in rows]))
