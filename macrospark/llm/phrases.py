@@ -51,6 +51,7 @@ PART = 1024
 
 _SLICE = 4_000_000
 _BLOCK = 500_000
+_STEP = 50_000
 
 
 def _exact(column: Column) -> Column:
@@ -91,29 +92,41 @@ def grams_of(texts: pa.Array, number: int = 0, passes: int = 1, block: int = _BL
     if not n:
         return
     doc = np.searchsorted(at, first, "right") - 1
-    signs = np.cumsum(kind == 2, dtype=np.int64)[first]
+    signs = np.cumsum(kind == 2, dtype=np.int32)[first]
     fresh = np.append(True, (signs[1:] != signs[:-1]) | (doc[1:] != doc[:-1]))
     heads = np.flatnonzero(fresh)
     piece_last = np.append(heads[1:], n)[np.cumsum(fresh) - 1] - 1
     # The words once more, with one space after each: every gram is a part of that.
     size = after - first
-    joined = np.full(int(size.sum()) + n, 0x20, np.uint8)
-    joined[np.arange(int(size.sum())) + np.repeat(np.arange(n), size)] = raw[word]
     start = np.cumsum(size + 1) - size - 1
+    joined = np.full(int(size.sum()) + n, 0x20, np.uint8)
+    filled = np.ones(len(joined), bool)
+    filled[start + size] = False
+    joined[filled] = raw[word]
     last = np.minimum(np.arange(n) + LONGEST - 1, piece_last)
     stop = start[last] + size[last]
     chosen = np.arange(n)
     if passes > 1:
-        chosen = np.flatnonzero(span_hashes(joined, start, start + size) % np.uint64(passes) == number)
+        chosen = np.concatenate([low + _of_class(joined, start[low : low + _STEP], size[low : low + _STEP], number, passes) for low in range(0, n, _STEP)])
     for low in range(0, len(chosen), block):
         some = chosen[low : low + block]
         lengths = stop[some] - start[some]
         offsets = np.append(0, np.cumsum(lengths))
-        data = joined[np.repeat(start[some] - offsets[:-1], lengths) + np.arange(offsets[-1])]
+        data = np.empty(offsets[-1], np.uint8)
+        for i in range(0, len(some), _STEP):
+            part, at_part = lengths[i : i + _STEP], offsets[i : i + _STEP + 1]
+            data[at_part[0] : at_part[-1]] = joined[np.repeat(start[some[i : i + _STEP]] - at_part[:-1], part) + np.arange(at_part[0], at_part[-1])]
         buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
         yield pa.Array.from_buffers(pa.string(), len(some), buffers), doc[some]
 
 
+def _of_class(joined: np.ndarray, start: np.ndarray, size: np.ndarray, number: int, passes: int) -> np.ndarray:
+    """Which of these consecutive words fall into class `number`; only their own bytes are hashed, which takes nine bytes for each."""
+    low = start[0]
+    hashes = span_hashes(joined[low : start[-1] + size[-1]], start - low, start + size - low)
+    return np.flatnonzero(hashes % np.uint64(passes) == number)
+
+
 def longest_grams(docs: DataFrame, text: str, lang: str, number: int = 0, passes: int = 1) -> DataFrame:
     """(lang, gram, n): for each word of a piece, it and the words after it, `LONGEST` at most, counted per slice of texts."""
 
