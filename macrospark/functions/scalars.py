@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -130,24 +130,47 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 _TIME_OF_DAY = r"(?i)[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AP]M)?( ?(Z|UTC|GMT|[+-]\d{2}:?\d{2}))?$"
 
 
+def _bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)`` with the value computed once, however often it is named."""
+    return F.transform(F.array(value), of)[0]
+
+
 def _date_by_grammar(text: Column) -> Column:
     """``yyyy-MM-dd`` of a text whose signature is in the grammar; the time of day is left out."""
-    day_text = F.regexp_replace(F.trim(text), _TIME_OF_DAY, "")
+    return _bound(F.regexp_replace(F.trim(text), _TIME_OF_DAY, ""), _date_of_day_text)
+
+
+def _date_of_day_text(day_text: Column) -> Column:
     signature = F.regexp_replace(day_text, r"[A-Za-z]+", "A")
     signature = F.regexp_replace(F.regexp_replace(signature, r"(?<!\d)\d{4}(?!\d)", "Y"), r"(?<!\d)\d{1,2}(?!\d)", "n")
     where = _choice(signature, DATE_GRAMMAR)
     parts = F.regexp_extract_all(day_text, F.lit("[0-9]+|[A-Za-z]+"), F.lit(0))
 
-    def part(position: int) -> Column:
-        at = F.substring(where, position, 1).try_cast("int")
-        return F.when(at > 0, F.try_element_at(parts, at)).when(at == 0, "1")
+    def part(found: Column, position: int) -> Column:
+        at = F.substring(found["where"], position, 1).try_cast("int")
+        return F.when(at > 0, F.try_element_at(found["parts"], at)).when(at == 0, "1")
+
+    # texts of no known signature are not taken apart
+    return _bound(
+        F.when(where.isNotNull(), F.struct(where.alias("where"), parts.alias("parts"))),
+        lambda found: _bound(
+            F.struct(found["where"].alias("where"), *[part(found, i).alias(f"p{i}") for i in (1, 2, 3)]), _date_of_parts
+        ),
+    )
+
+
+def _date_of_parts(found: Column) -> Column:
+    middle = found["p2"]
+    named = _choice(F.lower(F.substring(middle, 1, 3)), {m: str(i) for i, m in enumerate(MONTHS, 1)})
+    spelt = middle.rlike(r"(?i)^(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?|sept?(ember)?|oct(ober)?|nov(ember)?|dec(ember)?)$")
+    month = F.when(middle.rlike(r"^\d+$"), middle).when(spelt, named)
+
+    def day(month: Column) -> Column:
+        swapped = (found["where"] == "312") & (month.try_cast("int") > 12)  # thirteen and more is a day
+        first, second = F.when(swapped, found["p3"]).otherwise(month), F.when(swapped, month).otherwise(found["p3"])
+        return F.concat(found["p1"], F.lit("-"), _two_digits(first), F.lit("-"), _two_digits(second))
 
-    named = _choice(F.lower(F.substring(part(2), 1, 3)), {m: str(i) for i, m in enumerate(MONTHS, 1)})
-    spelt = part(2).rlike(r"(?i)^(jan(uary)?|feb(ruary)?|mar(ch)?|apr(il)?|may|june?|july?|aug(ust)?|sept?(ember)?|oct(ober)?|nov(ember)?|dec(ember)?)$")
-    month = F.when(part(2).rlike(r"^\d+$"), part(2)).when(spelt, named)
-    swapped = (where == "312") & (month.try_cast("int") > 12)  # thirteen and more is a day
-    first, second = F.when(swapped, part(3)).otherwise(month), F.when(swapped, month).otherwise(part(3))
-    return F.concat(part(1), F.lit("-"), _two_digits(first), F.lit("-"), _two_digits(second))
+    return _bound(month, day)
 
 
 def normalize_date(c: Column | str, shapes=DATE_SHAPES) -> Column:
@@ -158,12 +181,15 @@ def normalize_date(c: Column | str, shapes=DATE_SHAPES) -> Column:
     ``13/2/2020`` cannot be. Years of two digits, six digits in a row and
     quarters stand for no one day and are not read.
     """
-    c = _col(c)
-    iso = F.when(c.isNull(), F.lit(None).cast("string"))
-    for shape, to_iso in shapes:
-        iso = iso.when(c.rlike(shape), to_iso(c))
+
+    def iso_of(text: Column) -> Column:
+        iso = F.when(text.isNull(), F.lit(None).cast("string"))
+        for shape, to_iso in shapes:
+            iso = iso.when(text.rlike(shape), to_iso(text))
+        return iso.otherwise(_date_by_grammar(text))
+
     # bound once, as the text may be an expression of its own
-    return iso.otherwise(F.transform(F.array(c), _date_by_grammar)[0]).try_cast("date")
+    return _bound(_col(c), iso_of).try_cast("date")
 
 
 def numeric_year(c: Column | str) -> Column:

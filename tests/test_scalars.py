@@ -151,3 +151,8 @@ def test_content_hash(rows):
 
     df = rows([("abc",)], "x string").select(S.content_hash("x"))
     assert df.first()[0] == hashlib.md5(b"abc").hexdigest()[:8]
+
+
+def test_dates_of_any_shape_are_taken_apart_once(spark):
+    plan = spark.range(1).select(S.normalize_date(F.date_format(F.current_timestamp(), "d MMM yyyy")))._jdf.queryExecution().analyzed().toString()
+    assert [plan.count(f"{name}(") for name in ("regexp_extract_all", "date_format")] == [1, 1]
