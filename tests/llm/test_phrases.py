@@ -2,11 +2,14 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from macrospark.llm import phrases
+from macrospark.llm.phrases import grams_of
 
 
 def brute(rows, least, top):
@@ -93,3 +96,13 @@ def test_products_beyond_64_bits(spark):
     )
     row = phrases.collocations(counted).first()
     assert row["score"] == 2_000_000 * big // (2 * big + 8)
+
+
+def test_grams_of_a_slice_take_little_memory():
+    rng = random.Random(8)
+    texts = pa.array([" ".join(f"w{rng.randrange(5000)}" for _ in range(200)) for _ in range(2000)])
+    tracemalloc.start()
+    assert sum(len(grams) for number in range(3) for grams, _ in grams_of(texts, number, 3)) == 400_000
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 50 * texts.nbytes, most / texts.nbytes
