@@ -13,14 +13,17 @@ one) is removed.
    documents; the keys travel to the segments if they are few (`BROADCAST_KEYS`), beyond it the
    segments are shuffled to them. Copies of a whole text are represented by the first.
 3. *Order.* Equal segments are combined first. The different segments of a key go into one
-   block, the blocks' suffixes are sorted by `suffix_array`, and neighbours that agree in their
-   first `length` bytes are one class, whose first place is known. A key with more than
+   block, the blocks' suffixes are ranked by `suffix_array` to a depth of `length` bytes, and those
+   of one rank are one class, whose first place is known. A key with more than
    `CROWD` different segments is split: its windows are cut into bins by their distance from the
    anchor, and the core of a bin joins the key; bins of `SPLITS` windows, and of one window in the
    end, where each key has a single segment. So no block holds more than `CROWD` segments, nothing
    is dropped, and rows grow with the windows of crowded keys only.
 4. *Removal.* Of each document the places that are not first are merged and cut out.
 
+Many rows name their document. They do it by its key; the digest of its text, its mark, goes along
+only where several texts share a key or the key is null.
+
 Defined cases: null is the empty text; documents of equal key are told apart by their text, and
 repeated rows of one key and text are one document; a null key is the smallest; texts shorter
 than `length` stay whole; an empty table gives an empty result; extra columns are not read.
@@ -34,12 +37,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from macrospark.llm.common import node_of, pieces, text_of, written
-from macrospark.llm.suffix_array import suffix_array
+from macrospark.llm.suffix_array import prefix_ranks
 from macrospark.llm.words import U, mix, utf8
 
 LENGTH = 100
@@ -52,6 +56,7 @@ BROADCAST_NODES = 1_000_000
 _PIECE = 1_000_000
 _BLOCK = 500_000
 _PLACE_BITS = 26
+_SIZE_BITS = 27  # of a span, whose beginning has the other 36
 _ODD = 0xD1342543DE82EF95
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
@@ -148,7 +153,7 @@ def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
             T.StructField("start", T.LongType()),
             T.StructField("windows", T.IntegerType()),
             T.StructField("id", texts.schema["id"].dataType),
-            T.StructField("node", T.BinaryType()),
+            T.StructField("mark", T.BinaryType()),
             T.StructField("segment", T.BinaryType()),
         ]
     )
@@ -174,83 +179,86 @@ def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     names=schema.names,
                 )
 
-    return texts.select("t", "node", "id").mapInArrow(cut, schema)
-
+    return texts.select("t", "mark", "id").mapInArrow(cut, schema)
 
-_RUN = [
-    ("key", pa.int64()), ("digest", pa.int64()), ("skip", pa.int32()), ("run", pa.int32()),
-    ("first_node", pa.binary()), ("first_start", pa.int64()),
-]
 
-
-def _class_runs(group: list[dict], length: int) -> Iterator[dict]:
-    """Sort the windows of a block's segments; for each segment, runs of windows with their first places."""
-    segments = [np.frombuffer(r["segment"], np.uint8) for r in group]
-    sizes = np.array([len(s) + 1 for s in segments])
+def _class_runs(block: pa.RecordBatch, length: int) -> pa.RecordBatch:
+    """Rank the windows of a block's segments; for each segment, runs of windows with their first places."""
+    data, at = utf8(block.column("segment"))
+    n, lengths = block.num_rows, np.diff(at)
+    sizes = lengths + 1
     begin = np.append(0, np.cumsum(sizes))[:-1]
-    symbols = np.zeros(int(sizes.sum()), np.int64)
-    for b, s in zip(begin, segments):
-        symbols[b : b + len(s)] = s.astype(np.int64) + 1  # 0 separates
-    order = np.array(suffix_array(symbols.tolist()), np.int64)
-    member = np.repeat(np.arange(len(group)), sizes)
-    valid = order[order - begin[member[order]] + length < sizes[member[order]]]
-    raw = symbols.astype(np.uint16)
-    same = np.empty(len(valid), bool)
-    same[:1] = False
-    step = 20_000
-    spread = np.arange(length)
-    for i in range(1, len(valid), step):
-        here = np.minimum(i + step, len(valid))
-        a, b = valid[i - 1 : here - 1], valid[i:here]
-        same[i:here] = (raw[a[:, None] + spread] == raw[b[:, None] + spread]).all(1)
+    symbols = np.zeros(len(data) + n, np.int64)  # 0 separates
+    symbols[np.arange(len(data)) + np.repeat(np.arange(n), lengths)] = data.astype(np.int64) + 1
+    rank = prefix_ranks(symbols, length)
+    member = np.repeat(np.arange(n), sizes)
+    offset = np.arange(len(symbols)) - begin[member]
+    valid = np.flatnonzero(offset + length < sizes[member])
+    of, offset, kind = member[valid], offset[valid], rank[valid]
     # Places: the rank of the document, then the start within it.
-    documents = sorted({(r["known"], r["id"], r["node"]) if r["known"] else (False, None, r["node"]) for r in group},
-                       key=lambda d: (d[0], d[1] if d[0] else 0, d[2]))
-    ranks = {d: i for i, d in enumerate(documents)}
-    rank = np.array([ranks[(r["known"], r["id"] if r["known"] else None, r["node"])] for r in group], np.int64)
-    start = np.array([r["start"] for r in group], np.int64)
-    of = member[valid]
-    offset = valid - begin[of]
-    place = (rank[of] << 36) + start[of] + offset
-    heads = np.flatnonzero(~same)
-    if not len(heads):
-        return
-    first = np.repeat(np.minimum.reduceat(place, heads), np.diff(np.append(heads, len(place))))
-    back = np.lexsort((offset, of))
-    of, offset, place, first = of[back], offset[back], place[back], first[back]
-    breaks = np.append(True, (of[1:] != of[:-1]) | (first[1:] != first[:-1] + 1))
-    at = np.flatnonzero(breaks)
-    runs = np.diff(np.append(at, len(of)))
-    for i, n in zip(at.tolist(), runs.tolist()):
-        row = group[of[i]]
-        if row["times"] > 1 or first[i] != place[i]:
-            yield {
-                "key": row["key"], "digest": row["digest"], "skip": int(offset[i]), "run": n,
-                "first_node": documents[first[i] >> 36][2], "first_start": int(first[i] & ((1 << 36) - 1)),
-            }
+    named = list(zip(block.column("id").to_pylist(), block.column("mark").to_pylist()))
+    documents = {d: i for i, d in enumerate(named)}
+    ordered = sorted(documents, key=lambda d: (d[0] is not None, 0 if d[0] is None else d[0], d[1] or b""))
+    ranks = {d: i for i, d in enumerate(ordered)}
+    start = block.column("start").to_numpy()
+    place = (np.array([ranks[d] for d in named], np.int64) << 36)[of] + start[of] + offset
+    least = np.full(len(symbols) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, kind, place)
+    first = least[kind]
+    heads = np.flatnonzero(np.append(True, (of[1:] != of[:-1]) | (first[1:] != first[:-1] + 1))[: len(of)])
+    runs = np.diff(np.append(heads, len(of)))
+    moved = (block.column("times").to_numpy()[of[heads]] > 1) | (first[heads] != place[heads])
+    heads, runs = heads[moved], runs[moved]
+    rows = pa.array(of[heads])
+    holder = pa.array(np.array([documents[d] for d in ordered], np.int64)[first[heads] >> 36])
+    return pa.RecordBatch.from_arrays(
+        [
+            block.column("key").take(rows), block.column("digest").take(rows), pa.array(offset[heads].astype(np.int32)),
+            pa.array(runs.astype(np.int32)), block.column("id").take(holder), block.column("mark").take(holder),
+            pa.array(first[heads] & ((1 << 36) - 1)),
+        ],
+        names=["key", "digest", "skip", "run", "first_id", "first_mark", "first_start"],
+    )
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in the order of their keys, cut between keys into blocks of about `_BLOCK` bytes."""
+    held: list[pa.RecordBatch] = []
+    size, last = 0, None
+    for batch in batches:
+        keys = batch.column("key").to_numpy()
+        sizes = pc.binary_length(batch.column("segment")).to_numpy()
+        start = 0
+        for head in np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)).tolist():
+            if size >= _BLOCK and keys[start] != last:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(batch.slice(start, head - start))
+            size += int(sizes[start:head].sum())
+            start, last = head, keys[head - 1]
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _sorted_runs(segments: DataFrame, length: int) -> DataFrame:
     """Class runs of all segments whose key has several."""
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, held, key = [], 0, None
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                if held >= _BLOCK and row["key"] != key:
-                    out.extend(_class_runs(block, length))
-                    block, held = [], 0
-                key = row["key"]
-                block.append(row)
-                held += len(row["segment"])
-            yield pa.RecordBatch.from_pylist(out, pa.schema(_RUN))
-        yield pa.RecordBatch.from_pylist(list(_class_runs(block, length)) if block else [], pa.schema(_RUN))
-
-    together = segments.repartition("key").sortWithinPartitions("key")
-    return together.mapInArrow(
-        blocks, "key long, digest long, skip int, run int, first_node binary, first_start long"
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batch for batch in batches if batch.num_rows):
+            yield _class_runs(block, length)
+
+    schema = T.StructType(
+        [
+            T.StructField("key", T.LongType()),
+            T.StructField("digest", T.LongType()),
+            T.StructField("skip", T.IntegerType()),
+            T.StructField("run", T.IntegerType()),
+            T.StructField("first_id", segments.schema["id"].dataType),
+            T.StructField("first_mark", T.BinaryType()),
+            T.StructField("first_start", T.LongType()),
+        ]
     )
+    return segments.repartition("key").sortWithinPartitions("key").mapInArrow(ranked, schema)
 
 
 def _split(rows: DataFrame, bin_size: int, length: int) -> DataFrame:
@@ -274,28 +282,28 @@ def _split(rows: DataFrame, bin_size: int, length: int) -> DataFrame:
             (F.col("start") + F.col("cut_skip")).alias("start"),
             F.col("cut_windows").alias("windows"),
             "id",
-            "node",
+            "mark",
             segment.alias("segment"),
         )
     )
 
 
 def _repeats(rows: DataFrame, length: int, crowd: int, splits: tuple[int, ...], broadcast_keys: int) -> DataFrame:
-    """(node, start, stop): bytes under windows that are not at their first place."""
-    place = F.struct(F.col("id").isNotNull().alias("known"), "id", "node", "start")
+    """(doc, span): bytes under windows that are not at their first place; beginning and size in one number."""
+    place = F.struct("id", "mark", "start")  # nulls come first
     out = []
     for bin_size in (*splits, None):
         rows = rows.withColumn("digest", F.xxhash64("segment"))
         kinds = rows.groupBy("key", "digest").agg(
             F.min(place).alias("p"), F.min("windows").alias("windows"), F.count(F.lit(1)).alias("times")
         )
-        kinds = written(kinds, "substring-kinds")
+        kinds = written(kinds, "substring-kinds", "zstd")
         counts = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.sum("times").alias("all_times"))
         counts = written(counts.where("all_times > 1").drop("all_times"), "substring-counts")
         crowded = F.col("kinds") > crowd if bin_size else F.lit(False)
         single = kinds.where("times > 1").join(counts.where("kinds = 1"), "key").select(
             "key", "digest", F.lit(0).alias("skip"), F.col("windows").alias("run"),
-            F.col("p.node").alias("first_node"), F.col("p.start").alias("first_start"),
+            F.col("p.id").alias("first_id"), F.col("p.mark").alias("first_mark"), F.col("p.start").alias("first_start"),
         )
         # Bytes travel for keys with several kinds only.
         mixed_keys = counts.where((F.col("kinds") > 1) & ~crowded).select("key")
@@ -304,11 +312,12 @@ def _repeats(rows: DataFrame, length: int, crowd: int, splits: tuple[int, ...],
             F.min(place).alias("p"), F.first("segment").alias("segment"), F.count(F.lit(1)).alias("times")
         )
         several = bytes_of.select("key", "digest", "segment", "times", "p.*")
-        runs = written(single.unionByName(_sorted_runs(several, length)), "substring-runs")
-        here = rows.select("key", "digest", "node", "start").join(runs, ["key", "digest"])
+        runs = written(single.unionByName(_sorted_runs(several, length)), "substring-runs", "zstd")
+        here = rows.select("key", "digest", "id", "mark", "start").join(runs, ["key", "digest"])
         begin = F.col("start") + F.col("skip")
-        moved = (F.col("first_node") != F.col("node")) | (F.col("first_start") != begin)
-        out.append(here.where(moved).select("node", begin.alias("start"), (begin + F.col("run") + (length - 1)).alias("stop")))
+        same = F.col("first_id").eqNullSafe(F.col("id")) & F.col("first_mark").eqNullSafe(F.col("mark"))
+        moved = here.where(~same | (F.col("first_start") != begin))
+        out.append(moved.select(F.struct("id", "mark").alias("doc"), (F.shiftleft(begin, _SIZE_BITS) + F.col("run") + (length - 1)).alias("span")))
         if bin_size is None:
             break
         tight = counts.where(crowded).select("key")
@@ -337,17 +346,25 @@ def _cut_out(texts: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, node, spans in zip(*(batch.column(i) for i in range(3))):
-                data = np.frombuffer(text.as_py().encode("utf-8"), np.uint8)
+            for piece in pieces(batch, 0, _PIECE):
+                data, at = utf8(piece.column(0))
+                spans = piece.column(2)
+                base = np.repeat(at[:-1], pc.list_value_length(spans).to_numpy())
+                packed = spans.flatten().to_numpy()
+                start, size = packed >> _SIZE_BITS, packed & ((1 << _SIZE_BITS) - 1)
                 edges = np.zeros(len(data) + 1, np.int32)
-                for s in spans.as_py():
-                    edges[s["start"]] += 1
-                    edges[s["stop"]] -= 1
+                np.add.at(edges, base + start, 1)
+                np.add.at(edges, base + start + size, -1)
                 gone = np.cumsum(edges[:-1]) > 0
-                heads = gone & ~np.append(False, gone[:-1])
-                rows.append({"node": node.as_py(), "n_removed": int(gone.sum()), "n_spans": int(heads.sum()), "kept": data[~gone].tobytes()})
-            yield pa.RecordBatch.from_pylist(rows, names)
+                heads = gone.copy()
+                heads[1:] &= ~gone[:-1]
+                heads[at[:-1]] = gone[at[:-1]]  # no text here is empty
+                lost, begun = (np.append(0, np.cumsum(x))[at] for x in (gone, heads))
+                kept = [None, pa.py_buffer((at - lost).astype(np.int32)), pa.py_buffer(data[~gone])]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(1), pa.array(np.diff(lost)), pa.array(np.diff(begun)), pa.Array.from_buffers(pa.binary(), len(at) - 1, kept)],
+                    schema=names,
+                )
 
     return texts.mapInArrow(cut, _CUT)
 
@@ -378,15 +395,23 @@ def dedup_substrings(
     few = copied.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
     long = texts.where(F.octet_length("t") >= length).join(F.broadcast(copied) if few else copied, "node", "left")
     long = long.where(F.col("copied").isNull() | F.col("id").eqNullSafe(F.col("first"))).select("t", "node", "id")
+    shared = least.groupBy("owner.id").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    shared = written(shared.select("id", F.lit(True).alias("shared")), "substring-shared")
+    few = shared.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    mark = F.when(F.col("id").isNull() | F.col("shared"), F.col("node")).alias("mark")
+    long = long.join(F.broadcast(shared) if few else shared, "id", "left").select("t", "node", "id", mark)
     repeated = _repeated(long, length, gram)
     few = repeated.limit(broadcast_keys + 1).count() <= broadcast_keys
-    rows = written(_segments(long, length, gram).join(F.broadcast(repeated) if few else repeated, "key"), "substring-rows")
-    spans = _repeats(rows, length, crowd, splits, broadcast_keys).groupBy("node").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    spans = written(spans, "substring-spans")  # one text's, so bounded by its length
-    affected = spans.select("node")
+    found = _segments(long, length, gram).join(F.broadcast(repeated) if few else repeated, "key")
+    rows = written(found, "substring-rows", "zstd")
+    spans = _repeats(rows, length, crowd, splits, broadcast_keys).groupBy("doc").agg(F.collect_set("span").alias("spans"))
+    spans = written(spans, "substring-spans", "zstd")  # one text's, so bounded by its length
+    affected = spans.select("doc")
     few = affected.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
-    touched = long.join(F.broadcast(affected) if few else affected, "node", "left_semi").select("node", "t").dropDuplicates(["node"])
-    cut = written(_cut_out(touched.join(spans, "node").select("t", "node", "spans")), "substring-cut")
+    touched = long.select("t", "node", F.struct("id", "mark").alias("doc"))
+    touched = touched.join(F.broadcast(affected) if few else affected, "doc", "left_semi").dropDuplicates(["doc"])
+    touched = touched.join(spans, "doc").select("t", "node", "spans")
+    cut = written(_cut_out(touched), "substring-cut", "zstd")
 
     rows = texts.select("id", "node", F.octet_length("t").cast("long").alias("n_bytes"), F.sha2(F.col("t").cast("binary"), 256).alias("whole"))
     joined = rows.join(least.select("node", "owner"), "node").join(cut, "node", "left")

@@ -1,112 +1,40 @@
-"""Suffix arrays by grouping suffixes after their Lyndon prefixes, in linear time.
+"""Suffix arrays by ranks of growing prefixes.
 
-Suffixes start in groups by their first symbol. Groups are processed from the greatest to the
-least. For each suffix of the group the previous smaller pointer is found: the last position
-before it that lies in a group not yet processed; the way there leads over the pointers of
-positions already processed. A position that is pointed at by l suffixes of the group is
-followed by l times the group's prefix, so it moves into a new group just above its old one,
-and above those pointed at fewer times. In the end each group holds the suffixes with one
-Lyndon prefix. Taken in ascending order, each suffix then places those that have it as next
-smaller suffix: the chain of pointers from the position before it, up to the first position
-that has a place. Nothing is sorted by renaming and nothing recurses.
+Each suffix starts with the rank of its first symbol. A round packs the ranks at equal
+distances behind it into one number and ranks those numbers, so that a rank stands for several
+times as many symbols as before; the last round may overlap what is known, so that it ends at
+exactly `depth` symbols. Equal ranks are equal prefixes. All steps work on whole arrays.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 
-def suffix_array(symbols: Sequence[int]) -> list[int]:
-    """The starts of all suffixes in ascending order; a suffix is less than its extensions."""
-    n = len(symbols)
-    if not n:
-        return []
-    alphabet = sorted(set(symbols))
-    rank = {c: i for i, c in enumerate(alphabet)}
-    group = [rank[c] for c in symbols]
-    members: list[list[int]] = [[] for _ in alphabet]
-    for i, g in enumerate(group):
-        members[g].append(i)
-    below = [g - 1 for g in range(len(alphabet))]
-    above = [g + 1 for g in range(len(alphabet))]
-    above[-1] = -1
-    done = [False] * len(alphabet)
-    previous = [-1] * n
 
-    current = len(alphabet) - 1
-    while current >= 0:
-        done[current] = True
-        pointed: list[int] = []
-        times: list[int] = []
-        last = -1
-        for i in members[current]:
-            if group[i] != current:
-                continue  # has moved up since
-            p = i - 1
-            while p >= 0 and done[group[p]]:
-                p = previous[p]
-            previous[i] = p
-            if p < 0:
-                continue
-            if p == last:
-                times[-1] += 1
-            else:
-                pointed.append(p)
-                times.append(1)
-                last = p
-        if pointed:
-            most = max(times)
-            highest: dict[int, int] = {}  # of an old group: the uppermost new one made of it
-            for count in [1] if most == 1 else sorted(set(times)):
-                made: dict[int, int] = {}
-                for p, t in zip(pointed, times):
-                    if t != count:
-                        continue
-                    old = group[p]
-                    new = made.get(old)
-                    if new is None:
-                        new = made[old] = len(done)
-                        under = highest.get(old, old)
-                        highest[old] = new
-                        over = above[under]
-                        done.append(False)
-                        members.append([])
-                        below.append(under)
-                        above.append(over)
-                        above[under] = new
-                        if over >= 0:
-                            below[over] = new
-                    group[p] = new
-                    members[new].append(p)
-        current = below[current]
+def prefix_ranks(symbols: np.ndarray, depth: int) -> np.ndarray:
+    """The ranks of all suffixes by their first `depth` symbols, from 1; a suffix that ends is less than its extensions."""
+    n = len(symbols)
+    rank = np.unique(symbols, return_inverse=True)[1].reshape(n) + 1  # 0 is past the end
+    span = 1
+    while n and span < depth and (most := int(rank.max())) < n:
+        bits = most.bit_length()
+        code, reach = rank.copy(), span
+        for _ in range(1, 63 // bits):
+            step = min(span, depth - reach)
+            if not step:
+                break
+            reach += step
+            code <<= bits
+            code[: max(0, n - reach + span)] |= rank[reach - span :]
+        order = np.argsort(code)
+        code = code[order]
+        rank[order] = np.cumsum(np.append(1, code[1:] != code[:-1]))
+        span = reach
+    return rank
 
-    sizes = [0] * len(done)
-    for g in group:
-        sizes[g] += 1
-    free = [0] * len(done)
-    g, at = 0, 0
-    while below[g] >= 0:
-        g = below[g]
-    while g >= 0:
-        free[g] = at
-        at += sizes[g]
-        g = above[g]
 
-    order = [-1] * n
-    placed = [False] * n
-    j = n - 1
-    while j >= 0 and not placed[j]:  # those before the end of the text
-        g = group[j]
-        order[free[g]] = j
-        free[g] += 1
-        placed[j] = True
-        j = previous[j]
-    for i in range(n):
-        j = order[i] - 1
-        while j >= 0 and not placed[j]:
-            g = group[j]
-            order[free[g]] = j
-            free[g] += 1
-            placed[j] = True
-            j = previous[j]
-    return order
+def suffix_array(symbols: Sequence[int]) -> list[int]:
+    """The starts of all suffixes in ascending order; a suffix is less than its extensions."""
+    return np.argsort(prefix_ranks(np.asarray(symbols, np.int64), len(symbols))).tolist()

@@ -1,10 +1,12 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
+from macrospark.llm import substring_dedup
 from macrospark.llm.substring_dedup import dedup_substrings
-from macrospark.llm.suffix_array import suffix_array
+from macrospark.llm.suffix_array import prefix_ranks, suffix_array
 
 
 @pytest.mark.parametrize("alphabet", [1, 2, 3, 200])
@@ -57,3 +59,26 @@ def test_odd_rows(spark, odd, none):
     assert (long["n_bytes"], long["n_removed"], long["n_spans"]) == (150_000, 149_995, 1)
     assert all(not r["n_removed"] for r in got if r["doc_id"] != 5)
     assert dedup_substrings(none).count() == 0
+
+
+@pytest.mark.parametrize("depth", [1, 2, 5, 7, 30, 100])
+def test_ranks_compare_so_many_symbols(depth):
+    rng = random.Random(depth)
+    s = [rng.randrange(3) for _ in range(60)] * 3 + [7]
+    rank, cut = prefix_ranks(np.array(s), depth), [s[i : i + depth] for i in range(len(s))]
+    for i in range(len(s)):
+        for j in range(len(s)):
+            assert (cut[i] < cut[j], cut[i] == cut[j]) == (rank[i] < rank[j], rank[i] == rank[j])
+
+
+def test_marks_travel_only_with_keys_that_need_them(spark, monkeypatch):
+    frames, write = {}, substring_dedup.written
+    monkeypatch.setattr(substring_dedup, "written", lambda df, label, *a: frames.setdefault(label, write(df, label, *a)))
+    text = "".join(random.Random(1).choices("abcdefgh", k=300))
+    rows = [(1, text), (2, text[:200] + "x"), (2, "y" + text[50:250]), (None, text[100:] + "z"), (4, text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup_substrings(df).drop("kept")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 100)
+    marked = frames["substring-rows"].groupBy("id").agg({"mark": "count", "*": "count"}).collect()
+    assert {r["id"]: bool(r["count(mark)"]) for r in marked} == {1: False, 2: True, None: True}
+    assert frames["substring-spans"].schema["spans"].dataType.simpleString() == "array<bigint>"
