@@ -16,6 +16,9 @@ def _events(spark, sf):
     return streams.stream_parquet(spark, f"{sf}/events*.parquet", table(spark, sf, "events").schema)
 
 
+# Rows of a landed file at most; with a fixed number of files a micro-batch, the batches grow with the rows alone.
+_LANDED_ROWS = 2_000_000
+
 _ROWS = "SELECT event_id, event_type, user_id, value FROM events"
 
 
@@ -39,10 +42,12 @@ def stream_upsert(spark, sf):
     """
     root = new_run_dir(spark, "stream-upsert")
     orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    year_of = F.year("o_orderdate")
+    vintage = F.when(year_of <= 1992, 1992).when(year_of >= 1998, 1998).otherwise(year_of)
+    rows = {r["year"]: r["count"] for r in orders.groupBy(vintage.alias("year")).count().collect()}  # seven, and nulls
     for year in range(1998, 1991, -1):  # written newest first, so that old vintages arrive late
-        last = F.year("o_orderdate") <= year if year == 1992 else F.year("o_orderdate") == year
-        later = F.year("o_orderdate") >= year if year == 1998 else last
-        orders.filter(later).write.mode("append").parquet(f"{root}/landed")
+        files = -(-rows.get(year, 1) // _LANDED_ROWS)
+        orders.filter(vintage == year).repartition(files).write.mode("append").parquet(f"{root}/landed")
     stored = VersionedTable(spark, f"{root}/table", ["o_custkey"], order=["o_orderdate", "o_orderkey"])
     arriving = streams.stream_parquet(spark, f"{root}/landed", orders.schema, max_files=2)
     streams.upsert_stream(arriving, stored, f"{root}/checkpoint", remember=True).awaitTermination()

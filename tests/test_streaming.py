@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import values
+from macrospark.catalog import streams as catalog_streams
 from macrospark.sources.versioned import VersionedTable
 from macrospark.streaming import streams
 
@@ -92,3 +93,18 @@ def test_windows(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("window.start").collect()
     assert [r.rows for r in got] == [120, 120, 60]
     assert all(abs(r.refreshed_keys - r.rows) <= 0.1 * r.rows for r in got)
+
+
+@pytest.mark.parametrize("rows, files", [(1000, 7), (40, 9)])
+def test_micro_batches_grow_with_the_rows_not_with_the_input_files(spark, tmp_path, monkeypatch, rows, files):
+    orders = [(i, i % 30, float(i), f"{1990 + i % 12}-0{1 + i % 9}-01 00:00:00") for i in range(240)] + [(999, 77, 1.0, None)]
+    df = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double, day string")
+    df = df.withColumn("o_orderdate", F.col("day").cast("timestamp_ntz")).drop("day")
+    df.repartition(6).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(catalog_streams, "new_run_dir", lambda *_: str(tmp_path / "run"))
+    monkeypatch.setattr(catalog_streams, "_LANDED_ROWS", rows)
+    got = catalog_streams.stream_upsert(spark, str(tmp_path)).collect()
+    best = {c: max((str(d), k) for k, c2, _, d in orders if c2 == c) for c in range(30)}
+    assert {r["o_custkey"]: (str(r["o_orderdate"]), r["o_orderkey"]) for r in got} == best and len(got) == 30
+    assert len(list((tmp_path / "run/landed").glob("*.parquet"))) == files
+    assert len(list((tmp_path / "run/table/data").iterdir())) == -(-files // 2)
