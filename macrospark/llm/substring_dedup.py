@@ -11,7 +11,8 @@ one) is removed.
    the text under a run of windows with one anchor and half.
 2. *Candidates.* Keys that occur more than once are kept. Which they are is counted over all
    documents; the keys travel to the segments if they are few (`BROADCAST_KEYS`), beyond it the
-   segments are shuffled to them. Copies of a whole text are represented by the first.
+   segments' places, without their bytes, are shuffled to them, and the places that stay to their
+   texts. Copies of a whole text are represented by the first.
 3. *Order.* Equal segments are combined first. The different segments of a key go into one
    block, the blocks' suffixes are ranked by `suffix_array` to a depth of `length` bytes, and those
    of one rank are one class, whose first place is known. A key with more than
@@ -144,44 +145,78 @@ def _repeated(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return written(found.where("times > 1").select("key"), "substring-keys")
 
 
-def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """The text under each run of windows; `lead` is the distance of its first window from the anchor."""
-    schema = T.StructType(
-        [
-            T.StructField("key", T.LongType()),
-            T.StructField("lead", T.IntegerType()),
-            T.StructField("start", T.LongType()),
-            T.StructField("windows", T.IntegerType()),
-            T.StructField("id", texts.schema["id"].dataType),
-            T.StructField("mark", T.BinaryType()),
-            T.StructField("segment", T.BinaryType()),
-        ]
-    )
+def _place_fields(texts: DataFrame) -> list[T.StructField]:
+    """Of a run of windows; `lead` is the distance of its first window from the anchor."""
+    return [
+        T.StructField("key", T.LongType()),
+        T.StructField("lead", T.IntegerType()),
+        T.StructField("start", T.LongType()),
+        T.StructField("windows", T.IntegerType()),
+        T.StructField("id", texts.schema["id"].dataType),
+        T.StructField("mark", T.BinaryType()),
+    ]
+
+
+def _bytes_at(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes from each `begin` on, as many as its size."""
+    ends = np.append(0, np.cumsum(sizes))
+    # all one after another: each byte's place is its segment's beginning plus its offset
+    index = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], sizes)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[index])])
+
+
+def _segments(texts: DataFrame, length: int, gram: int, with_bytes: bool = True) -> DataFrame:
+    """Each run of windows, and the text under it."""
+    schema = T.StructType(_place_fields(texts) + [T.StructField("segment", T.BinaryType())] * with_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece, data, base, (of, first, count, lead, key) in _parts(batch, length, gram):
                 _, at = utf8(piece.column(0))
                 begin = first + at[:-1][of] if not base and len(at) > 2 else first
-                sizes = count + length - 1
-                ends = np.append(0, np.cumsum(sizes))
-                # all segments one after another: each byte's place is its segment's beginning plus its offset
-                index = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], sizes)
-                segment = pa.Array.from_buffers(
-                    pa.binary(), len(of), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[index])]
-                )
                 rows = pa.array(of)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(key), pa.array(lead.astype(np.int32)), pa.array(first + base),
-                        pa.array(count.astype(np.int32)), piece.column(2).take(rows), piece.column(1).take(rows), segment,
-                    ],
-                    names=schema.names,
-                )
+                columns = [
+                    pa.array(key), pa.array(lead.astype(np.int32)), pa.array(first + base),
+                    pa.array(count.astype(np.int32)), piece.column(2).take(rows), piece.column(1).take(rows),
+                ]
+                if with_bytes:
+                    columns.append(_bytes_at(data, begin, count + length - 1))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return texts.select("t", "mark", "id").mapInArrow(cut, schema)
 
 
+def _segments_at(texts: DataFrame, places: DataFrame, length: int) -> DataFrame:
+    """The text under given runs of windows: each text travels once, not each of its overlapping segments."""
+    schema = T.StructType([*_place_fields(texts), T.StructField("segment", T.BinaryType())])
+    step = max(1, (1 << 23) // length)  # a segment has less than two windows' bytes
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, 0, _PIECE):
+                data, at = utf8(piece.column(0))
+                lists = piece.column(3)
+                flat = lists.flatten()
+                of = np.repeat(np.arange(len(at) - 1), pc.list_value_length(lists).to_numpy())
+                key, lead, start, windows = (pc.struct_field(flat, i) for i in range(4))
+                begin, sizes = at[:-1][of] + start.to_numpy(), windows.to_numpy() + (length - 1)
+                for low in range(0, len(of), step):
+                    some = slice(low, low + step)
+                    rows = pa.array(of[some])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            key[some], lead[some], start[some], windows[some], piece.column(2).take(rows),
+                            piece.column(1).take(rows), _bytes_at(data, begin[some], sizes[some]),
+                        ],
+                        names=schema.names,
+                    )
+
+    doc = F.struct("id", "mark").alias("doc")
+    # A document whose row is repeated names its places more often, and its text comes as often.
+    of_text = places.groupBy(doc).agg(F.collect_set(F.struct("key", "lead", "start", "windows")).alias("places"))
+    return texts.select("t", "mark", "id", doc).join(of_text, "doc").select("t", "mark", "id", "places").mapInArrow(cut, schema)
+
+
 def _class_runs(block: pa.RecordBatch, length: int) -> pa.RecordBatch:
     """Rank the windows of a block's segments; for each segment, runs of windows with their first places."""
     data, at = utf8(block.column("segment"))
@@ -320,10 +355,13 @@ def _repeats(rows: DataFrame, length: int, crowd: int, splits: tuple[int, ...],
         out.append(moved.select(F.struct("id", "mark").alias("doc"), (F.shiftleft(begin, _SIZE_BITS) + F.col("run") + (length - 1)).alias("span")))
         if bin_size is None:
             break
+        # Each has over `crowd` kinds, so they are few: the rows of all other keys need not move to find them.
         tight = counts.where(crowded).select("key")
-        if tight.isEmpty():
+        many = tight.limit(broadcast_keys + 1).count()
+        if not many:
             break
-        rows = written(_split(rows.join(tight, "key"), bin_size, length), "substring-split")
+        tight = F.broadcast(tight) if many <= broadcast_keys else tight
+        rows = written(_split(rows.join(tight, "key"), bin_size, length), "substring-split", "zstd")
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)
@@ -402,7 +440,11 @@ def dedup_substrings(
     long = long.join(F.broadcast(shared) if few else shared, "id", "left").select("t", "node", "id", mark)
     repeated = _repeated(long, length, gram)
     few = repeated.limit(broadcast_keys + 1).count() <= broadcast_keys
-    found = _segments(long, length, gram).join(F.broadcast(repeated) if few else repeated, "key")
+    if few:
+        found = _segments(long, length, gram).join(F.broadcast(repeated), "key")
+    else:
+        places = _segments(long, length, gram, with_bytes=False).join(repeated, "key")
+        found = _segments_at(long, written(places, "substring-places", "zstd"), length)
     rows = written(found, "substring-rows", "zstd")
     spans = _repeats(rows, length, crowd, splits, broadcast_keys).groupBy("doc").agg(F.collect_set("span").alias("spans"))
     spans = written(spans, "substring-spans", "zstd")  # one text's, so bounded by its length

@@ -82,3 +82,49 @@ def test_marks_travel_only_with_keys_that_need_them(spark, monkeypatch):
     marked = frames["substring-rows"].groupBy("id").agg({"mark": "count", "*": "count"}).collect()
     assert {r["id"]: bool(r["count(mark)"]) for r in marked} == {1: False, 2: True, None: True}
     assert frames["substring-spans"].schema["spans"].dataType.simpleString() == "array<bigint>"
+
+
+def shared_passage():
+    """Texts around one passage, with rows that come twice, two texts of one key and one of none."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    passage = word(40)
+    rows = [(i, word(15 + i) + passage + word(15)) for i in range(8)]
+    return rows + [rows[3], rows[0], rows[0], (2, word(9) + passage), (None, passage + word(9)), (9, passage), (9, passage), (10, "short")]
+
+
+def test_rows_of_other_keys_do_not_move_to_find_the_crowded(spark, monkeypatch, capsys):
+    plans, write = [], substring_dedup.written
+
+    def traced(df, label, *a):
+        if label == "substring-split":
+            capsys.readouterr()
+            df.explain()
+            plans.append(capsys.readouterr().out)
+        return write(df, label, *a)
+
+    monkeypatch.setattr(substring_dedup, "written", traced)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a table that is too large for Spark's own choice
+    try:
+        rows = shared_passage()
+        got = dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), length=20, gram=6, crowd=2).drop("kept").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows, 20)
+    assert plans and all("BroadcastHashJoin" in p and "hashpartitioning" not in p for p in plans)
+
+
+def test_segments_travel_without_bytes_to_many_keys(spark, monkeypatch):
+    frames, write = {}, substring_dedup.written
+    monkeypatch.setattr(substring_dedup, "written", lambda df, label, *a: frames.setdefault(label, write(df, label, *a)))
+    rows = shared_passage()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dedup_substrings(df, length=20, gram=6, broadcast_keys=0).drop("kept")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 20)
+    assert "segment" not in frames["substring-places"].columns
+    names = ["key", "lead", "start", "windows", "id", "mark", "segment"]
+    kept = {tuple(map(repr, r)) for r in frames["substring-rows"].select(*names).collect()}
+    frames.clear()
+    dedup_substrings(df, length=20, gram=6).count()
+    assert kept == {tuple(map(repr, r)) for r in frames["substring-rows"].select(*names).collect()}
